@@ -18,12 +18,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asterism.operators.keys import add_serial, highest
+from asterism.operators.keys import highest, number_rows
+from asterism.session import scratch_path
 
 
-def _reject_null_key(batch: DataFrame, on: str) -> DataFrame:
-    fail = F.raise_error(F.lit(f"null value in key column '{on}'"))
-    return batch.withColumn(on, F.when(F.col(on).isNull(), fail).otherwise(F.col(on)))
+def _not_null(name: str) -> Column:
+    fail = F.raise_error(F.lit(f"null value in key column '{name}'"))
+    return F.when(F.col(name).isNull(), fail).otherwise(F.col(name)).alias(name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back."""
+    path = scratch_path(df.sparkSession, "batch")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def last_per_key(batch: DataFrame, on: str, order: str | Column) -> DataFrame:
@@ -48,9 +56,11 @@ def _sole_row_per_key(batch: DataFrame, on: str) -> DataFrame:
     grouped = batch.groupBy(on).agg(
         F.any_value(F.struct(*rest)).alias("__sole"), F.count("*").alias("__n")
     )
+    # The check hangs on the other columns: a key left as it is keeps the
+    # partitioning by it usable for the joins to come.
     fail = F.raise_error(F.concat(F.lit(f"batch repeats {on} = "), F.col(on).cast("string")))
-    key = F.when(F.col("__n") > 1, fail).otherwise(F.col(on)).alias(on)
-    return grouped.select(key, "__sole.*").select(*batch.columns)
+    sole = F.when(F.col("__n") > 1, fail).otherwise(F.col("__sole")).alias("__sole")
+    return grouped.select(on, sole).select(on, "__sole.*").select(*batch.columns)
 
 
 def with_defaults(
@@ -87,19 +97,24 @@ def merge(
     their expression; all others keep the target's value. Two batch rows for a
     matched key fail; for an unmatched key both are inserted. ``unique`` states
     that the batch was already reduced to one row per key. ``serial`` names a
-    surrogate key that inserted rows receive after the highest one in use.
+    surrogate key that inserted rows receive after the highest one in use, in
+    the order of ``on`` if that is unique: then only the keys are written and
+    ordered, and the numbers join back on them.
+
+    With a target the batch is read more than once; a batch that is costly to
+    compute should be written first (``materialize``).
     """
     schema = schema or target.schema
-    batch = _reject_null_key(batch, on)
 
     fresh = batch if target is None else batch.join(target.select(on), on, "left_anti")
-    fresh = with_defaults(fresh, schema, defaults)
     if serial:
-        key_type = schema[serial].dataType.simpleString()
-        fresh = add_serial(
-            fresh.drop(serial), serial, on, highest(target, serial), key_type, unique
-        )
-    fresh = fresh.select(*schema.names)
+        key_type, start = schema[serial].dataType.simpleString(), highest(target, serial)
+        if unique:
+            numbers = number_rows(fresh.select(_not_null(on)), serial, [on], start, key_type)
+            fresh = fresh.join(numbers, on)
+        else:
+            fresh = number_rows(fresh, serial, (), start, key_type)
+    fresh = with_defaults(fresh, schema, defaults).withColumn(on, _not_null(on))
     if target is None:
         return fresh
 

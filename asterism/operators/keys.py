@@ -37,44 +37,27 @@ def number_rows(
 
     written = spark.read.schema(df.schema).parquet(path)
     file = F.col("_metadata.file_path").alias("__file")
-    first = F.min(F.struct(*order_by)) if order_by else F.lit(None).cast("int")
-    files = written.select(file, *order_by).groupBy("__file").agg(
-        F.count("*").alias("__rows"), first.alias("__first")
+    row = F.col("_metadata.row_index").alias("__row")
+    files = (
+        written.select(file, row)
+        .groupBy("__file")
+        .agg((F.max("__row") + 1).alias("__rows"))
+        .withColumn("__part", F.regexp_extract("__file", r"part-(\d+)", 1).cast("int"))
     )
     # One row per written file, so this window and the broadcast are bounded by
-    # the number of shuffle partitions, not by the data.
-    before = Window.orderBy("__first", "__file").rowsBetween(Window.unboundedPreceding, -1)
+    # the number of tasks that wrote, not by the data.
+    before = Window.orderBy("__part", "__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select(
         "__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
     )
     number = (F.col("__before") + F.col("__row") + F.lit(start + 1)).cast(type_)
     return (
-        written.select("*", file, F.col("_metadata.row_index").alias("__row"))
+        written.select("*", file, row)
         .join(F.broadcast(offsets), "__file")
         .select(number.alias(column), *[F.col(name) for name in df.columns])
     )
 
 
-def add_serial(
-    df: DataFrame,
-    column: str,
-    natural_key: str,
-    start: int = 0,
-    type_: str = "int",
-    unique: bool = True,
-) -> DataFrame:
-    """Number the rows of ``df`` in the order of their natural key.
-
-    Only the key column is written and range-partitioned; the numbers join back
-    on it, which reuses a partitioning by that key if ``df`` has one. That
-    takes a unique key. Rows whose key may repeat are numbered as they lie.
-    """
-    if not unique:
-        return number_rows(df, column, (), start, type_)
-    numbers = number_rows(df.select(natural_key), column, [natural_key], start, type_)
-    return df.join(numbers, natural_key)
-
-
 def highest(df: DataFrame | None, column: str) -> int:
     """Largest key in use, 0 for a fresh table."""
     if df is None:

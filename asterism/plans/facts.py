@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
 from asterism.functions.text import body_length, word_count
-from asterism.operators.dml import merge
+from asterism.operators.dml import materialize, merge
 from asterism.plans.staging import moment
 from asterism.schemas import star_schema
 
@@ -63,6 +63,8 @@ def populate_fact_posts(
     table, now = star_schema(id_type)["fact_posts"], moment(run_ts)
     # Post ids are the staging table's primary key and users are unique, so
     # the source holds each post once.
+    if target is not None:
+        source = materialize(source)
     return merge(
         target, source, "post_id", update=FACT_ATTRIBUTES, stamp={"updated_at": now},
         defaults={"created_at": now, "updated_at": now},

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from asterism.functions.dates import date_key
@@ -62,22 +64,28 @@ class Run:
         log.info("loaded %s %s into %s", seen.get["rows"], collection, table)
         return staged
 
+    def _users(self, staging_users: DataFrame) -> DataFrame:
+        target = self._target("dim_users")
+        return self._save(
+            "dim_users", populate_dim_users(staging_users, self.run_ts, target, self.id_type)
+        )
+
+    def _dates(self) -> DataFrame:
+        days = calendar_days(self.spark, *self.calendar)
+        return self._save("dim_dates", populate_dim_dates(days, self._target("dim_dates")))
+
     def execute(self) -> dict[str, int]:
         """Load everything, then publish; returns records attempted per collection."""
-        posts = self._stage("posts")
-        users = self._stage("users")
-        comments = self._stage("comments")
-
-        dim_users = self._save(
-            "dim_users",
-            populate_dim_users(users, self.run_ts, self._target("dim_users"), self.id_type),
-        )
-        dim_dates = self._save(
-            "dim_dates",
-            populate_dim_dates(
-                calendar_days(self.spark, *self.calendar), self._target("dim_dates")
-            ),
-        )
+        # Loads that do not depend on each other share the cluster.
+        inherited = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(len(LOADS)) as pool:
+            loads = [pool.submit(inherited(self._stage), name) for name in LOADS]
+            posts, users, comments = [load.result() for load in loads]
+            dimensions = [
+                pool.submit(inherited(self._users), users),
+                pool.submit(inherited(self._dates)),
+            ]
+            dim_users, dim_dates = [load.result() for load in dimensions]
 
         # All dates the fact can hold; user keys exist because of the inner join.
         dates = posts.select(date_key("loaded_at").alias("date_key")).distinct()

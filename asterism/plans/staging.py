@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asterism.functions.json import as_integer, as_text, json_dumps, optional, required
-from asterism.operators.dml import upsert_sequential
+from asterism.operators.dml import materialize, upsert_sequential
 from asterism.schemas import KEY_TYPES, Table, star_schema
 
 
@@ -39,6 +39,9 @@ def _load(
 ) -> DataFrame:
     now = moment(run_ts)
     batch = records.select(*[column.alias(name) for name, column in columns.items()], "arrival")
+    if target is not None:
+        # Parse the records once, not once per join.
+        batch = materialize(batch)
     return upsert_sequential(
         target, batch, table.primary_key, "arrival",
         stamp={"loaded_at": now}, defaults={"loaded_at": now}, schema=table.schema,
