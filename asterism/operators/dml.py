@@ -51,15 +51,19 @@ def one_per_key(batch: DataFrame, on: str) -> DataFrame:
     return chosen.select(on, "__one.*").select(*batch.columns)
 
 
-def _sole_row_per_key(batch: DataFrame, on: str) -> DataFrame:
-    rest = [name for name in batch.columns if name != on]
-    grouped = batch.groupBy(on).agg(
-        F.any_value(F.struct(*rest)).alias("__sole"), F.count("*").alias("__n")
-    )
+def _sole_row_per_key(batch: DataFrame, on: str, distinct: bool) -> DataFrame:
+    """Fail on a repeated key; with ``distinct``, on one whose rows differ."""
+    row = F.struct(*[name for name in batch.columns if name != on])
+    if distinct:
+        grouped = batch.groupBy(on).agg(F.min(row).alias("__sole"), F.max(row).alias("__other"))
+        repeated = F.col("__sole") != F.col("__other")
+    else:
+        grouped = batch.groupBy(on).agg(F.any_value(row).alias("__sole"), F.count("*").alias("__n"))
+        repeated = F.col("__n") > 1
     # The check hangs on the other columns: a key left as it is keeps the
     # partitioning by it usable for the joins to come.
     fail = F.raise_error(F.concat(F.lit(f"batch repeats {on} = "), F.col(on).cast("string")))
-    sole = F.when(F.col("__n") > 1, fail).otherwise(F.col("__sole")).alias("__sole")
+    sole = F.when(repeated, fail).otherwise(F.col("__sole")).alias("__sole")
     return grouped.select(on, sole).select(on, "__sole.*").select(*batch.columns)
 
 
@@ -182,10 +186,15 @@ def upsert_set(
     schema: T.StructType | None = None,
     serial: str | None = None,
     unique: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
-    """One-statement upsert: a key repeated in the batch fails, matched or not."""
+    """One-statement upsert: a key repeated in the batch fails, matched or not.
+
+    ``distinct`` upserts the distinct rows of the batch, in the same shuffle
+    that looks for repeated keys.
+    """
     if not unique:
-        batch = _sole_row_per_key(batch, on)
+        batch = _sole_row_per_key(batch, on, distinct)
     return merge(
         target, batch, on, update=update, stamp=stamp, defaults=defaults,
         schema=schema, serial=serial, unique=True,

@@ -38,13 +38,13 @@ def populate_dim_users(
     """
     table, now = star_schema(id_type)["dim_users"], moment(run_ts)
     batch = assign_varchars(
-        user_attributes(staging_users).distinct(),
+        user_attributes(staging_users),
         {name: n for name, n in table.lengths.items() if name in USER_ATTRIBUTES},
     )
     return upsert_set(
         target, batch, "user_id", update=USER_ATTRIBUTES, stamp={"updated_at": now},
         defaults={"valid_from": now, "is_current": F.lit(True), "updated_at": now},
-        schema=table.schema, serial=table.serial,
+        schema=table.schema, serial=table.serial, distinct=True,
     )
 
 

@@ -9,6 +9,7 @@ from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
 from asterism.operators.audit import counted
@@ -109,5 +110,5 @@ def run(
     configure(spark)
     warehouse = Warehouse(spark, root)
     warehouse.drop_unreferenced()
-    run_ts = run_ts or datetime.now()
+    run_ts = run_ts or spark.range(1).select(F.localtimestamp()).first()[0]
     return Run(spark, landing, warehouse, run_ts, **options).execute()

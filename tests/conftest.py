@@ -1,0 +1,27 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from asterism.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(8, app="tests", **{"spark.sql.shuffle.partitions": "4"})
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """The rows of a frame as sorted tuples, NULL first."""
+
+    def collect(df, *columns):
+        found = [tuple(row) for row in df.select(*columns or df.columns).collect()]
+        return sorted(found, key=lambda row: [(value is not None, value) for value in row])
+
+    return collect

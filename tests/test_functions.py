@@ -1,0 +1,144 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from asterism.functions.dates import date_key
+from asterism.functions.json import (
+    as_integer,
+    as_text,
+    has_key,
+    json_dumps,
+    json_text,
+    json_validate,
+    optional,
+    required,
+)
+from asterism.functions.text import body_length, word_count
+from asterism.plans.dimensions import calendar_attributes
+from asterism.schemas import KEY_TYPES
+from asterism.sources.calendar import calendar_days
+
+
+def value(spark, column, **inputs):
+    frame = spark.createDataFrame([tuple(inputs.values())], ", ".join(f"{k} string" for k in inputs))
+    return frame.select(column.alias("v")).first().v
+
+
+@pytest.mark.parametrize(
+    "text, words",
+    [("a b", 2), ("a  b ", 4), ("a\nb c", 2), ("a\tb", 1), ("", None), (None, None), (" ", 2),
+     ("é 😀", 2), ("x", 1)],
+)
+def test_word_count(spark, text, words):
+    assert value(spark, word_count("t"), t=text) == words
+
+
+@pytest.mark.parametrize("text, length", [("héé😀", 4), ("", 0), (None, None)])
+def test_body_length(spark, text, length):
+    assert value(spark, body_length("t"), t=text) == length
+
+
+def test_date_key(spark):
+    frame = spark.createDataFrame(
+        [(datetime(2024, 1, 7, 23, 59, 59), date(2024, 11, 30))], "ts timestamp_ntz, d date"
+    )
+    found = frame.select(date_key("ts").alias("a"), date_key("d").alias("b"))
+    assert found.first() == (20240107, 20241130)
+    assert [f.dataType.simpleString() for f in found.schema] == ["int", "int"]
+
+
+def test_calendar(spark):
+    days = {row.full_date: row for row in calendar_attributes(calendar_days(spark)).collect()}
+    assert len(days) == 2192
+    assert min(days) == date(2020, 1, 1) and max(days) == date(2025, 12, 31)
+    sunday, may = days[date(2024, 1, 7)], days[date(2024, 5, 1)]
+    assert (sunday.day_of_week, sunday.is_weekend, sunday.day_name) == (0, True, "Sunday   ")
+    assert (may.month_name, may.day_name, may.day_of_week) == ("May      ", "Wednesday", 3)
+    assert (may.date_key, may.year, may.quarter, may.month, may.day) == (20240501, 2024, 2, 5, 1)
+    assert not may.is_weekend and days[date(2024, 1, 6)].is_weekend
+
+
+@pytest.mark.parametrize(
+    "text, city",
+    [('{"city":"Q"}', "Q"), ("{}", None), ('{"city":null}', None), ("null", None),
+     ('{"city":""}', ""), ('[{"city":"Q"}]', None), ('"city"', None), ('{"city":5}', "5"),
+     (None, None)],
+)
+def test_json_text(spark, text, city):
+    assert value(spark, json_text("j", "city"), j=text) == city
+
+
+def test_json_dumps_keeps_nulls(spark):
+    record = F.struct(F.col("a"), F.lit(None).cast("string").alias("b"))
+    assert value(spark, json_dumps(record), a="é\n") == '{"a":"é\\n","b":null}'
+
+
+def test_json_validate(spark):
+    assert value(spark, F.to_json(json_validate("j")), j='{"b":1, "a":[1,2]}') == '{"a":[1,2],"b":1}'
+    assert value(spark, F.to_json(json_validate("j")), j='{"a":1,"a":2}') == '{"a":2}'
+    assert value(spark, F.to_json(json_validate("j", fail=False)), j="{") is None
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        value(spark, F.to_json(json_validate("j")), j="{")
+
+
+def record(key_value):
+    return F.parse_json(F.lit("{" + key_value + "}"))
+
+
+def test_required_keys(spark):
+    one = spark.range(1)
+    assert one.select(F.to_json(required(record('"a":null'), "a"))).first()[0] == "null"
+    with pytest.raises(Exception, match="required key 'a'"):
+        one.select(F.to_json(required(record('"b":1'), "a"))).collect()
+    assert one.select(has_key(record('"a":null'), "a"), has_key(record(""), "a")).first() == (
+        True, False,
+    )
+
+
+@pytest.mark.parametrize("given, phone", [("", ""), ('"phone":null', None), ('"phone":"5"', "5")])
+def test_optional_text(spark, given, phone):
+    column = as_text(optional(record(given), "phone", '""'), "phone")
+    assert spark.range(1).select(column).first()[0] == phone
+
+
+@pytest.mark.parametrize(
+    "given, address", [("", "{}"), ('"address":null', "null"), ('"address":{"city":"Q"}', '{"city":"Q"}')]
+)
+def test_optional_object(spark, given, address):
+    column = json_dumps(optional(record(given), "address", "{}"))
+    city = json_text(column, "city")
+    assert spark.range(1).select(column, city).first() == (
+        address, "Q" if "Q" in address else None,
+    )
+
+
+@pytest.mark.parametrize(
+    "given, number",
+    [("5", 5), ('"7"', 7), ("1.5", 2), ("2.4", 2), ("-1.5", -2), ("1e3", 1000), ("null", None)],
+)
+def test_as_integer(spark, given, number):
+    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
+    assert spark.range(1).select(as_integer(field, KEY_TYPES["int"], "a")).first()[0] == number
+
+
+@pytest.mark.parametrize("given", ["true", '"x"', '"1.5"', "3000000000", "{}", "[1]"])
+def test_as_integer_fails(spark, given):
+    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
+    with pytest.raises(Exception):
+        spark.range(1).select(as_integer(field, KEY_TYPES["int"], "a")).collect()
+
+
+@pytest.mark.parametrize(
+    "given, text", [('"x"', "x"), ("5", "5"), ("true", "true"), ("null", None), ('""', "")]
+)
+def test_as_text(spark, given, text):
+    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
+    assert spark.range(1).select(as_text(field, "a")).first()[0] == text
+
+
+@pytest.mark.parametrize("given", ["{}", "[1]"])
+def test_as_text_fails(spark, given):
+    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
+    with pytest.raises(Exception, match="no scalar"):
+        spark.range(1).select(as_text(field, "a")).collect()

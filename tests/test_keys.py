@@ -1,0 +1,61 @@
+import pytest
+from pyspark.sql import functions as F
+
+from asterism.operators.keys import highest, number_rows
+
+
+def test_ordered_and_dense(spark):
+    ids = spark.range(50_000).selectExpr("id * id % 1000003 as k").distinct().repartition(16)
+    numbered = number_rows(ids, "key", ["k"])
+    found = numbered.orderBy("k").collect()
+    assert [row.key for row in found] == list(range(1, len(found) + 1))
+    assert len(found) == ids.count()
+    assert numbered.schema["key"].dataType.simpleString() == "int"
+
+
+def test_spans_files(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = number_rows(spark.range(1_000), "key", ["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(numbered.inputFiles()) > 2
+    assert numbered.filter("key <> id + 1").count() == 0
+
+
+def test_text_keys(spark, rows):
+    names = spark.createDataFrame([("src10",), ("src2",), ("a",)], "name string")
+    assert rows(number_rows(names, "key", ["name"])) == [(1, "a"), (2, "src10"), (3, "src2")]
+
+
+def test_copies_are_numbered_as_they_lie(spark):
+    copies = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) v")
+    copies = copies.repartition(6)
+    numbered = number_rows(copies, "key")
+    assert numbered.agg(F.countDistinct("key"), F.min("key"), F.max("key")).first() == (
+        30_000, 1, 30_000,
+    )
+
+
+def test_start_type_and_empty(spark, rows):
+    two = spark.createDataFrame([(5,), (3,)], "k int")
+    assert rows(number_rows(two, "key", ["k"], start=41, type_="bigint")) == [(42, 3), (43, 5)]
+    empty = number_rows(two.filter("k > 9"), "key", ["k"])
+    assert empty.count() == 0 and empty.columns == ["key", "k"]
+
+
+def test_int_overflow_fails(spark):
+    with pytest.raises(Exception, match="OVERFLOW"):
+        number_rows(spark.range(2), "key", ["id"], start=2**31 - 2).collect()
+
+
+def test_same_numbers_on_every_reading(spark):
+    numbered = number_rows(spark.range(10_000).repartition(7), "key")
+    first = numbered.join(numbered.withColumnRenamed("key", "again"), "id")
+    assert first.filter("key <> again").count() == 0
+
+
+def test_highest(spark):
+    assert highest(None, "k") == 0
+    assert highest(spark.range(0), "id") == 0
+    assert highest(spark.range(5), "id") == 4
