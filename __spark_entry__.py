@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
-from asterism.functions.json import as_text, json_dumps, json_text, optional
+from asterism.functions.json import (
+    json_dumps,
+    json_text,
+    optional_text_field,
+    optional_value_field,
+    parse_fields,
+)
 from asterism.functions.text import body_length, word_count
 from asterism.operators.audit import row_counts
 from asterism.operators.checks import (
@@ -156,10 +162,12 @@ def json_default_fill(spark, sf):
         F.when(known, F.struct(F.col("source").alias("city"))).alias("address"),
     )
     text = F.when(F.col("toxic").isNull(), F.to_json(record)).otherwise(json_dumps(record))
-    return joined.select(F.col("doc_id").alias("id"), F.parse_json(text).alias("record")).select(
+    records = joined.select(F.col("doc_id").alias("id"), text.alias("record"))
+    fields = F.col("fields")
+    return records.withColumn("fields", parse_fields("record", ["phone"], ["address"])).select(
         "id",
-        as_text(optional("record", "phone", '""'), "phone").alias("phone"),
-        json_dumps(optional("record", "address", "{}")).alias("address"),
+        optional_text_field("record", fields, "phone").alias("phone"),
+        optional_value_field(fields, "address").alias("address"),
     )
 
 
@@ -467,8 +475,8 @@ def src_json_records(spark, sf):
 
 @register(f"""
 SELECT CAST(doc_id AS INTEGER) AS id, CAST(substr(source, 4) AS INTEGER) AS user_id, lang AS title,
-  text AS body, CAST(to_json({{'body': text, 'id': doc_id, 'title': lang,
-    'userId': CAST(substr(source, 4) AS INTEGER)}}) AS VARCHAR) AS raw_data, {TS} AS loaded_at
+  text AS body, CAST(to_json({{'id': doc_id, 'userId': CAST(substr(source, 4) AS INTEGER),
+    'title': lang, 'body': text}}) AS VARCHAR) AS raw_data, {TS} AS loaded_at
 FROM documents""")
 def stage_posts(spark, sf):
     return load_posts(read_records(spark, _land(_post_records(spark, sf), "posts")), RUN_TS)
@@ -477,8 +485,8 @@ def stage_posts(spark, sf):
 @register(f"""
 SELECT CAST(conv_id * 1000 + turn AS INTEGER) AS id, CAST(conv_id AS INTEGER) AS post_id, role AS name,
   role || '@example.net' AS email, text AS body,
-  CAST(to_json({{'body': text, 'email': role || '@example.net', 'id': conv_id * 1000 + turn,
-    'name': role, 'postId': conv_id}}) AS VARCHAR) AS raw_data, {TS} AS loaded_at
+  CAST(to_json({{'id': conv_id * 1000 + turn, 'postId': conv_id, 'name': role,
+    'email': role || '@example.net', 'body': text}}) AS VARCHAR) AS raw_data, {TS} AS loaded_at
 FROM conversations""")
 def stage_comments(spark, sf):
     return load_comments(read_records(spark, _land(_comment_records(spark, sf), "comments")), RUN_TS)

@@ -1,7 +1,16 @@
-"""JSON text, and fields of JSON records held as VARIANT."""
+"""JSON text and the fields of JSON records.
+
+Records are parsed once, by ``parse_fields``, into the fields a table needs.
+Whether a null field is absent or null is looked up in the record's keys, but
+only for those rows: the ``when`` around the lookup keeps it from the others.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,47 +36,56 @@ def json_validate(value: Column | str, *, fail: bool = True) -> Column:
     return parse(_column(value))
 
 
-def field(record: Column | str, key: str) -> Column:
-    """A field as VARIANT: SQL NULL if the key is absent, a variant null if it is null."""
-    return F.variant_get(_column(record), f"$['{key}']", "variant")
+def parse_fields(
+    record: Column | str, texts: Sequence[str], values: Sequence[str] = ()
+) -> Column:
+    """The record's fields as a struct: ``texts`` as STRING, ``values`` as VARIANT.
 
+    Malformed records fail the job. A text field that is absent or null is
+    NULL, one that is no JSON string is its JSON text. An absent value is NULL,
+    a null one a variant null.
+    """
+    schema = T.StructType(
+        [T.StructField(key, T.StringType()) for key in texts]
+        + [T.StructField(key, T.VariantType()) for key in values]
+    )
+    return F.from_json(_column(record), schema, {"mode": "FAILFAST"})
 
-def has_key(record: Column | str, key: str) -> Column:
-    return field(record, key).isNotNull()
 
+def missing_keys(record: Column | str, keys: Sequence[str]) -> Column:
+    present = F.json_object_keys(_column(record))
+    return F.array_except(F.array(*[F.lit(key) for key in keys]), present)
 
-def required(record: Column | str, key: str) -> Column:
-    """The field, or a failure when the record lacks the key."""
-    value = field(record, key)
-    missing = F.raise_error(F.lit(f"record without required key '{key}'"))
-    return F.when(value.isNull(), missing).otherwise(value)
 
+def if_complete(record: Column | str, fields: Column, keys: Sequence[str], value: Column) -> Column:
+    """``value``, or a failure when the record lacks one of the required text keys."""
+    missing = missing_keys(record, keys)
+    fail = F.raise_error(
+        F.concat(F.lit("record without required key "), F.array_join(missing, ", "))
+    )
+    any_null = reduce(or_, [fields.getField(key).isNull() for key in keys])
+    incomplete = F.when(any_null, F.size(missing) > 0).otherwise(F.lit(False))
+    return F.when(incomplete, fail).otherwise(value)
 
-def optional(record: Column | str, key: str, default: str) -> Column:
-    """The field, or the default (JSON text) when the record lacks the key."""
-    return F.coalesce(field(record, key), F.parse_json(F.lit(default)))
 
+def integer_field(fields: Column, key: str, type_: T.DataType) -> Column:
+    """A text field assigned to an integer column; anything but a whole number fails."""
+    text = fields.getField(key)
+    number = text.try_cast(type_)
+    fail = F.raise_error(F.concat(F.lit(f"key '{key}' holds no {type_.simpleString()}: "), text))
+    return F.when(number.isNull() & text.isNotNull(), fail).otherwise(number)
 
-def as_integer(value: Column, type_: T.DataType, key: str) -> Column:
-    """A VARIANT assigned to an integer column.
 
-    Whole numbers and their text form are taken over, fractions are rounded
-    half away from zero, anything else fails.
-    """
-    kind = F.schema_of_variant(value)
-    number = F.variant_get(value, "$", "double")
-    return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit(None).cast(type_))
-        .when(kind == "BIGINT", F.variant_get(value, "$", type_.simpleString()))
-        .when(kind == "STRING", F.variant_get(value, "$", "string").cast(type_))
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), F.round(number).cast(type_))
-        .otherwise(F.raise_error(F.concat(F.lit(f"key '{key}' holds no integer but "), kind)))
-    )
+def optional_text_field(
+    record: Column | str, fields: Column, key: str, default: str = ""
+) -> Column:
+    """The field, or the default when the record lacks the key; null stays NULL."""
+    text = fields.getField(key)
+    absent = F.size(missing_keys(record, [key])) > 0
+    return F.when(text.isNotNull(), text).otherwise(F.when(absent, F.lit(default)))
 
 
-def as_text(value: Column, key: str) -> Column:
-    """A scalar VARIANT as text; objects and arrays fail."""
-    kind = F.schema_of_variant(value)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    wrong = F.raise_error(F.concat(F.lit(f"key '{key}' holds no scalar but "), kind))
-    return F.when(nested, wrong).otherwise(F.variant_get(value, "$", "string"))
+def optional_value_field(fields: Column, key: str, default: str = "{}") -> Column:
+    """The field as JSON text, or the default; null is the text ``null``."""
+    value = fields.getField(key)
+    return F.when(value.isNull(), F.lit(default)).otherwise(json_dumps(value))

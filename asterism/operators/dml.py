@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,11 +35,18 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def last_per_key(batch: DataFrame, on: str, order: str | Column) -> DataFrame:
-    """The last row per key, whole; one shuffle of at most one row per key and task."""
+    """The last row per key, whole.
+
+    Each task keeps its own last row per key before the one shuffle, so a key
+    that fills the batch arrives as one row per task.
+    """
     order = F.col(order) if isinstance(order, str) else order
-    rest = [name for name in batch.columns if name != on]
-    last = F.max_by(F.struct(*rest), order).alias("__last")
-    return batch.groupBy(on).agg(last).select(on, "__last.*").select(*batch.columns)
+    latest = Window.partitionBy(on).orderBy(order.desc())
+    return (
+        batch.withColumn("__rank", F.row_number().over(latest))
+        .filter("__rank = 1")
+        .drop("__rank")
+    )
 
 
 def one_per_key(batch: DataFrame, on: str) -> DataFrame:

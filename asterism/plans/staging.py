@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from asterism.functions.json import as_integer, as_text, json_dumps, optional, required
+from pyspark.sql import types as T
+
+from asterism.functions.json import (
+    if_complete,
+    integer_field,
+    optional_text_field,
+    optional_value_field,
+    parse_fields,
+)
 from asterism.operators.dml import materialize, upsert_sequential
-from asterism.schemas import KEY_TYPES, Table, star_schema
+from asterism.schemas import Table, star_schema
 
 
 def moment(run_ts: datetime) -> Column:
@@ -17,28 +25,38 @@ def moment(run_ts: datetime) -> Column:
     return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _integer(key: str, id_type: str) -> Column:
-    return as_integer(required("record", key), KEY_TYPES[id_type], key)
-
-
-def _text(key: str) -> Column:
-    return as_text(required("record", key), key)
-
-
-def _optional_text(key: str) -> Column:
-    return as_text(optional("record", key, '""'), key)
-
-
-def _optional_object(key: str) -> Column:
-    return json_dumps(optional("record", key, "{}"))
-
-
 def _load(
-    table: Table, columns: dict[str, Column], records: DataFrame, run_ts: datetime,
-    target: DataFrame | None,
+    table: Table, required: dict[str, str], records: DataFrame, run_ts: datetime,
+    target: DataFrame | None, texts: Sequence[str] = (), values: Sequence[str] = (),
 ) -> DataFrame:
+    """Upsert records in payload order.
+
+    ``required`` maps JSON keys to columns; ``texts`` and ``values`` are
+    optional keys of the same name, defaulting to an empty text and object.
+    """
     now = moment(run_ts)
-    batch = records.select(*[column.alias(name) for name, column in columns.items()], "arrival")
+    fields = F.col("fields")
+    parsed = records.select(
+        "record", "arrival", parse_fields("record", [*required, *texts], values).alias("fields")
+    )
+
+    def column(key: str, name: str) -> Column:
+        type_ = table.schema[name].dataType
+        if isinstance(type_, T.StringType):
+            value = fields.getField(key)
+        else:
+            value = integer_field(fields, key, type_)
+        if name == table.primary_key:
+            value = if_complete("record", fields, list(required), value)
+        return value.alias(name)
+
+    batch = parsed.select(
+        *[column(key, name) for key, name in required.items()],
+        *[optional_text_field("record", fields, key).alias(key) for key in texts],
+        *[optional_value_field(fields, key).alias(key) for key in values],
+        F.col("record").alias("raw_data"),
+        "arrival",
+    )
     if target is not None:
         # Parse the records once, not once per join.
         batch = materialize(batch)
@@ -51,42 +69,24 @@ def _load(
 def load_posts(
     records: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
 ) -> DataFrame:
-    columns = {
-        "id": _integer("id", id_type),
-        "user_id": _integer("userId", id_type),
-        "title": _text("title"),
-        "body": _text("body"),
-        "raw_data": json_dumps("record"),
-    }
-    return _load(star_schema(id_type)["staging_posts"], columns, records, run_ts, target)
+    table = star_schema(id_type)["staging_posts"]
+    required = {"id": "id", "userId": "user_id", "title": "title", "body": "body"}
+    return _load(table, required, records, run_ts, target)
 
 
 def load_users(
     records: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
 ) -> DataFrame:
-    columns = {
-        "id": _integer("id", id_type),
-        "name": _text("name"),
-        "username": _text("username"),
-        "email": _text("email"),
-        "phone": _optional_text("phone"),
-        "website": _optional_text("website"),
-        "address": _optional_object("address"),
-        "company": _optional_object("company"),
-        "raw_data": json_dumps("record"),
-    }
-    return _load(star_schema(id_type)["staging_users"], columns, records, run_ts, target)
+    table = star_schema(id_type)["staging_users"]
+    required = {"id": "id", "name": "name", "username": "username", "email": "email"}
+    return _load(
+        table, required, records, run_ts, target, ("phone", "website"), ("address", "company")
+    )
 
 
 def load_comments(
     records: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
 ) -> DataFrame:
-    columns = {
-        "id": _integer("id", id_type),
-        "post_id": _integer("postId", id_type),
-        "name": _text("name"),
-        "email": _text("email"),
-        "body": _text("body"),
-        "raw_data": json_dumps("record"),
-    }
-    return _load(star_schema(id_type)["staging_comments"], columns, records, run_ts, target)
+    table = star_schema(id_type)["staging_comments"]
+    required = {"id": "id", "postId": "post_id", "name": "name", "email": "email", "body": "body"}
+    return _load(table, required, records, run_ts, target)

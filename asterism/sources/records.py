@@ -1,4 +1,4 @@
-"""Landed JSON collections, one VARIANT per record, with their payload order."""
+"""Landed JSON collections: the text of each record, with its payload order."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def read_records(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """Read a collection as ``record VARIANT, arrival STRUCT``.
+    """Read a collection as ``record STRING, arrival STRUCT``.
 
     ``arrival`` orders records as they were landed: by file path, then by place
     in the file. Within one split of a file the row number rises in reading
@@ -15,24 +15,26 @@ def read_records(spark: SparkSession, path: str, layout: str = "lines") -> DataF
     and comes out the same when a lost task is run again.
 
     ``lines`` is one record per line and splits to any size. ``array`` is one
-    JSON array per file, as a response body is saved; a file is read by one
-    task. Malformed JSON fails the job in both.
+    JSON array per file, as a response body is saved; such a file is read whole
+    by one task and has to stay below 2 GB.
     """
-    reader = spark.read.option("singleVariantColumn", "record").option("mode", "FAILFAST")
     file = [
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
     ]
     if layout == "lines":
-        return reader.json(path).select(
-            "record", F.struct(*file, F.monotonically_increasing_id().alias("row")).alias("arrival")
-        )
+        row = F.monotonically_increasing_id().alias("row")
+        text = F.trim("value")
+        lines = spark.read.text(path).select(text.alias("value"), F.struct(*file, row).alias("arrival"))
+        # The parser stops at the end of the first object; text after it has to fail.
+        torn = F.raise_error(F.concat(F.lit("malformed record in "), F.col("arrival.file")))
+        record = F.when(F.col("value").endswith("}"), F.col("value")).otherwise(torn)
+        return lines.filter("value <> ''").select(record.alias("record"), "arrival")
     if layout == "array":
-        bodies = reader.option("multiLine", "true").json(path).select(F.col("record").alias("body"), *file)
-        elements = spark.tvf.variant_explode(F.col("body").outer())
-        return bodies.lateralJoin(elements).select(
-            F.col("value").alias("record"),
-            F.struct("file", "split", F.col("pos").cast("bigint").alias("row")).alias("arrival"),
+        bodies = spark.read.text(path, wholetext=True).select("value", *file)
+        elements = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
+        return bodies.select(F.posexplode(elements).alias("row", "record"), *file).select(
+            "record", F.struct("file", "split", F.col("row").cast("bigint").alias("row")).alias("arrival")
         )
     raise ValueError(f"unknown layout {layout!r}")
 

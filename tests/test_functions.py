@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
 from asterism.functions.json import (
-    as_integer,
-    as_text,
-    has_key,
+    if_complete,
+    integer_field,
     json_dumps,
     json_text,
     json_validate,
-    optional,
-    required,
+    optional_text_field,
+    optional_value_field,
+    parse_fields,
 )
 from asterism.functions.text import body_length, word_count
 from asterism.plans.dimensions import calendar_attributes
@@ -82,63 +82,56 @@ def test_json_validate(spark):
         value(spark, F.to_json(json_validate("j")), j="{")
 
 
-def record(key_value):
-    return F.parse_json(F.lit("{" + key_value + "}"))
+def parsed(spark, record, texts, values=()):
+    frame = spark.createDataFrame([(record,)], "record string")
+    return frame.withColumn("fields", parse_fields("record", texts, values))
 
 
 def test_required_keys(spark):
-    one = spark.range(1)
-    assert one.select(F.to_json(required(record('"a":null'), "a"))).first()[0] == "null"
-    with pytest.raises(Exception, match="required key 'a'"):
-        one.select(F.to_json(required(record('"b":1'), "a"))).collect()
-    assert one.select(has_key(record('"a":null'), "a"), has_key(record(""), "a")).first() == (
-        True, False,
-    )
+    def complete(record):
+        column = if_complete("record", F.col("fields"), ["a", "b"], F.lit("ok"))
+        return parsed(spark, record, ["a", "b"]).select(column).first()[0]
 
-
-@pytest.mark.parametrize("given, phone", [("", ""), ('"phone":null', None), ('"phone":"5"', "5")])
-def test_optional_text(spark, given, phone):
-    column = as_text(optional(record(given), "phone", '""'), "phone")
-    assert spark.range(1).select(column).first()[0] == phone
+    assert complete('{"a":1,"b":"x"}') == "ok"
+    assert complete('{"a":null,"b":null}') == "ok"
+    for record, missing in [('{"a":1}', "b"), ('{"c":1}', "a, b"), ("{}", "a, b")]:
+        with pytest.raises(Exception, match=f"required key {missing}"):
+            complete(record)
 
 
 @pytest.mark.parametrize(
-    "given, address", [("", "{}"), ('"address":null', "null"), ('"address":{"city":"Q"}', '{"city":"Q"}')]
+    "record, phone", [("{}", ""), ('{"phone":null}', None), ('{"phone":"5"}', "5"), ('{"phone":5}', "5")]
 )
-def test_optional_object(spark, given, address):
-    column = json_dumps(optional(record(given), "address", "{}"))
-    city = json_text(column, "city")
-    assert spark.range(1).select(column, city).first() == (
-        address, "Q" if "Q" in address else None,
-    )
+def test_optional_text(spark, record, phone):
+    column = optional_text_field("record", F.col("fields"), "phone")
+    assert parsed(spark, record, ["phone"]).select(column).first()[0] == phone
 
 
 @pytest.mark.parametrize(
-    "given, number",
-    [("5", 5), ('"7"', 7), ("1.5", 2), ("2.4", 2), ("-1.5", -2), ("1e3", 1000), ("null", None)],
+    "record, address, city",
+    [
+        ("{}", "{}", None),
+        ('{"address":null}', "null", None),
+        ('{"address":{"city":"Q", "city":"R"}}', '{"city":"R"}', "R"),
+        ('{"address":"Q"}', '"Q"', None),
+    ],
 )
-def test_as_integer(spark, given, number):
-    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
-    assert spark.range(1).select(as_integer(field, KEY_TYPES["int"], "a")).first()[0] == number
-
-
-@pytest.mark.parametrize("given", ["true", '"x"', '"1.5"', "3000000000", "{}", "[1]"])
-def test_as_integer_fails(spark, given):
-    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
-    with pytest.raises(Exception):
-        spark.range(1).select(as_integer(field, KEY_TYPES["int"], "a")).collect()
+def test_optional_value(spark, record, address, city):
+    column = optional_value_field(F.col("fields"), "address")
+    found = parsed(spark, record, [], ["address"]).select(column, json_text(column, "city"))
+    assert found.first() == (address, city)
 
 
 @pytest.mark.parametrize(
-    "given, text", [('"x"', "x"), ("5", "5"), ("true", "true"), ("null", None), ('""', "")]
+    "given, number", [("5", 5), ('"7"', 7), ("-3", -3), ("null", None), ('1,"id":2', 2)]
 )
-def test_as_text(spark, given, text):
-    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
-    assert spark.range(1).select(as_text(field, "a")).first()[0] == text
+def test_integer_field(spark, given, number):
+    column = integer_field(F.col("fields"), "id", KEY_TYPES["int"])
+    assert parsed(spark, '{"id":' + given + "}", ["id"]).select(column).first()[0] == number
 
 
-@pytest.mark.parametrize("given", ["{}", "[1]"])
-def test_as_text_fails(spark, given):
-    field = F.variant_get(record(f'"a":{given}'), "$.a", "variant")
-    with pytest.raises(Exception, match="no scalar"):
-        spark.range(1).select(as_text(field, "a")).collect()
+@pytest.mark.parametrize("given", ["true", '"x"', "1.5", "3000000000", "{}", "[1]", '""'])
+def test_integer_field_fails(spark, given):
+    column = integer_field(F.col("fields"), "id", KEY_TYPES["int"])
+    with pytest.raises(Exception, match="key 'id' holds no int"):
+        parsed(spark, '{"id":' + given + "}", ["id"]).select(column).collect()
