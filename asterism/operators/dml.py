@@ -34,28 +34,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def last_per_key(batch: DataFrame, on: str, order: str | Column) -> DataFrame:
-    """The last row per key, whole.
-
-    Each task keeps its own last row per key before the one shuffle, so a key
-    that fills the batch arrives as one row per task.
-    """
-    order = F.col(order) if isinstance(order, str) else order
-    latest = Window.partitionBy(on).orderBy(order.desc())
+def _first_per_key(batch: DataFrame, on: str, order: Sequence[Column]) -> DataFrame:
+    # Spark keeps each task's own first row per key before the one shuffle, so
+    # a key that fills the batch arrives as one row per task.
+    ranked = Window.partitionBy(on).orderBy(*order)
     return (
-        batch.withColumn("__rank", F.row_number().over(latest))
+        batch.withColumn("__rank", F.row_number().over(ranked))
         .filter("__rank = 1")
         .drop("__rank")
     )
 
 
+def last_per_key(batch: DataFrame, on: str, order: str | Column) -> DataFrame:
+    """The last row per key, whole."""
+    order = F.col(order) if isinstance(order, str) else order
+    return _first_per_key(batch, on, [order.desc()])
+
+
 def one_per_key(batch: DataFrame, on: str) -> DataFrame:
     """Any one row per key; the choice depends on the rows only."""
-    rest = [name for name in batch.columns if name != on]
-    if not rest:
-        return batch.distinct()
-    chosen = batch.groupBy(on).agg(F.min(F.struct(*rest)).alias("__one"))
-    return chosen.select(on, "__one.*").select(*batch.columns)
+    rest = [F.col(name) for name in batch.columns if name != on]
+    return _first_per_key(batch, on, rest) if rest else batch.distinct()
 
 
 def _sole_row_per_key(batch: DataFrame, on: str, distinct: bool) -> DataFrame:

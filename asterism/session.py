@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     # partition was measured to be this small; wide rows then need no sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.enabled": "true",
+    # Size of the tasks, and so of the files, behind a shuffle.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 

@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 import pytest
 
+from asterism.__main__ import main
 from asterism.operators.checks import ConstraintViolation
 from asterism.plans.run import run
 from asterism.warehouse import Warehouse
@@ -112,7 +113,7 @@ def test_wide_ids(place):
     place.land([post(big, 1)], USERS, [comment(big, big)])
     place.run(id_type="bigint")
     assert place.rows("fact_posts", "post_key", "post_id", "comment_count") == [(1, big, 1)]
-    with pytest.raises(Exception, match="CAST"):
+    with pytest.raises(Exception, match="holds no int"):
         place.run(id_type="int")
 
 
@@ -196,3 +197,10 @@ def test_run_after_the_calendar_ends_fails(place):
     assert place.warehouse.current() == {}
     place.run(datetime(2026, 1, 1), calendar=(date(2020, 1, 1), date(2026, 12, 31)))
     assert place.rows("fact_posts", "post_id", "date_key")[0] == (1, 20260101)
+
+
+def test_command_line(place, capsys):
+    place.land()
+    main([str(place.landing / "a"), place.root, "--run-ts", "2024-05-01"])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["posts_count"] == 5
+    assert {row[0] for row in place.rows("fact_posts", "date_key")} == {20240501}
