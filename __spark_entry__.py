@@ -346,7 +346,7 @@ def merge_repeated_keys(spark, sf):
         F.col("o_totalprice").alias("price"),
         F.lit("kept").alias("action"),
     )
-    target = orders.join(batch.select("post_id"), "post_id", "left_anti")
+    target = orders.join(batch.select("post_id").distinct(), "post_id", "left_anti")
     return merge(
         target, batch, "post_id", update=["price"], stamp={"action": F.lit("updated")},
         defaults={"action": F.lit("inserted")},
@@ -422,7 +422,8 @@ def fk_user_orphans(spark, sf):
     posts = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("post_id"), F.col("o_custkey").alias("user_id")
     )
-    return fk_orphans(posts, "user_id", table(spark, sf, "events"), "user_id")
+    users = table(spark, sf, "events").select("user_id").distinct()
+    return fk_orphans(posts, "user_id", users, "user_id")
 
 
 @register("""

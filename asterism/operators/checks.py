@@ -24,7 +24,10 @@ def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fk_orphans(df: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows whose foreign key names no parent row; a NULL foreign key passes."""
+    """Rows whose foreign key names no parent row; a NULL foreign key passes.
+
+    ``parent_key`` is expected to be a key of the parent.
+    """
     known = parent.select(F.col(parent_key).alias(foreign_key))
     return df.filter(F.col(foreign_key).isNotNull()).join(known, foreign_key, "left_anti")
 

@@ -100,13 +100,16 @@ def merge(
     schema: T.StructType | None = None,
     serial: str | None = None,
     unique: bool = False,
+    unique_target: bool = False,
 ) -> DataFrame:
     """MERGE: matched rows are updated, the others inserted, target-only rows kept.
 
     ``update`` columns are taken from the batch and ``stamp`` columns set to
     their expression; all others keep the target's value. Two batch rows for a
     matched key fail; for an unmatched key both are inserted. ``unique`` states
-    that the batch was already reduced to one row per key. ``serial`` names a
+    that the batch was already reduced to one row per key, ``unique_target``
+    that ``on`` is a key of the target: otherwise the target's keys are reduced
+    before they are shuffled, as one of them may be most of it. ``serial`` names a
     surrogate key that inserted rows receive after the highest one in use, in
     the order of ``on`` if that is unique: then only the keys are written and
     ordered, and the numbers join back on them.
@@ -116,7 +119,10 @@ def merge(
     """
     schema = schema or target.schema
 
-    fresh = batch if target is None else batch.join(target.select(on), on, "left_anti")
+    fresh = batch
+    if target is not None:
+        known = target.select(on) if unique_target else target.select(on).distinct()
+        fresh = batch.join(known, on, "left_anti")
     if serial:
         key_type, start = schema[serial].dataType.simpleString(), highest(target, serial)
         if unique:
@@ -177,8 +183,9 @@ def upsert_sequential(
     batch = last_per_key(batch, on, order)
     update = [name for name in batch.columns if name != on and name in schema.names]
     return merge(
-        target, batch, on, update=update, stamp=stamp, defaults=defaults, schema=schema, unique=True
-    )
+        target, batch, on, update=update, stamp=stamp, defaults=defaults,
+        schema=schema, unique=True, unique_target=True,
+    )
 
 
 def upsert_set(
@@ -203,7 +210,7 @@ def upsert_set(
         batch = _sole_row_per_key(batch, on, distinct)
     return merge(
         target, batch, on, update=update, stamp=stamp, defaults=defaults,
-        schema=schema, serial=serial, unique=True,
+        schema=schema, serial=serial, unique=True, unique_target=True,
     )
 
 
@@ -219,5 +226,5 @@ def insert_ignore(
     """Insert rows whose key is new; a key repeated in the batch is kept once."""
     return merge(
         target, one_per_key(batch, on), on, defaults=defaults,
-        schema=schema, serial=serial, unique=True,
+        schema=schema, serial=serial, unique=True, unique_target=True,
     )

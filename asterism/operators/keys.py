@@ -42,7 +42,7 @@ def number_rows(
         written.select(file, row)
         .groupBy("__file")
         .agg((F.max("__row") + 1).alias("__rows"))
-        .withColumn("__part", F.regexp_extract("__file", r"part-(\d+)", 1).cast("int"))
+        .withColumn("__part", F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1).cast("int"))
     )
     # One row per written file, so this window and the broadcast are bounded by
     # the number of tasks that wrote, not by the data.

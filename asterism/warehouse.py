@@ -46,6 +46,13 @@ class Warehouse:
         folder = self.current().get(name)
         return None if folder is None else self.open(folder)
 
+    def create_views(self) -> list[str]:
+        """Temporary views of the current tables, for ``spark.sql``."""
+        tables = self.current()
+        for name, folder in tables.items():
+            self.open(folder).createOrReplaceTempView(name)
+        return sorted(tables)
+
     def publish(self, folders: Mapping[str, str]) -> None:
         """Make the given versions current, all at once."""
         pointer = {**self.current(), **folders}

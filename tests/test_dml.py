@@ -171,6 +171,18 @@ def test_merge_batch_holding_one_hot_key(spark):
     assert counts == {1: 4_000, 2: 10_000, 3: 5_000}
 
 
+def test_merge_into_target_holding_one_hot_key(spark):
+    """A third of the target shares the key of one batch row."""
+    target = spark.range(15_000).selectExpr("if(id % 3 = 0, -1, cast(id as int)) post_id", "1 price")
+    batch = spark.range(14_000, 16_000).selectExpr("cast(id as int) post_id", "2 price")
+    batch = batch.union(spark.sql("SELECT -1 post_id, 3 price"))
+    merged = merge(target, batch, "post_id", update=["price"], unique=True)
+    counts = {row.price: row["count"] for row in merged.groupBy("price").count().collect()}
+    updated = sum(1 for i in range(14_000, 15_000) if i % 3)
+    inserted = 1_000 + sum(1 for i in range(14_000, 15_000) if i % 3 == 0)
+    assert counts == {1: 10_000 - updated, 2: updated + inserted, 3: 5_000}
+
+
 def test_last_per_key_with_hot_key(spark):
     feed = spark.range(30_000).selectExpr("if(id % 3 = 0, 0, id) k", "id seq", "cast(id as string) v")
     last = last_per_key(feed, "k", "seq")
@@ -211,3 +223,34 @@ def test_sequential_upsert_invariants(spark, old, new):
     assert dict(found) == expected and len(found) == len(expected)
     again = upsert_sequential(once, batch, "id", "seq")
     assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(KEYED, KEYED)
+def test_merge_invariants(spark, old, new):
+    """Against the rule spelled out: fail, update in place, insert all, keep the rest."""
+    target = frame(spark, old, "id int, v string")
+    batch = frame(spark, new, "id int, v string")
+    known, keys = {key for key, _ in old}, [key for key, _ in new]
+    merged = merge(target, batch, "id", update=["v"])
+    if any(key in known and keys.count(key) > 1 for key in keys):
+        with pytest.raises(Exception, match="batch repeats id"):
+            merged.collect()
+        return
+    changed = dict(new)
+    expected = [(key, changed.get(key, value)) for key, value in old]
+    expected += [row for row in new if row[0] not in known]
+    assert sorted(map(str, merged.collect())) == sorted(
+        f"Row(id={key}, v={value!r})" for key, value in expected
+    )
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(KEYED, KEYED)
+def test_insert_ignore_invariants(spark, old, new):
+    existing = dict(old)
+    target = frame(spark, list(existing.items()), "id int, v string")
+    once = insert_ignore(target, frame(spark, new, "id int, v string"), "id")
+    found = [tuple(row) for row in once.collect()]
+    assert len(found) == len({key for key, _ in found}) == len(existing.keys() | dict(new).keys())
+    assert all(row in (existing.items() if row[0] in existing else new) for row in found)

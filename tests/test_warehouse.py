@@ -52,3 +52,9 @@ def test_partitioned(spark, warehouse):
     days = spark.range(10).selectExpr("id", "cast(id % 2 as int) date_key")
     warehouse.publish({"t": warehouse.save("t", days, ["date_key"])})
     assert warehouse.read("t").filter("date_key = 1").count() == 5
+
+
+def test_views(spark, warehouse):
+    warehouse.refresh("users", spark.range(10))
+    assert warehouse.create_views() == ["users"]
+    assert spark.sql("SELECT * FROM users").count() == 10
