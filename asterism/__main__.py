@@ -24,6 +24,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--keep", action="store_true", help="load over the current tables")
     parser.add_argument("--calendar-start", type=date.fromisoformat, default=CALENDAR_START)
     parser.add_argument("--calendar-end", type=date.fromisoformat, default=CALENDAR_END)
+    parser.add_argument("--buckets", type=int, help="buckets of the staged posts")
     options = parser.parse_args(arguments)
 
     logging.basicConfig(level=logging.INFO)
@@ -37,6 +38,7 @@ def main(arguments: list[str] | None = None) -> None:
         id_type=options.id_type,
         refresh=not options.keep,
         calendar=(options.calendar_start, options.calendar_end),
+        buckets=options.buckets,
     )
     print(json.dumps(counts))
 

@@ -13,6 +13,10 @@ def _file_system(spark: SparkSession, location: str):
     return _path(spark, location).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, location: str) -> str:
+    return _file_system(spark, location).makeQualified(_path(spark, location)).toString()
+
+
 def exists(spark: SparkSession, location: str) -> bool:
     return _file_system(spark, location).exists(_path(spark, location))
 

@@ -36,6 +36,18 @@ class Warehouse:
         df.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
         return folder
 
+    def save_bucketed(self, name: str, df: DataFrame, column: str, buckets: int) -> tuple[str, str]:
+        """Write a new version bucketed by ``column``; returns its folder and catalog entry.
+
+        Only a catalog entry tells Spark about buckets. The entry is external:
+        dropping it keeps the files, which also read as plain Parquet.
+        """
+        folder = f"{name}/v-{uuid.uuid4().hex}"
+        entry = f"asterism_{uuid.uuid4().hex}"
+        location = storage.qualified(self.spark, f"{self.root}/{folder}")
+        df.write.bucketBy(buckets, column).option("path", location).saveAsTable(entry)
+        return folder, entry
+
     def open(self, folder: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{folder}")
 

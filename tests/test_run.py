@@ -5,6 +5,7 @@ import pytest
 
 from asterism.__main__ import main
 from asterism.operators.checks import ConstraintViolation
+from asterism.plans.facts import fact_source
 from asterism.plans.run import run
 from asterism.warehouse import Warehouse
 
@@ -204,3 +205,40 @@ def test_command_line(place, capsys):
     main([str(place.landing / "a"), place.root, "--run-ts", "2024-05-01"])
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["posts_count"] == 5
     assert {row[0] for row in place.rows("fact_posts", "date_key")} == {20240501}
+
+
+def test_bucketed_posts(place, spark):
+    place.land()
+    place.run()
+    columns = ("post_key", "post_id", "user_key", "body", "word_count", "comment_count")
+    plain = place.rows("fact_posts", *columns)
+    place.run(DAY_2, buckets=4)
+    assert place.rows("fact_posts", *columns) == plain
+    assert place.rows("staging_posts", "id") == [(1,), (2,), (3,), (4,)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("asterism_")]
+
+
+def test_bucketed_texts_are_not_shuffled_again(place, spark):
+    place.land()
+    place.run()
+    posts, users, comments = (
+        place.warehouse.read(name) for name in ("staging_posts", "dim_users", "staging_comments")
+    )
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    _, entry = place.warehouse.save_bucketed("staging_posts", posts, "id", 4)
+    try:
+        def wide_shuffles(staged):
+            source = fact_source(staged, users, comments)
+            plan = source._jdf.queryExecution().executedPlan().toString()
+            # What stands below an exchange follows it, down to its scan.
+            below = [part.split("FileScan", 1)[-1].splitlines()[0] for part in plan.split("Exchange")[1:]]
+            return sum("body" in scan for scan in below)
+
+        assert wide_shuffles(posts) == 1
+        assert wide_shuffles(spark.table(entry)) == 0
+    finally:
+        spark.sql(f"DROP TABLE {entry}")
+        for limit in limits:
+            spark.conf.unset(limit)
