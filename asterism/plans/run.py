@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -17,7 +18,7 @@ from asterism.operators.checks import enforce, fk_orphans
 from asterism.plans.dimensions import populate_dim_dates, populate_dim_users
 from asterism.plans.facts import fact_source, populate_fact_posts
 from asterism.plans.staging import load_comments, load_posts, load_users
-from asterism.session import configure
+from asterism.session import configure, scratch_released
 from asterism.sources.calendar import CALENDAR_END, CALENDAR_START, calendar_days
 from asterism.sources.records import read_records
 from asterism.warehouse import Warehouse
@@ -91,7 +92,8 @@ class Run:
     def execute(self) -> dict[str, int]:
         """Load everything, then publish; returns records attempted per collection."""
         try:
-            self._load()
+            with scratch_released(self.spark):
+                self._load()
             self.warehouse.publish(self.saved)
         finally:
             for entry in self.entries:
@@ -101,13 +103,14 @@ class Run:
     def _load(self) -> None:
         # Loads that do not depend on each other share the cluster.
         inherited = inheritable_thread_target(self.spark)
+
+        def start(load, *arguments):
+            return pool.submit(copy_context().run, inherited(load), *arguments)
+
         with ThreadPoolExecutor(len(LOADS)) as pool:
-            loads = [pool.submit(inherited(self._stage), name) for name in LOADS]
+            loads = [start(self._stage, name) for name in LOADS]
             posts, users, comments = [load.result() for load in loads]
-            dimensions = [
-                pool.submit(inherited(self._users), users),
-                pool.submit(inherited(self._dates)),
-            ]
+            dimensions = [start(self._users, users), start(self._dates)]
             dim_users, dim_dates = [load.result() for load in dimensions]
 
         # All dates the fact can hold; user keys exist because of the inner join.

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from asterism import storage
+
 # Settings that may be changed on a running session.
 RUNTIME_CONF = {
     # A JSON object that repeats a key keeps the last value.
@@ -62,5 +67,29 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/asterism-{app_id}"
 
 
+_scratch_in_use: ContextVar[list[str] | None] = ContextVar("scratch_in_use", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    in_use = _scratch_in_use.get()
+    if in_use is not None:
+        in_use.append(path)
+    return path
+
+
+@contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside the block when it ends.
+
+    For work that has stored its results by then; frames handed out of the
+    block must not read from scratch.
+    """
+    in_use: list[str] = []
+    token = _scratch_in_use.set(in_use)
+    try:
+        yield
+    finally:
+        _scratch_in_use.reset(token)
+        for path in in_use:
+            storage.delete(spark, path)

@@ -3,10 +3,12 @@ from datetime import date, datetime
 
 import pytest
 
+from asterism import storage
 from asterism.__main__ import main
 from asterism.operators.checks import ConstraintViolation
 from asterism.plans.facts import fact_source
 from asterism.plans.run import run
+from asterism.session import scratch_root
 from asterism.warehouse import Warehouse
 
 DAY_1, DAY_2 = datetime(2024, 1, 1), datetime(2024, 5, 2, 3, 4, 5)
@@ -242,3 +244,12 @@ def test_bucketed_texts_are_not_shuffled_again(place, spark):
         spark.sql(f"DROP TABLE {entry}")
         for limit in limits:
             spark.conf.unset(limit)
+
+
+def test_scratch_is_released(place, spark):
+    place.land()
+    before = set(storage.children(spark, scratch_root(spark)))
+    place.run()
+    place.run(DAY_2, refresh=False)
+    assert set(storage.children(spark, scratch_root(spark))) == before
+    assert place.warehouse.read("fact_posts").count() == 3
