@@ -25,6 +25,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--calendar-start", type=date.fromisoformat, default=CALENDAR_START)
     parser.add_argument("--calendar-end", type=date.fromisoformat, default=CALENDAR_END)
     parser.add_argument("--buckets", type=int, help="buckets of the staged posts")
+    parser.add_argument("--verify", action="store_true", help="query all constraints")
     options = parser.parse_args(arguments)
 
     logging.basicConfig(level=logging.INFO)
@@ -39,6 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
         refresh=not options.keep,
         calendar=(options.calendar_start, options.calendar_end),
         buckets=options.buckets,
+        verify=options.verify,
     )
     print(json.dumps(counts))
 

@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asterism.schemas import Table
+
 
 class ConstraintViolation(Exception):
     pass
@@ -64,3 +66,27 @@ def enforce(violations: DataFrame, rule: str, mode: str = "fail") -> DataFrame:
         if example is not None:
             raise ConstraintViolation(f"{rule}: for example {example.asDict()}")
     return violations
+
+
+def table_violations(
+    df: DataFrame, table: Table, parents: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The violating rows of every rule the table declares, by rule."""
+    rules = {
+        f"{table.name}.{key} has to be unique": unique_violations(df, [key])
+        for key in (table.primary_key, *table.unique)
+    }
+    for name in table.not_null:
+        rules[f"{table.name}.{name} has to be not null"] = not_null_violations(df, [name])
+    for name, length in table.lengths.items():
+        rules[f"{table.name}.{name} is varchar({length})"] = varchar_violations(df, {name: length})
+    for name, (parent, key) in table.foreign_keys.items():
+        rules[f"{table.name}.{name} has to be in {parent}"] = fk_orphans(
+            df, name, parents[parent], key
+        )
+    return rules
+
+
+def enforce_table(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> None:
+    for rule, violations in table_violations(df, table, parents).items():
+        enforce(violations, rule)

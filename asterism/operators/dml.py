@@ -177,10 +177,13 @@ def upsert_sequential(
 ) -> DataFrame:
     """Row-by-row upsert in payload order: the last row per key replaces all columns.
 
-    ``order`` has to be non-null and unique per key.
+    ``order`` has to be non-null and unique per key. With a target, the last
+    rows are written to scratch, as both joins read them.
     """
     schema = schema or target.schema
     batch = last_per_key(batch, on, order)
+    if target is not None:
+        batch = materialize(batch.drop(*set(batch.columns) - set(schema.names)))
     update = [name for name in batch.columns if name != on and name in schema.names]
     return merge(
         target, batch, on, update=update, stamp=stamp, defaults=defaults,

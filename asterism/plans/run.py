@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
 from asterism.operators.audit import counted
-from asterism.operators.checks import enforce, fk_orphans
+from asterism.operators.checks import enforce, enforce_table, fk_orphans
 from asterism.plans.dimensions import populate_dim_dates, populate_dim_users
 from asterism.plans.facts import fact_source, populate_fact_posts
 from asterism.plans.staging import load_comments, load_posts, load_users
+from asterism.schemas import star_schema
 from asterism.session import configure, scratch_released
 from asterism.sources.calendar import CALENDAR_END, CALENDAR_START, calendar_days
 from asterism.sources.records import read_records
@@ -39,6 +40,10 @@ class Run:
     not shuffled again for the fact table. It is worth its files for large
     loads; with as many buckets as shuffle partitions, staging the posts takes
     no other shuffle than the one that looks for repeated ids.
+
+    The loads keep the declared keys, lengths and references by construction
+    or fail on the way. ``verify`` queries each of them once more on the stored
+    tables before they are published.
     """
 
     spark: SparkSession
@@ -50,6 +55,7 @@ class Run:
     refresh: bool = True
     calendar: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
     buckets: int | None = None
+    verify: bool = False
     counts: dict[str, int] = field(default_factory=dict)
     saved: dict[str, str] = field(default_factory=dict)
     entries: list[str] = field(default_factory=list)
@@ -94,12 +100,19 @@ class Run:
         try:
             with scratch_released(self.spark):
                 self._load()
+            if self.verify:
+                self._verify()
             self.warehouse.publish(self.saved)
         finally:
             for entry in self.entries:
                 self.spark.sql(f"DROP TABLE IF EXISTS {entry}")
         return self.counts
 
+    def _verify(self) -> None:
+        stored = {name: self.warehouse.open(folder) for name, folder in self.saved.items()}
+        for name, table in star_schema(self.id_type).items():
+            enforce_table(stored[name], table, stored)
+
     def _load(self) -> None:
         # Loads that do not depend on each other share the cluster.
         inherited = inheritable_thread_target(self.spark)

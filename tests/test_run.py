@@ -1,13 +1,15 @@
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 
 from asterism import storage
 from asterism.__main__ import main
-from asterism.operators.checks import ConstraintViolation
+from asterism.operators.checks import ConstraintViolation, table_violations
 from asterism.plans.facts import fact_source
 from asterism.plans.run import run
+from asterism.schemas import star_schema
 from asterism.session import scratch_root
 from asterism.warehouse import Warehouse
 
@@ -204,7 +206,7 @@ def test_run_after_the_calendar_ends_fails(place):
 
 def test_command_line(place, capsys):
     place.land()
-    main([str(place.landing / "a"), place.root, "--run-ts", "2024-05-01"])
+    main([str(place.landing / "a"), place.root, "--run-ts", "2024-05-01", "--verify"])
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["posts_count"] == 5
     assert {row[0] for row in place.rows("fact_posts", "date_key")} == {20240501}
 
@@ -253,3 +255,37 @@ def test_scratch_is_released(place, spark):
     place.run(DAY_2, refresh=False)
     assert set(storage.children(spark, scratch_root(spark))) == before
     assert place.warehouse.read("fact_posts").count() == 3
+
+
+def test_declared_rules(place):
+    place.land()
+    place.run()
+    tables = star_schema()
+    stored = {name: place.warehouse.read(name) for name in tables}
+    for name, table in tables.items():
+        for rule, violations in table_violations(stored[name], table, stored).items():
+            assert violations.isEmpty(), rule
+    fact = stored["fact_posts"]
+    broken = fact.union(fact.filter("post_id = 1")).selectExpr(
+        "post_key", "nullif(post_id, 4) post_id", "user_key + 1 user_key", "date_key"
+    )
+    found = table_violations(broken, tables["fact_posts"], stored)
+    assert {rule: rows.count() for rule, rows in found.items()} == {
+        "fact_posts.post_key has to be unique": 1,
+        "fact_posts.post_key has to be not null": 0,
+        "fact_posts.post_id has to be not null": 1,
+        "fact_posts.user_key has to be in dim_users": 2,
+        "fact_posts.date_key has to be in dim_dates": 0,
+    }
+
+
+def test_verify_stops_the_run(place, monkeypatch):
+    place.land()
+    tables = star_schema()
+    narrow = replace(tables["staging_posts"], unique=("user_id",))
+    monkeypatch.setattr("asterism.plans.run.star_schema", lambda id_type: {**tables, "staging_posts": narrow})
+    place.run()
+    before = place.warehouse.current()
+    with pytest.raises(ConstraintViolation, match="staging_posts.user_id has to be unique"):
+        place.run(verify=True)
+    assert place.warehouse.current() == before
