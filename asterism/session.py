@@ -14,6 +14,8 @@ from asterism import storage
 
 # Settings that may be changed on a running session.
 RUNTIME_CONF = {
+    # Overflow and malformed input raise.
+    "spark.sql.ansi.enabled": "true",
     # A JSON object that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Let AQE swap a sort-merge join for a hash join when every build-side
