@@ -31,8 +31,10 @@ from asterism.operators.checks import (
     varchar_violations,
 )
 from asterism.operators.dml import (
+    distinct_keys,
     insert_ignore,
     last_per_key,
+    materialize,
     merge,
     one_per_key,
     upsert_sequential,
@@ -208,7 +210,7 @@ ON o.o_custkey = u.user_id""")
 def inner_join_drop_orphans(spark, sf):
     """Orders of customers who show up in the event feed."""
     events = table(spark, sf, "events").select("user_id", "event_id", "event_type")
-    users = last_per_key(events, "user_id", "event_id")
+    users = materialize(last_per_key(events, "user_id", "event_id"))
     posts = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("post_id"), F.col("o_custkey").alias("user_id")
     )
@@ -346,10 +348,10 @@ def merge_repeated_keys(spark, sf):
         F.col("o_totalprice").alias("price"),
         F.lit("kept").alias("action"),
     )
-    target = orders.join(batch.select("post_id").distinct(), "post_id", "left_anti")
+    target = materialize(orders.join(distinct_keys(batch, "post_id"), "post_id", "left_anti"))
     return merge(
         target, batch, "post_id", update=["price"], stamp={"action": F.lit("updated")},
-        defaults={"action": F.lit("inserted")},
+        defaults={"action": F.lit("inserted")}, unique_target=True,
     )
 
 
@@ -422,7 +424,7 @@ def fk_user_orphans(spark, sf):
     posts = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("post_id"), F.col("o_custkey").alias("user_id")
     )
-    users = table(spark, sf, "events").select("user_id").distinct()
+    users = distinct_keys(table(spark, sf, "events"), "user_id")
     return fk_orphans(posts, "user_id", users, "user_id")
 
 

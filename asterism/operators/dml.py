@@ -4,7 +4,10 @@ Every write is two joins on the key: the target rows look up their new values
 (left join), the batch rows look for absence in the target (left anti join).
 Unlike one full outer join, both let Spark broadcast a batch that proves small,
 so that a large target is not shuffled, and both let AQE split a hot key.
-On a fresh target (``None``) neither join is needed.
+On a fresh target (``None``) neither join is needed. AQE splits a hot key only
+if both sides come straight from a shuffle: a side that was just grouped by the
+key shares that shuffle, so where the other side's key may repeat, the grouped
+one is written first (``materialize``) or grouped otherwise (``distinct_keys``).
 
 Presence of the struct of new values, never ``coalesce``, decides what a row
 takes: a NULL in the batch overwrites.
@@ -34,6 +37,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """The key column with repeats reduced to at most one per task.
+
+    For the far side of a semi or anti join, which few repeats do not harm but
+    a key that is most of the rows would. It leaves the rows partitioned by
+    more than the key, so that the join shuffles them anew.
+    """
+    return df.select(key, F.spark_partition_id().alias("__task")).distinct().select(key)
+
+
 def _first_per_key(batch: DataFrame, on: str, order: Sequence[Column]) -> DataFrame:
     # Spark keeps each task's own first row per key before the one shuffle, so
     # a key that fills the batch arrives as one row per task.
@@ -121,7 +134,7 @@ def merge(
 
     fresh = batch
     if target is not None:
-        known = target.select(on) if unique_target else target.select(on).distinct()
+        known = target.select(on) if unique_target else distinct_keys(target, on)
         fresh = batch.join(known, on, "left_anti")
     if serial:
         key_type, start = schema[serial].dataType.simpleString(), highest(target, serial)
@@ -142,8 +155,10 @@ def merge(
         found = batch.select(F.col(on).alias("__on"), new)
         repeated = None
     else:
-        found = batch.groupBy(F.col(on).alias("__on")).agg(
-            F.any_value(new).alias("__new"), F.count("*").alias("__n")
+        found = materialize(
+            batch.groupBy(F.col(on).alias("__on")).agg(
+                F.any_value(new).alias("__new"), F.count("*").alias("__n")
+            )
         )
         repeated = F.col("__n") > 1
     joined = target.join(found, F.col(on) == F.col("__on"), "left")
