@@ -222,10 +222,13 @@ def upsert_set(
     """One-statement upsert: a key repeated in the batch fails, matched or not.
 
     ``distinct`` upserts the distinct rows of the batch, in the same shuffle
-    that looks for repeated keys.
+    that looks for repeated keys. With a target, the checked batch is written
+    to scratch, as several joins read it.
     """
     if not unique:
         batch = _sole_row_per_key(batch, on, distinct)
+        if target is not None:
+            batch = materialize(batch)
     return merge(
         target, batch, on, update=update, stamp=stamp, defaults=defaults,
         schema=schema, serial=serial, unique=True, unique_target=True,
