@@ -645,9 +645,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return fact_posts(configure(spark), "/root/testdata/sf0.001")
 
 
+def _added() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where those are installed."""
+    queries: dict[str, Query] = {}
+    oracles: dict[str, str] = {}
+    try:
+        from asterism.llm.queries import ORACLES, QUERIES
+
+        queries |= QUERIES
+        oracles |= ORACLES
+        import corpus_pipeline
+
+        queries["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith(("asterism.llm", "corpus_pipeline")):
+            raise
+    return queries, oracles
+
+
 def queries() -> dict[str, Query]:
-    return {name: _configured(query) for name, query in _QUERIES.items()}
+    return {name: _configured(query) for name, query in _QUERIES.items()} | _added()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql.strip() for name, sql in _ORACLES.items()}
+    return {name: sql.strip() for name, sql in _ORACLES.items()} | _added()[1]
