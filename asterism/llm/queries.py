@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from asterism.llm import bpe
+from asterism.llm import bpe, exact_dedup, licenses, minhash, mixing, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +38,114 @@ def op4_byte_bpe(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text")
     coded = tokenizer.encode(documents).drop("text")
     return bpe.digests(tokenizer.decode(coded, offsets="offsets"))
+
+
+# --- mixing ----------------------------------------------------------------
+
+# The tree: domain, language, source. Sources belong to a domain by number.
+MIX_SEED = 2024
+MIX_EPOCHS = 4
+MIX_WEIGHTS = {
+    ("web",): 5,
+    ("reference",): 3,
+    ("forum",): 2,
+    **{(domain, "en"): 4 for domain in ("web", "reference", "forum")},
+    ("web", "de"): 2,
+    ("web", "fr"): 2,
+    ("reference", "en", "src1"): 3,
+}
+
+
+def domain() -> F.Column:
+    """src0 is the web, src1 to src9 are reference works, the others forums."""
+    return (
+        F.when(F.col("source") == "src0", F.lit("web"))
+        .when(F.col("source").rlike("^src[1-9]$"), F.lit("reference"))
+        .otherwise(F.lit("forum"))
+    )
+
+
+@register()
+def op1_mixing(spark, sf):
+    """A mixture as large as the corpus: documents and the epochs that take them."""
+    documents = table(spark, sf, "documents")
+    mixed = mixing.mix(
+        documents, [domain(), "lang", "source"], MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED
+    )
+    return mixed.select("doc_id", "lang", "source", "epoch", "n_tokens", "n_taken")
+
+
+# --- exact top-k search ----------------------------------------------------
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
+WHERE r <= 10"""
+
+
+@register(TOP_K)
+def op5_top_k(spark, sf):
+    vectors = table(spark, sf, "embeddings").filter(topk.usable("embedding"))
+    vectors = vectors.select(
+        F.col("vec_id").alias("id"), topk.quantised("embedding", 1024).alias("vector")
+    )
+    best = topk.top_k(vectors, vectors.filter("id % 100 = 0"), 10)
+    return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+# --- duplicates ------------------------------------------------------------
+
+EXACT_DEDUP = r"""
+WITH n AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+g AS (
+  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
+    first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(t) DESC, doc_id) AS keep_id FROM n)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g"""
+
+
+@register(EXACT_DEDUP)
+def op6_exact_dedup(spark, sf):
+    return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
+@register()
+def op9_minhash(spark, sf):
+    """The contract takes two words to a shingle; the library's default is five."""
+    documents = table(spark, sf, "documents")
+    return minhash.near_duplicates(documents, settings=minhash.Settings(shingle=2))
+
+
+# --- licenses and URLs -----------------------------------------------------
+
+
+@register()
+def op7_licenses(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+def labelled_urls(spark, sf) -> DataFrame:
+    """A page is bad if the document that its URL numbers is labelled as poor or toxic."""
+    pages = table(spark, sf, "pages").select(
+        "url",
+        F.regexp_extract("url", r"^[^?#]*/([0-9]{1,18})[^/?#]*/?(?:[?#]|$)", 1).alias("number"),
+    )
+    pages = pages.filter("number <> ''").withColumn("doc_id", F.col("number").cast("bigint"))
+    labels = table(spark, sf, "labels").groupBy("doc_id").agg(
+        F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad")
+    )
+    return pages.join(labels, "doc_id").select("url", "bad")
+
+
+@register()
+def op10_urls(spark, sf):
+    return urls.judge(table(spark, sf, "pages"), labelled_urls(spark, sf))
