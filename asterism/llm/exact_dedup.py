@@ -173,3 +173,24 @@ def exact_duplicates(
         stays.alias("kept"),
         "text_sha256",
     )
+
+
+def deduplicated(df: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, all columns kept.
+
+    A row goes when every row of its id goes (null ids count as one id here).
+    Rows that repeat both id and text of a row that stays are reduced to one.
+    """
+    found = stored(exact_duplicates(df, id_, text), "duplicates").withColumnRenamed(id_, "id")
+    by_id = found.groupBy("id").agg(
+        F.max("kept").alias("stays"),
+        (F.count("*") > F.approx_count_distinct("text_sha256")).alias("repeats"),
+    )
+    by_id = stored(by_id.filter("NOT stays OR repeats"), "decisions")
+    gone, again = by_id.filter("NOT stays"), by_id.filter("stays AND repeats")
+    own = df[id_]
+    kept = df.join(gone, own.eqNullSafe(gone["id"]), "left_anti")
+    if again.isEmpty():
+        return kept
+    twice = kept.join(again, own.eqNullSafe(again["id"]), "left_semi").dropDuplicates([id_, text])
+    return kept.join(again, own.eqNullSafe(again["id"]), "left_anti").unionByName(twice)

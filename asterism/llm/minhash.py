@@ -246,3 +246,12 @@ def near_duplicates(
             F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def deduplicated(
+    df: DataFrame, id_: str = "doc_id", text: str = "text", settings: Settings | None = None
+) -> DataFrame:
+    """The rows of ``df`` whose id stands for its component, all columns kept; null ids stay."""
+    found = near_duplicates(df, id_, text, settings)
+    gone = stored(found.filter("NOT kept").select(F.col(id_).alias("gone")).distinct(), "gone")
+    return df.join(gone, df[id_] == gone["gone"], "left_anti")

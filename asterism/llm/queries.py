@@ -8,13 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterism.llm import bpe, exact_dedup, licenses, minhash, mixing, topk, urls
+from asterism.llm import (
+    bpe,
+    exact_dedup,
+    licenses,
+    minhash,
+    mixing,
+    quality,
+    tokens,
+    topk,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
+# No public unigram model is at hand: the entries and scores of this one are
+# read as a unigram vocabulary.
+UNIGRAM_VOCABULARY = "piece_bpe_32k.model"
 
 
 def register(oracle: str | None = None) -> Callable[[Query], Query]:
@@ -149,3 +163,48 @@ def labelled_urls(spark, sf) -> DataFrame:
 @register()
 def op10_urls(spark, sf):
     return urls.judge(table(spark, sf, "pages"), labelled_urls(spark, sf))
+
+
+# --- classifiers -----------------------------------------------------------
+
+
+@register()
+def op2_quality(spark, sf):
+    """Scores of all documents, learned outside the held-out third."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = table(spark, sf, "labels").filter(~held_out)
+    model = quality.train(
+        documents.withColumnRenamed("doc_id", "id"),
+        labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")),
+    )
+    return quality.score(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.train(
+        documents.select(F.col("doc_id").alias("id"), "text"),
+        labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("grade")),
+    )
+
+
+@register()
+def op8_toxicity(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity_model(documents, table(spark, sf, "labels"))
+    return toxicity.severity(documents, model).drop("text")
+
+
+# --- token counts ----------------------------------------------------------
+
+
+@register()
+def op3_token_counts(spark, sf):
+    vocabulary = tokens.Vocabulary.load(public_tokenizers.path(UNIGRAM_VOCABULARY))
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return tokens.Unigram(spark, vocabulary).count(documents).drop("text")
