@@ -7,9 +7,9 @@
 3. Representatives that share a band key are candidates. A bucket is not
    expanded into its pairs: all members are compared with one leader, the
    member that meets most others (in a group of edited copies, the original).
-   After the links found so far have been contracted, only members of
-   different components are compared, so nothing is lost and a group that
-   hangs together costs as many comparisons as it has members.
+   A group that hangs together costs as many comparisons as it has members.
+   Members that are still in another component than their leader are joined
+   with all others of their buckets by their rarest shingles, which is exact.
 4. The packed bits estimate the similarity, corrected for chance agreement;
    pairs far below the threshold go. The rest is confirmed on full sets.
 """
@@ -159,6 +159,57 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, settings: Settin
     return stored(close.select("a", "b"), "close")
 
 
+def _prefix_pairs(open_: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar enough; exact.
+
+    ``open_`` has id, its component c, and out: whether to look for its links.
+    The shingles of each set are put in order of their frequency, the rarest
+    first. Two sets of m and n shingles that need an overlap of o have a common
+    one among the first m - o + 1 and n - o + 1. So what an edited copy added
+    fills its prefix, and neither the common text of its group nor a passage
+    that very many documents share brings any two together. Sizes are part of
+    the key, by classes, since o grows with both.
+    """
+    percent, whole = settings.percent, 100 + settings.percent
+    tokens = sets.join(open_.select("id"), "id").select("id", F.explode("shingles").alias("t"))
+    often = tokens.groupBy("t").agg(F.count("*").alias("n")).filter("n > 1")
+    counted = tokens.join(stored(often, "often"), "t", "left")
+    entry = F.struct(F.coalesce("n", F.lit(1)).alias("n"), "t")
+    ordered = counted.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("order"))
+    ordered = ordered.withColumn("m", F.size("order"))
+    first = F.slice("order", 1, (F.col("m") - F.ceil(F.col("m") * percent / 100) + 1).cast("int"))
+    prefix = ordered.select("id", "m", F.posexplode(first).alias("at", "entry")).filter("entry.n > 1")
+    prefix = prefix.join(open_, "id").select("id", "m", "at", F.col("entry.t").alias("t"), "c", "out")
+    prefix = stored(prefix, "prefix")
+
+    def size_class(size):
+        return F.floor(F.log(size.cast("double")) / math.log(1.05)).cast("int")
+
+    y = prefix.select(
+        F.col("id").alias("y"), F.col("m").alias("n"), F.col("at").alias("at_y"), "t",
+        F.col("c").alias("c_y"), F.coalesce("out", F.lit(False)).alias("out_y"),
+        size_class(F.col("m")).alias("size"),
+    )
+    least = F.ceil(F.col("m") * percent / 100)
+    most = F.least(
+        F.floor(F.col("m") * 100 / percent),
+        F.floor((F.col("m") - F.col("at")) * whole / percent) - F.col("m"),
+    )
+    x = prefix.filter("out").withColumns({"least": least, "most": most}).filter("least <= most")
+    x = x.withColumn(
+        "size", F.explode(F.sequence(size_class(F.col("least")), size_class(F.col("most"))))
+    )
+    overlap = F.ceil((F.col("m") + F.col("n")) * percent / whole)
+    met = x.join(y, ["t", "size"]).filter(
+        (F.col("c") != F.col("c_y"))
+        & F.col("n").between(F.col("least"), F.col("most"))
+        & (F.col("n") - F.col("at_y") >= overlap)
+        & (F.col("m") - F.col("at") >= overlap)
+        & (~F.col("out_y") | (F.col("id") < F.col("y")))
+    )
+    return met.select(F.least("id", "y").alias("a"), F.greatest("id", "y").alias("b"))
+
+
 def near_duplicates(
     df: DataFrame, id_: str = "doc_id", text: str = "text", settings: Settings | None = None
 ) -> DataFrame:
@@ -198,38 +249,28 @@ def near_duplicates(
         .agg(F.max(F.struct("meets", -F.col("id"))).alias("top"))
         .select("key", (-F.col("top.col2")).alias("leader"))
     )
-    leaders = stored(leaders, "leaders")
-    led = buckets.join(leaders, "key")
-    sized = F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")
-    first = _links(led.filter("id <> leader").select(*sized), nodes, sets, settings)
-
-    # Then members of one bucket that are still in different components.
-    found = components(first)
-    labelled = led.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n_shingles", "leader", F.coalesce("component", "id").alias("c")
-    )
-    labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    mixed = stored(mixed.filter("lo <> hi").select("key"), "mixed")
-    open_ = stored(labelled.join(mixed, "key", "left_semi"), "open")
-    home = open_.filter("id = leader").select("key", F.col("c").alias("home"))
-    outside = stored(
-        open_.join(stored(home.distinct(), "home"), "key").filter("c <> home AND id <> leader"),
-        "outside",
-    )
-    x, y = outside.alias("x"), open_.alias("y")
-    percent = F.lit(settings.percent)
-    again = x.join(y, F.col("x.key") == F.col("y.key")).filter(
-        (F.col("x.c") != F.col("y.c"))
-        & (F.col("y.id") != F.col("y.leader"))
-        & ((F.col("x.id") < F.col("y.id")) | (F.col("y.c") == F.col("x.home")))
-        & (100 * F.least("x.n_shingles", "y.n_shingles")
-           >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-    )
-    pairs = again.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    second = _links(pairs, nodes, sets, settings)
-
-    final = components(first.unionByName(second)).select(F.col("node").alias("rep"), "component")
+    led = stored(buckets.join(stored(leaders, "leaders"), "key").filter("id <> leader"), "led")
+    pairs = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    links = _links(pairs, nodes, sets, settings)
+
+    # Then members that are still outside their leader's component.
+    found = components(links)
+    of_id = found.select(F.col("node").alias("id"), F.col("component").alias("c"))
+    of_leader = found.select(F.col("node").alias("leader"), F.col("component").alias("home"))
+    outside = led.join(of_id, "id", "left").join(of_leader, "leader", "left")
+    outside = outside.filter(F.coalesce("c", "id") != F.coalesce("home", "leader"))
+    outside = stored(outside.select("key", "id", "leader"), "outside")
+    if not outside.isEmpty():
+        keys = outside.select("key").distinct()
+        open_ = buckets.join(stored(keys, "keys"), "key", "left_semi").select("id").distinct()
+        open_ = open_.join(of_id, "id", "left").select("id", F.coalesce("c", "id").alias("c"))
+        open_ = open_.join(outside.select("id", F.lit(True).alias("out")).distinct(), "id", "left")
+        more = _prefix_pairs(stored(open_, "open"), sets, settings)
+        more = _links(more, nodes, sets, settings)
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
+
+    final = found.withColumnRenamed("node", "rep")
     labels = stored(
         members.join(final, "rep", "left")
         .groupBy("id")
