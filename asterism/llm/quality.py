@@ -96,6 +96,11 @@ class Model:
         dense = (self.weighted(words, other) - self.mean) @ self.axes
         return dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
 
+    def shares(self) -> np.ndarray:
+        """Weight of each labelled row's vote: the classes count alike, however many rows they have."""
+        good = max(self.labels.mean(), 1e-9)
+        return np.where(self.labels == 1, 0.5 / good, 0.5 / max(1 - good, 1e-9))
+
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Similarity-weighted share of good neighbours; 0.5 with nothing to compare with."""
         out = np.full(len(texts), 0.5)
@@ -107,6 +112,7 @@ class Model:
             cosines = self.embed(*features(part, self.settings.buckets)) @ self.vectors.T
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
             weights = np.maximum(np.take_along_axis(cosines, near, 1), 1e-6).astype(float)
+            weights *= self.shares()[near]
             out[at : at + BLOCK_ROWS] = (weights * self.labels[near]).sum(1) / weights.sum(1)
         return out
 

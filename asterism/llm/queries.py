@@ -14,6 +14,7 @@ from asterism.llm import (
     licenses,
     minhash,
     mixing,
+    oracles,
     quality,
     tokens,
     topk,
@@ -79,7 +80,13 @@ def domain() -> F.Column:
     )
 
 
-@register()
+DOMAIN = (
+    "CASE WHEN source = 'src0' THEN 'web' "
+    "WHEN regexp_matches(source, '^src[1-9]$') THEN 'reference' ELSE 'forum' END"
+)
+
+
+@register(oracles.mixing(DOMAIN, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED))
 def op1_mixing(spark, sf):
     """A mixture as large as the corpus: documents and the epochs that take them."""
     documents = table(spark, sf, "documents")
@@ -142,16 +149,24 @@ def op9_minhash(spark, sf):
 # --- licenses and URLs -----------------------------------------------------
 
 
-@register()
+THRESHOLD = 0.8  # share of a template's words
+
+
+@register(oracles.licenses(licenses.PHRASES, licenses.TEMPLATES, THRESHOLD))
 def op7_licenses(spark, sf):
-    return licenses.scan(table(spark, sf, "documents"))
+    return licenses.scan(table(spark, sf, "documents"), threshold=THRESHOLD)
+
+
+# The number in the last piece of a URL's path.
+NUMBER = r"^[^?#]*/([0-9]{1,18})[^/?#]*/?(?:[?#]|$)"
+MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.001, 20, 0.5
 
 
 def labelled_urls(spark, sf) -> DataFrame:
     """A page is bad if the document that its URL numbers is labelled as poor or toxic."""
     pages = table(spark, sf, "pages").select(
         "url",
-        F.regexp_extract("url", r"^[^?#]*/([0-9]{1,18})[^/?#]*/?(?:[?#]|$)", 1).alias("number"),
+        F.regexp_extract("url", NUMBER, 1).alias("number"),
     )
     pages = pages.filter("number <> ''").withColumn("doc_id", F.col("number").cast("bigint"))
     labels = table(spark, sf, "labels").groupBy("doc_id").agg(
@@ -160,9 +175,15 @@ def labelled_urls(spark, sf) -> DataFrame:
     return pages.join(labels, "doc_id").select("url", "bad")
 
 
-@register()
+@register(oracles.urls(urls.RULES, MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE, NUMBER))
 def op10_urls(spark, sf):
-    return urls.judge(table(spark, sf, "pages"), labelled_urls(spark, sf))
+    return urls.judge(
+        table(spark, sf, "pages"),
+        labelled_urls(spark, sf),
+        min_support=MIN_SUPPORT,
+        min_count=MIN_COUNT,
+        min_confidence=MIN_CONFIDENCE,
+    )
 
 
 # --- classifiers -----------------------------------------------------------

@@ -1,8 +1,10 @@
 """Toxicity as an ordered severity, by cumulative-link regression on sparse words.
 
-A text's features are the log counts of a bounded list of words, those whose
-presence differs most between marked and unmarked documents of the labelled
-sample. One weight for each word is shared by all thresholds:
+A text's features are the log counts of a bounded list of words and word
+beginnings, those whose presence differs most between marked and unmarked
+documents of the labelled sample. Beginnings stand for families of words, of
+which a sample knows a part only. One weight for each feature is shared by all
+thresholds:
 P(grade >= k) = 1 / (1 + exp(threshold_k - weights . features)). The expected
 severity is the sum of these probabilities.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from asterism.llm.common import add_columns
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
+BEGINNINGS = (4, 5, 6, 7)  # characters
 MAX_CACHE = 200_000
 
 
@@ -33,27 +37,30 @@ class Settings:
     words: int = 512
     lift: float = 3.0
     severities: int = 2
-    penalty: float = 2e-3
-    steps: int = 600
+    penalty: float = 1e-4
+    steps: int = 400
     seed: int = 11
 
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased words without the punctuation at their ends; may hold empty strings."""
-    return [word.strip(EDGES) for word in (text or "").lower().split()]
+def features_of(word: str) -> tuple[str, ...]:
+    """A lower-cased word without the punctuation at its ends, and its beginnings."""
+    word = word.strip(EDGES)
+    begins = tuple(f"{word[:n]}*" for n in BEGINNINGS if len(word) > n)
+    return (word, *begins) if word else ()
 
 
 class _Index(dict):
-    """Raw word -> number of its feature, or -1; forgets everything when it is full."""
+    """Raw word -> numbers of its features; forgets everything when it is full."""
 
     def __init__(self, features: dict[str, int]):
         super().__init__()
         self.features = features
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= MAX_CACHE:
             self.clear()
-        found = self[word] = self.features.get(word.strip(EDGES), -1)
+        numbers = (self.features.get(f, -1) for f in features_of(word))
+        found = self[word] = tuple(n for n in numbers if n >= 0)
         return found
 
 
@@ -62,6 +69,7 @@ class Model:
     words: tuple[str, ...]
     weights: np.ndarray
     thresholds: np.ndarray  # rising; none: every text has severity 0
+    cut: float = 0.0  # log-odds of a grade above 0 from which a text counts as toxic
 
     def index(self) -> _Index:
         return _Index({word: i for i, word in enumerate(self.words)})
@@ -70,9 +78,8 @@ class Model:
         """P(grade >= k) for k = 1 and on, one row for each text."""
         sums = np.zeros(len(texts))
         for i, text in enumerate(texts):
-            found = Counter(map(index.__getitem__, (text or "").lower().split()))
-            found.pop(-1, None)
-            for feature, count in found.items():
+            found = [f for f in map(index.__getitem__, (text or "").lower().split()) if f]
+            for feature, count in Counter(chain.from_iterable(found)).items():
                 sums[i] += self.weights[feature] * np.log1p(count)
         return 1 / (1 + np.exp(np.clip(self.thresholds - sums[:, None], -500, 500)))
 
@@ -126,6 +133,17 @@ def fit_ordinal(
     return params[:width], thresholds(params)
 
 
+def best_cut(odds: np.ndarray, marked: np.ndarray, dear: float = 5.0) -> float:
+    """Where the share of marked rows found, less ``dear`` times that of clean rows
+    taken for marked, is largest; the middle of that range."""
+    order = np.argsort(-odds, kind="stable")
+    odds, marked = odds[order], marked[order]
+    gain = np.cumsum(marked) / marked.sum() - dear * np.cumsum(~marked) / (~marked).sum()
+    gain[:-1][odds[:-1] == odds[1:]] = -np.inf  # equal rows fall on one side
+    at = int(np.argmax(gain))
+    return float((odds[at] + odds[min(at + 1, len(odds) - 1)]) / 2)
+
+
 def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     """Learn from at most ``per_class`` marked and as many unmarked labelled rows.
 
@@ -149,9 +167,8 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
     sample = sample.groupBy("id", "grade").agg(F.max("text").alias("text"))
 
     def compute(texts: list) -> list[pa.Array]:
-        counted = [Counter(words_of(text)) for text in texts]
-        for words in counted:
-            words.pop("", None)
+        split = [(text or "").lower().split() for text in texts]
+        counted = [Counter(chain.from_iterable(map(features_of, words))) for words in split]
         return [
             pa.array([list(words) for words in counted], pa.list_(pa.string())),
             pa.array([list(words.values()) for words in counted], pa.list_(pa.int64())),
@@ -202,8 +219,9 @@ def _fit(counted: DataFrame, settings: Settings) -> Model:
         grades = grades + 1
         share = np.array([(grades >= k).mean() for k in range(1, grades.max() + 1)])
         return Model((), np.zeros(0), np.log((1 - share + 1e-9) / (share + 1e-9)))
-    weights, thresholds = fit_ordinal(np.log1p(x), grades, settings.penalty, settings.steps)
-    return Model(words, weights, thresholds)
+    x = np.log1p(x)
+    weights, thresholds = fit_ordinal(x, grades, settings.penalty, settings.steps)
+    return Model(words, weights, thresholds, best_cut(x @ weights - thresholds[0], grades > 0))
 
 
 def severity(
@@ -214,7 +232,8 @@ def severity(
     flag: str = "toxic",
     grade: str = "grade",
 ) -> DataFrame:
-    """Add the expected severity, the likeliest grade, and toxic: P(grade >= 1) is at least 1/2.
+    """Add the expected severity, the likeliest grade, and toxic: the odds of a grade
+    above 0 reach the model's cut.
 
     Whole texts of any length are scored; a null text scores like an empty one,
     which has no words. A model learned without marked rows finds nothing
@@ -233,7 +252,7 @@ def severity(
         ones, zeros = np.ones((len(texts), 1)), np.zeros((len(texts), 1))
         bounds = np.hstack([ones, above, zeros])
         likeliest = np.argmax(bounds[:, :-1] - bounds[:, 1:], axis=1)
-        any_ = above[:, 0] >= 0.5 if above.shape[1] else np.zeros(len(texts), bool)
+        any_ = above[:, 0] >= 1 / (1 + np.exp(-model.cut)) if above.shape[1] else zeros[:, 0] > 0
         return [
             pa.array(above.sum(1), pa.float64()),
             pa.array(likeliest, pa.int32()),

@@ -29,7 +29,7 @@ def _named_like(docs: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a grade above 0 is less likely than not."""
+    """Documents that the toxicity model does not flag."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     marks = {"out": "_severity", "flag": "_toxic", "grade": "_grade"}
     judged = toxicity.severity(docs, model, **marks)

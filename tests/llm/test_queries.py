@@ -1,0 +1,166 @@
+"""The registered queries: against SQL, or their contract by brute force; and the pipeline."""
+
+import hashlib
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from asterism.llm import bpe, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in "documents embeddings pages labels".split():
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def texts(duck):
+    return dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+
+
+def test_registered_by_the_driver_contract():
+    names = contract.queries().keys()
+    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if re.match(r"op\d", name)}
+    assert "pipeline" in names
+    assert queries.ORACLES.keys() <= contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_matches_sql(spark, duck, name):
+    ours = queries.QUERIES[name](spark, SF).toArrow()
+    theirs = duck.execute(queries.ORACLES[name]).to_arrow_table()
+    columns = sorted(ours.column_names)
+    assert columns == sorted(theirs.column_names)
+    types = [[str(t.schema.field(c).type) for c in columns] for t in (ours, theirs)]
+    assert types[0] == types[1]
+    values = [
+        sorted(tuple(str(row[c]) for c in columns) for row in t.to_pylist()) for t in (ours, theirs)
+    ]
+    assert values[0] and values[0] == values[1]
+
+
+def library():
+    path = public_tokenizers.path(queries.BYTE_VOCABULARY)
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={}
+    )
+
+
+def test_op4_digests(spark, texts):
+    tokenizer = library()
+    rows = queries.op4_byte_bpe(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = tokenizer.encode_ordinary(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_op2_op3_op8_cover_all_documents(spark, texts):
+    rows = queries.op2_quality(spark, SF).collect()
+    assert {r.doc_id for r in rows} == texts.keys()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+    assert {r.doc_id for r in queries.op3_token_counts(spark, SF).collect()} == texts.keys()
+    assert {r.doc_id for r in queries.op8_toxicity(spark, SF).collect()} == texts.keys()
+
+
+def shingles(text, width):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def representatives(texts, width):
+    sets = {i: shingles(t, width) for i, t in texts.items()}
+    label = {i: i for i in sets}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                label[y] = x
+    return {i: find(i) for i in ids}, sets
+
+
+def test_op9_components(spark, texts):
+    labels, sets = representatives(texts, 2)
+    got = {tuple(r) for r in queries.op9_minhash(spark, SF).collect()}
+    assert got == {(i, len(sets[i]), labels[i], labels[i] == i) for i in texts}
+
+
+def test_pipeline_by_brute_force(spark, texts):
+    """Each stage against a plain model of it, on what its predecessor kept."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "exact_dedup", "minhash", "mixing", "byte_bpe"]
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF).cache()
+        kept[name] = docs.collect()
+        if name != "byte_bpe":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+    judged = queries.op8_toxicity(spark, SF).collect()
+    assert {r.doc_id for r in kept["toxicity"]} == {r.doc_id for r in judged if not r.toxic}
+
+    best = {}
+    for r in kept["toxicity"]:
+        norm = re.sub(r"[\x20\x09-\x0D]", "", r.text)
+        best[norm] = min(best.get(norm, (1, 0)), (-len(r.text), r.doc_id))
+    assert sorted(r.doc_id for r in kept["exact_dedup"]) == sorted(i for _, i in best.values())
+
+    labels, _ = representatives({r.doc_id: r.text for r in kept["exact_dedup"]}, 5)
+    assert sorted(r.doc_id for r in kept["minhash"]) == sorted(i for i, x in labels.items() if i == x)
+
+    assert {r.doc_id for r in kept["mixing"]} <= {r.doc_id for r in kept["minhash"]}
+    budget = sum(len(r.text.split()) for r in kept["minhash"])
+    taken = sum(len(r.text.split()) for r in kept["mixing"])
+    longest = max(len(r.text.split()) for r in kept["minhash"])
+    assert 0.5 * budget < taken < budget + 100 * longest
+
+    tokenizer = library()
+    assert len(kept["byte_bpe"]) == len(kept["mixing"])
+    for r in kept["byte_bpe"]:
+        assert np.frombuffer(r.ids, "<u4").tolist() == tokenizer.encode_ordinary(texts[r.doc_id])
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    run = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(map(str, run)) == sorted(map(str, kept["byte_bpe"]))
+
+
+def test_stages_on_edge_rows(spark, tmp_path):
+    """Nulls, empty and repeated rows, extra columns, an empty table."""
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(1, "same text", None, None, None), (1, "same text", None, None, None), (2, None, "en", "src0", 0),
+            (3, "", "en", "src0", 0), (None, "no id", "en", "src1", 5), (4, "same  text", "en", "src2", 9)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for part in (rows, []):
+        docs = spark.createDataFrame([(*r, "x", 1) for r in part], schema + ", ids string, Epoch int")
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, str(tmp_path)).cache()
+            if name == "minhash":
+                ids = sorted(map(str, (r.doc_id for r in docs.collect())))
+                assert ids == (["2", "4", "None"] if part else [])
+        if not part:
+            assert docs.collect() == []
