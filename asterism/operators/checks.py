@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +16,24 @@ class ConstraintViolation(Exception):
     pass
 
 
+def required(df: DataFrame, holds: Column, failure: Column) -> DataFrame:
+    """``df``, or a failure where a row does not hold.
+
+    A row filter: unlike a check that hangs on an output column, it is there
+    whichever columns are read later, and for a mere count.
+    """
+    fail = F.raise_error(failure).cast("boolean")
+    return df.filter(F.when(F.coalesce(holds, F.lit(False)), F.lit(True)).otherwise(fail))
+
+
 def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count ``n``."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    """Keys that occur more than once, with their count ``n``.
+
+    As in SQL, a key with a NULL part equals no other; a primary key's columns
+    are NOT NULL besides.
+    """
+    whole = reduce(and_, [F.col(name).isNotNull() for name in keys])
+    return df.filter(whole).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,15 +61,21 @@ def varchar_violations(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
 def assign_varchars(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
     """Fit columns to VARCHAR(n) in the same pass: trim blanks, fail on the rest."""
 
+    fits = reduce(and_, [~F.coalesce(_too_long(name, n), F.lit(False)) for name, n in lengths.items()])
+    # Names the first column that does not fit.
+    failure = F.coalesce(
+        *[
+            F.when(_too_long(name, n), F.lit(f"value too long for '{name}' varchar({n})"))
+            for name, n in lengths.items()
+        ],
+        F.lit(""),
+    )
+
     def fitted(name: str, n: int) -> Column:
-        fail = F.raise_error(F.lit(f"value too long for '{name}' varchar({n})"))
-        return (
-            F.when(F.length(name) <= n, F.col(name))
-            .when(_too_long(name, n), fail)
-            .otherwise(F.substring(name, 1, n))
-        )
+        return F.when(F.length(name) <= n, F.col(name)).otherwise(F.substring(name, 1, n))
 
-    return df.withColumns({name: fitted(name, n) for name, n in lengths.items()})
+    checked = required(df, fits, failure)
+    return checked.withColumns({name: fitted(name, n) for name, n in lengths.items()})
 
 
 def enforce(violations: DataFrame, rule: str, mode: str = "fail") -> DataFrame:

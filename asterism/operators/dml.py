@@ -11,6 +11,9 @@ one is written first (``materialize``) or grouped otherwise (``distinct_keys``).
 
 Presence of the struct of new values, never ``coalesce``, decides what a row
 takes: a NULL in the batch overwrites.
+
+A write that has to fail does so whatever is read of its result: NULL keys meet
+a row filter, repeated keys are looked for before anything is joined.
 """
 
 from __future__ import annotations
@@ -21,13 +24,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from asterism.operators.checks import ConstraintViolation, required
 from asterism.operators.keys import highest, number_rows
 from asterism.session import scratch_path
 
 
-def _not_null(name: str) -> Column:
-    fail = F.raise_error(F.lit(f"null value in key column '{name}'"))
-    return F.when(F.col(name).isNull(), fail).otherwise(F.col(name)).alias(name)
+def _with_key(df: DataFrame, name: str) -> DataFrame:
+    return required(
+        df, F.col(name).isNotNull(), F.lit(f"null value in key column '{name}'")
+    )
+
+
+def _enforce_sole(batch: DataFrame, on: str) -> None:
+    """Fail on a key that occurs more than once; reads the key column only."""
+    repeated = batch.groupBy(on).agg(F.count("*").alias("n")).filter("n > 1").first()
+    if repeated is not None:
+        raise ConstraintViolation(f"batch repeats {on} = {repeated[on]}")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -70,22 +82,6 @@ def one_per_key(batch: DataFrame, on: str) -> DataFrame:
     return _first_per_key(batch, on, rest) if rest else batch.distinct()
 
 
-def _sole_row_per_key(batch: DataFrame, on: str, distinct: bool) -> DataFrame:
-    """Fail on a repeated key; with ``distinct``, on one whose rows differ."""
-    row = F.struct(*[name for name in batch.columns if name != on])
-    if distinct:
-        grouped = batch.groupBy(on).agg(F.min(row).alias("__sole"), F.max(row).alias("__other"))
-        repeated = F.col("__sole") != F.col("__other")
-    else:
-        grouped = batch.groupBy(on).agg(F.any_value(row).alias("__sole"), F.count("*").alias("__n"))
-        repeated = F.col("__n") > 1
-    # The check hangs on the other columns: a key left as it is keeps the
-    # partitioning by it usable for the joins to come.
-    fail = F.raise_error(F.concat(F.lit(f"batch repeats {on} = "), F.col(on).cast("string")))
-    sole = F.when(repeated, fail).otherwise(F.col("__sole")).alias("__sole")
-    return grouped.select(on, sole).select(on, "__sole.*").select(*batch.columns)
-
-
 def with_defaults(
     rows: DataFrame, schema: T.StructType, defaults: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -127,6 +123,10 @@ def merge(
     the order of ``on`` if that is unique: then only the keys are written and
     ordered, and the numbers join back on them.
 
+    Without ``unique`` the batch rows that match, and no others, are written
+    and searched for repeated keys before the joins. With it the caller answers
+    for the batch: a key repeated all the same would repeat target rows.
+
     With a target the batch is read more than once; a batch that is costly to
     compute should be written first (``materialize``).
     """
@@ -139,11 +139,12 @@ def merge(
     if serial:
         key_type, start = schema[serial].dataType.simpleString(), highest(target, serial)
         if unique:
-            numbers = number_rows(fresh.select(_not_null(on)), serial, [on], start, key_type)
+            fresh = _with_key(fresh, on)
+            numbers = number_rows(fresh.select(on), serial, [on], start, key_type)
             fresh = fresh.join(numbers, on)
         else:
             fresh = number_rows(fresh, serial, (), start, key_type)
-    fresh = with_defaults(fresh, schema, defaults).withColumn(on, _not_null(on))
+    fresh = _with_key(with_defaults(fresh, schema, defaults), on)
     if target is None:
         return fresh
 
@@ -151,16 +152,11 @@ def merge(
     if not update and not stamp:
         return target.select(*schema.names).unionByName(fresh)
     new = F.struct(F.lit(True).alias("hit"), *update).alias("__new")
-    if unique:
-        found = batch.select(F.col(on).alias("__on"), new)
-        repeated = None
-    else:
-        found = materialize(
-            batch.groupBy(F.col(on).alias("__on")).agg(
-                F.any_value(new).alias("__new"), F.count("*").alias("__n")
-            )
-        )
-        repeated = F.col("__n") > 1
+    matched = batch
+    if not unique:
+        matched = materialize(batch.select(on, *update).join(known, on, "left_semi"))
+        _enforce_sole(matched, on)
+    found = matched.select(F.col(on).alias("__on"), new)
     joined = target.join(found, F.col(on) == F.col("__on"), "left")
     hit = F.col("__new").isNotNull()
 
@@ -172,9 +168,6 @@ def merge(
             column = F.when(hit, F.col(f"__new.{name}").cast(field.dataType)).otherwise(old)
         else:
             column = old
-        if name == on and repeated is not None:
-            fail = F.raise_error(F.concat(F.lit(f"batch repeats {on} = "), old.cast("string")))
-            column = F.when(repeated, fail).otherwise(column)
         return column.alias(name)
 
     return joined.select(*[value(field) for field in schema.fields]).unionByName(fresh)
@@ -221,14 +214,14 @@ def upsert_set(
 ) -> DataFrame:
     """One-statement upsert: a key repeated in the batch fails, matched or not.
 
-    ``distinct`` upserts the distinct rows of the batch, in the same shuffle
-    that looks for repeated keys. With a target, the checked batch is written
-    to scratch, as several joins read it.
+    ``distinct`` upserts the distinct rows of the batch. The batch is written
+    to scratch, checked there by its keys alone, and read by the joins.
+    ``unique`` states that the caller knows the keys to be unique: then it is
+    neither written nor checked.
     """
     if not unique:
-        batch = _sole_row_per_key(batch, on, distinct)
-        if target is not None:
-            batch = materialize(batch)
+        batch = materialize(batch.distinct() if distinct else batch)
+        _enforce_sole(batch, on)
     return merge(
         target, batch, on, update=update, stamp=stamp, defaults=defaults,
         schema=schema, serial=serial, unique=True, unique_target=True,

@@ -30,11 +30,13 @@ def user_attributes(staging_users: DataFrame) -> DataFrame:
 
 def populate_dim_users(
     staging_users: DataFrame, run_ts: datetime, target: DataFrame | None = None,
-    id_type: str = "int",
+    id_type: str = "int", unique: bool = False,
 ) -> DataFrame:
     """Overwrite attributes of known users, add the others under new keys.
 
     The first version's validity columns stay as they are: no history is kept.
+    ``unique`` states that staged ids do not repeat, as is so for a staging
+    table; else the distinct rows are taken and a repeated id fails.
     """
     table, now = star_schema(id_type)["dim_users"], moment(run_ts)
     batch = assign_varchars(
@@ -43,8 +45,8 @@ def populate_dim_users(
     )
     return upsert_set(
         target, batch, "user_id", update=USER_ATTRIBUTES, stamp={"updated_at": now},
-        defaults={"valid_from": now, "is_current": F.lit(True), "updated_at": now},
-        schema=table.schema, serial=table.serial, distinct=True,
+        defaults=table.defaults(now), schema=table.schema, serial=table.serial,
+        unique=unique, distinct=True,
     )
 
 

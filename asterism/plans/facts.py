@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
 from asterism.functions.text import body_length, word_count
-from asterism.operators.dml import materialize, merge
+from asterism.operators.dml import distinct_keys, materialize, with_defaults
+from asterism.operators.keys import highest, number_rows
 from asterism.plans.staging import moment
 from asterism.schemas import star_schema
 
-FACT_ATTRIBUTES = (
-    "user_key", "date_key", "title", "body", "body_length", "word_count", "comment_count",
-)
-
-
 def count_by_key(rows: DataFrame, key: str, name: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").cast("int").alias(name))
 
@@ -33,40 +29,70 @@ def add_comment_counts(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return posts.join(counts, "post_id", "left").fillna(0, ["comment_count"])
 
 
-def fact_source(
+def fact_measures(
     staging_posts: DataFrame, dim_users: DataFrame, staging_comments: DataFrame
 ) -> DataFrame:
-    """One row per post of a known user.
+    """``post_id, user_key, comment_count`` of every post of a known user, on ids alone."""
+    posts = staging_posts.select(F.col("id").alias("post_id"), "user_id")
+    return add_comment_counts(lookup_keys(posts, dim_users), staging_comments)
+
 
-    The user lookup and the counts are joined on ids alone first. The texts
-    then move once, by post id, and a user who wrote a third of all posts
-    skews only the narrow lookup.
+def with_texts(measures: DataFrame, staging_posts: DataFrame) -> DataFrame:
+    """The measures, with whatever else they carry, and the columns made of the post itself.
+
+    Here the texts move, once and by post id: a user who wrote a third of all
+    posts skews only the narrow lookup before.
     """
-    posts = staging_posts.withColumnRenamed("id", "post_id")
-    keys = lookup_keys(posts.select("post_id", "user_id"), dim_users)
-    measures = add_comment_counts(keys, staging_comments)
+    posts = staging_posts.select(F.col("id").alias("post_id"), "title", "body", "loaded_at")
     return posts.join(measures, "post_id").select(
-        "post_id",
-        "user_key",
+        *measures.columns,
         date_key("loaded_at").alias("date_key"),
         "title",
         "body",
         body_length("body").alias("body_length"),
         word_count("body").alias("word_count"),
-        "comment_count",
     )
 
 
+def fact_source(
+    staging_posts: DataFrame, dim_users: DataFrame, staging_comments: DataFrame
+) -> DataFrame:
+    """One row per post of a known user."""
+    return with_texts(fact_measures(staging_posts, dim_users, staging_comments), staging_posts)
+
+
 def populate_fact_posts(
-    source: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
+    staging_posts: DataFrame,
+    dim_users: DataFrame,
+    staging_comments: DataFrame,
+    run_ts: datetime,
+    target: DataFrame | None = None,
+    id_type: str = "int",
 ) -> DataFrame:
+    """MERGE of the posts into the fact table, decided on ids before any text moves.
+
+    The narrow measures are written once. Posts the target knows keep its key
+    and creation time and take everything else from the batch, so of the target
+    only these two columns are looked up; the others are numbered. Then the
+    texts join once, and target rows without a post are added as they are. Post
+    ids are the staging table's primary key, so no post matches twice.
+    """
     table, now = star_schema(id_type)["fact_posts"], moment(run_ts)
-    # Post ids are the staging table's primary key and users are unique, so
-    # the source holds each post once.
+    serial, key_type = table.serial, table.schema[table.serial].dataType.simpleString()
+    measures = materialize(fact_measures(staging_posts, dim_users, staging_comments))
+    if target is None:
+        new, start = measures, 0
+    else:
+        new = measures.join(distinct_keys(target, "post_id"), "post_id", "left_anti")
+        start = highest(target, serial)
+    placed = number_rows(new, serial, ["post_id"], start, key_type)
     if target is not None:
-        source = materialize(source)
-    return merge(
-        target, source, "post_id", update=FACT_ATTRIBUTES, stamp={"updated_at": now},
-        defaults={"created_at": now, "updated_at": now},
-        schema=table.schema, serial=table.serial, unique=True,
-    )
+        known = measures.join(target.select("post_id", serial, "created_at"), "post_id")
+        placed = placed.withColumn("created_at", now).unionByName(known)
+    rows = with_defaults(
+        with_texts(placed, staging_posts), table.schema, table.defaults(now)
+    )
+    if target is None:
+        return rows
+    kept = target.join(measures.select("post_id"), "post_id", "left_anti")
+    return rows.unionByName(kept.select(*rows.columns))

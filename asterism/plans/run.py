@@ -16,7 +16,7 @@ from asterism.functions.dates import date_key
 from asterism.operators.audit import counted
 from asterism.operators.checks import enforce, enforce_table, fk_orphans
 from asterism.plans.dimensions import populate_dim_dates, populate_dim_users
-from asterism.plans.facts import fact_source, populate_fact_posts
+from asterism.plans.facts import populate_fact_posts
 from asterism.plans.staging import load_comments, load_posts, load_users
 from asterism.schemas import star_schema
 from asterism.session import configure, scratch_released
@@ -88,7 +88,8 @@ class Run:
     def _users(self, staging_users: DataFrame) -> DataFrame:
         target = self._target("dim_users")
         return self._save(
-            "dim_users", populate_dim_users(staging_users, self.run_ts, target, self.id_type)
+            "dim_users",
+            populate_dim_users(staging_users, self.run_ts, target, self.id_type, unique=True),
         )
 
     def _dates(self) -> DataFrame:
@@ -98,11 +99,14 @@ class Run:
     def execute(self) -> dict[str, int]:
         """Load everything, then publish; returns records attempted per collection."""
         try:
-            with scratch_released(self.spark):
+            with scratch_released(self.spark, f"{self.warehouse.root}/_scratch"):
                 self._load()
             if self.verify:
                 self._verify()
             self.warehouse.publish(self.saved)
+        except BaseException:
+            self.warehouse.discard()
+            raise
         finally:
             for entry in self.entries:
                 self.spark.sql(f"DROP TABLE IF EXISTS {entry}")
@@ -132,10 +136,10 @@ class Run:
             fk_orphans(dates, "date_key", dim_dates, "date_key"),
             "fact_posts.date_key has to be in dim_dates",
         )
-        source = fact_source(posts, dim_users, comments)
+        target = self._target("fact_posts")
         self._save(
             "fact_posts",
-            populate_fact_posts(source, self.run_ts, self._target("fact_posts"), self.id_type),
+            populate_fact_posts(posts, dim_users, comments, self.run_ts, target, self.id_type),
         )
 
 
@@ -145,6 +149,6 @@ def run(
     """Load the landed collections and publish the star schema under ``root``."""
     configure(spark)
     warehouse = Warehouse(spark, root)
-    warehouse.drop_unreferenced()
+    warehouse.drop_superseded()
     run_ts = run_ts or spark.range(1).select(F.localtimestamp()).first()[0]
     return Run(spark, landing, warehouse, run_ts, **options).execute()

@@ -59,7 +59,7 @@ def _load(
     )
     return upsert_sequential(
         target, batch, table.primary_key, "arrival",
-        stamp={"loaded_at": now}, defaults={"loaded_at": now}, schema=table.schema,
+        stamp={"loaded_at": now}, defaults=table.defaults(now), schema=table.schema,
     )
 
 

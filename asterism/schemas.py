@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column as Expression
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Key types: 32-bit as in the original data model, 64-bit for collections
@@ -39,6 +41,11 @@ class Table:
     def lengths(self) -> dict[str, int]:
         return {c.name: c.length for c in self.columns if c.length}
 
+    def defaults(self, now: Expression) -> dict[str, Expression]:
+        """What columns get that an insert leaves out; ``now`` is the run's timestamp."""
+        given = {c.name: c.default for c in self.columns if c.default is not None}
+        return {name: now if value is NOW else F.lit(value) for name, value in given.items()}
+
     @property
     def not_null(self) -> list[str]:
         return [c.name for c in self.columns if c.not_null or c.name == self.primary_key]

@@ -23,37 +23,3 @@ def exists(spark: SparkSession, location: str) -> bool:
 
 def delete(spark: SparkSession, location: str) -> None:
     _file_system(spark, location).delete(_path(spark, location), True)
-
-
-def children(spark: SparkSession, location: str) -> list[str]:
-    if not exists(spark, location):
-        return []
-    listed = _file_system(spark, location).listStatus(_path(spark, location))
-    return [status.getPath().getName() for status in listed]
-
-
-def read_text(spark: SparkSession, location: str) -> str:
-    stream = _file_system(spark, location).open(_path(spark, location))
-    try:
-        return bytes(stream.readAllBytes()).decode("utf-8")
-    finally:
-        stream.close()
-
-
-def replace_text(spark: SparkSession, location: str, text: str) -> None:
-    """Write a small file so that readers see either the old or the new text."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fresh = f"{location}.next"
-    stream = _file_system(spark, fresh).create(_path(spark, fresh), True)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    rename = getattr(hadoop, "Options$Rename")
-    flags = spark.sparkContext._gateway.new_array(rename, 1)
-    flags[0] = rename.OVERWRITE
-    target = _file_system(spark, location).makeQualified(_path(spark, location))
-    context = hadoop.FileContext.getFileContext(
-        target.toUri(), spark._jsc.hadoopConfiguration()
-    )
-    context.rename(_path(spark, fresh), _path(spark, location), flags)

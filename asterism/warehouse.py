@@ -1,51 +1,73 @@
-"""Full refresh with an atomic swap on plain Parquet folders.
+"""Full refresh on plain Parquet folders.
 
-Every save goes to a new folder. One small pointer file names the current
-folder of each table; replacing it publishes all tables of a run together, and
-a run that fails leaves the former contents in place. One writer at a time.
+Every save goes to a new folder. A publication is one more row in a small JSON
+table that names the folder of each table, so all tables of a run appear
+together, and a run that fails leaves the former ones in place. The rows are
+also the record of what this library wrote: nothing else is ever deleted. One
+writer at a time.
 """
 
 from __future__ import annotations
 
-import json
+import logging
+import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asterism import storage
 
-POINTER = "current.json"
+log = logging.getLogger(__name__)
+
+PUBLICATIONS = "publications"
+SCHEMA = "version bigint, tables map<string, string>"
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._pointer = f"{self.root}/{POINTER}"
+        self._unpublished: list[str] = []
+
+    def history(self) -> list[dict[str, str]]:
+        """Table name -> folder below the root, of every publication, the current one last."""
+        path = f"{self.root}/{PUBLICATIONS}"
+        if not storage.exists(self.spark, path):
+            return []
+        try:
+            rows = self.spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(path).collect()
+        except Exception as error:
+            raise ValueError(f"{path} cannot be read, so nothing below {self.root} is touched") from error
+        return [row.tables for row in sorted(rows, key=lambda row: row.version)]
 
     def current(self) -> dict[str, str]:
-        """Table name -> folder, relative to the root."""
-        if not storage.exists(self.spark, self._pointer):
-            return {}
-        return json.loads(storage.read_text(self.spark, self._pointer))
+        return next(reversed(self.history()), {})
 
-    def save(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Write a new version without publishing it; returns its folder."""
+    def _new_folder(self, name: str) -> str:
         folder = f"{name}/v-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
+        self._unpublished.append(folder)
+        return folder
+
+    def save(self, name: str, df: DataFrame) -> str:
+        """Write a new version without publishing it; returns its folder."""
+        folder = self._new_folder(name)
+        df.write.parquet(f"{self.root}/{folder}")
         return folder
 
     def save_bucketed(self, name: str, df: DataFrame, column: str, buckets: int) -> tuple[str, str]:
         """Write a new version bucketed by ``column``; returns its folder and catalog entry.
 
-        Only a catalog entry tells Spark about buckets. The entry is external:
+        The rows are dealt by bucket first, so that there is one file each. Only
+        a catalog entry tells Spark about buckets. The entry is external:
         dropping it keeps the files, which also read as plain Parquet.
         """
-        folder = f"{name}/v-{uuid.uuid4().hex}"
+        folder = self._new_folder(name)
         entry = f"asterism_{uuid.uuid4().hex}"
         location = storage.qualified(self.spark, f"{self.root}/{folder}")
-        df.write.bucketBy(buckets, column).option("path", location).saveAsTable(entry)
+        dealt = df.repartition(buckets, column)
+        dealt.write.bucketBy(buckets, column).option("path", location).saveAsTable(entry)
         return folder, entry
 
     def open(self, folder: str) -> DataFrame:
@@ -67,23 +89,34 @@ class Warehouse:
 
     def publish(self, folders: Mapping[str, str]) -> None:
         """Make the given versions current, all at once."""
-        pointer = {**self.current(), **folders}
-        storage.replace_text(self.spark, self._pointer, json.dumps(pointer, indent=1))
+        tables = {**self.current(), **folders}
+        pairs = [F.lit(x) for pair in tables.items() for x in pair]
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(time.time_ns()).alias("version"), F.create_map(*pairs).alias("tables")
+        )
+        row.write.mode("append").json(f"{self.root}/{PUBLICATIONS}")
+        self._unpublished = [f for f in self._unpublished if f not in tables.values()]
 
     def refresh(self, name: str, df: DataFrame) -> DataFrame:
         """Replace a table's contents and read them back."""
         self.publish({name: self.save(name, df)})
         return self.read(name)
 
-    def drop_unreferenced(self) -> None:
-        """Delete superseded versions and what failed runs left behind.
+    def drop_superseded(self) -> None:
+        """Delete the versions that an earlier publication named and the current one does not.
 
-        Kept until the next run, so that readers of the former version finish.
+        Done by the next run, so that readers of the former version finish.
         """
-        kept = set(self.current().values())
-        for name in storage.children(self.spark, self.root):
-            if name == POINTER or name.startswith("."):
-                continue
-            for version in storage.children(self.spark, f"{self.root}/{name}"):
-                if version.startswith("v-") and f"{name}/{version}" not in kept:
-                    storage.delete(self.spark, f"{self.root}/{name}/{version}")
+        history = self.history()
+        if not history:
+            log.info("nothing is published below %s, so nothing is deleted", self.root)
+            return
+        former = {folder for tables in history for folder in tables.values()}
+        for folder in sorted(former - set(history[-1].values())):
+            storage.delete(self.spark, f"{self.root}/{folder}")
+
+    def discard(self) -> None:
+        """Delete what this object has saved and not published."""
+        for folder in self._unpublished:
+            storage.delete(self.spark, f"{self.root}/{folder}")
+        self._unpublished = []

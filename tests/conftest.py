@@ -5,14 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from asterism.session import local_session  # noqa: E402
+from asterism.session import local_session, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, app="tests", **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("OFF")
-    yield session
+    yield ship_package(session)
     session.stop()
 
 

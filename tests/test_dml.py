@@ -67,6 +67,54 @@ def test_null_key_fails(spark):
         dim_upsert(spark, None, frame(spark, [(None, "e")], "user_id int, email string")).collect()
 
 
+def readings(df):
+    """Ways to read a frame that leave out most of it."""
+    return [df.count, *[df.select(name).collect for name in df.columns]]
+
+
+def fails_however_read(write, match):
+    """The write fails at once, or whichever of its columns is read, or none."""
+    with pytest.raises(Exception, match=match):
+        df = write()
+        for read in readings(df):
+            with pytest.raises(Exception, match=match):
+                read()
+        raise AssertionError(match)
+
+
+def test_failures_do_not_depend_on_the_columns_read(spark):
+    target = frame(spark, [(1, "a", 1)], POSTS)
+    nulls = frame(spark, [(None, "a", 1), (2, "b", 1)], POSTS)
+    repeated = frame(spark, [(1, "a", 1), (1, "b", 2)], POSTS)
+    fresh = frame(spark, [(5, "a", 1), (5, "b", 2)], POSTS)
+    options = {"schema": target.schema}
+    for existing in (None, target):
+        for write in (
+            lambda t: upsert_sequential(t, nulls.withColumn("s", F.lit(1)), "id", "s", **options),
+            lambda t: upsert_set(t, nulls, "id", update=["title", "n"], **options),
+            lambda t: insert_ignore(t, nulls, "id", **options),
+            lambda t: merge(t, nulls, "id", update=["title"], **options),
+        ):
+            fails_however_read(lambda: write(existing), "null value in key column 'id'")  # noqa: B023
+        for batch in (repeated, fresh):
+            fails_however_read(
+                lambda: upsert_set(existing, batch, "id", update=["title"], **options),  # noqa: B023
+                "batch repeats id",
+            )
+    fails_however_read(lambda: merge(target, repeated, "id", update=["title"]), "batch repeats id")
+
+
+def test_plans_do_not_sort_to_aggregate(spark):
+    target = frame(spark, [(1, "a", 1)], POSTS)
+    batch = frame(spark, [(1, "b", 2), (3, "c", 3)], POSTS)
+    for df in (
+        upsert_set(target, batch, "id", update=["title", "n"], distinct=True),
+        upsert_set(target, batch, "id", update=["title", "n"]),
+        merge(target, batch, "id", update=["title", "n"]),
+    ):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_set_upsert_updates_in_place(spark, rows):
     target = frame(spark, [(7, 1, "old", "then", "then"), (9, 2, "kept", "then", "then")], DIM)
     batch = frame(spark, [(1, "new"), (3, "c"), (4, None)], "user_id int, email string")
@@ -232,11 +280,11 @@ def test_merge_invariants(spark, old, new):
     target = frame(spark, old, "id int, v string")
     batch = frame(spark, new, "id int, v string")
     known, keys = {key for key, _ in old}, [key for key, _ in new]
-    merged = merge(target, batch, "id", update=["v"])
     if any(key in known and keys.count(key) > 1 for key in keys):
         with pytest.raises(Exception, match="batch repeats id"):
-            merged.collect()
+            merge(target, batch, "id", update=["v"]).collect()
         return
+    merged = merge(target, batch, "id", update=["v"])
     changed = dict(new)
     expected = [(key, changed.get(key, value)) for key, value in old]
     expected += [row for row in new if row[0] not in known]

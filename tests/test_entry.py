@@ -20,11 +20,14 @@ def duck():
     return connection
 
 
+OWN = list(contract._QUERIES)  # those of the star schema; others have tests of their own
+
+
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert set(OWN) <= contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_matches_sql(spark, duck, name):
     ours = contract.queries()[name](spark, SF).toArrow()
     theirs = duck.execute(contract.oracle_sql()[name]).to_arrow_table()

@@ -1,17 +1,19 @@
 import json
+import re
 from dataclasses import replace
 from datetime import date, datetime
+from pathlib import Path
 from random import Random
 
 import pytest
 
-from asterism import storage
 from asterism.__main__ import main
 from asterism.operators.checks import ConstraintViolation, table_violations
+from asterism.plans import facts
 from asterism.plans.facts import fact_source
 from asterism.plans.run import run
 from asterism.schemas import star_schema
-from asterism.session import scratch_root
+from asterism.session import configure
 from asterism.warehouse import Warehouse
 
 DAY_1, DAY_2 = datetime(2024, 1, 1), datetime(2024, 5, 2, 3, 4, 5)
@@ -251,13 +253,55 @@ def test_bucketed_texts_are_not_shuffled_again(place, spark):
 
 def test_scratch_is_released(place, spark):
     place.land()
-    before = set(storage.children(spark, scratch_root(spark)))
     place.run()
     place.run(DAY_2, refresh=False)
-    assert set(storage.children(spark, scratch_root(spark))) == before
+    assert not [p for p in Path(place.root).rglob("*.parquet") if "_scratch" in p.parts]
     assert place.warehouse.read("fact_posts").count() == 3
 
 
+@pytest.mark.parametrize("existing", [False, True])
+def test_fact_load_reads_each_table_once(place, spark, monkeypatch, existing):
+    """The lookups on ids once, when they are written; then the texts once."""
+    place.land()
+    place.run()
+    read = place.warehouse.read
+    posts, users, comments, fact = map(
+        read, ("staging_posts", "dim_users", "staging_comments", "fact_posts")
+    )
+    plans = []
+
+    def scans(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        columns = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+        return sorted(sorted(re.sub(r"#\d+L?", "", found).split(",")) for found in columns)
+
+    def written(df):
+        plans.append(scans(df))
+        return materialize(df)
+
+    materialize = facts.materialize
+    monkeypatch.setattr(facts, "materialize", written)
+    loaded = facts.populate_fact_posts(posts, users, comments, DAY_2, fact if existing else None)
+    posts_ids, comments_ids, users_ids = ["id", "user_id"], ["post_id"], ["user_id", "user_key"]
+    assert plans == [[posts_ids, comments_ids, users_ids]]
+    later = scans(loaded)
+    assert posts_ids not in later and users_ids not in later
+    assert [found for found in later if "body" in found and "post_key" not in found] == [
+        ["body", "id", "loaded_at", "title"]
+    ]
+    assert loaded.count() == 3
+
+
+def test_settings_of_the_session_stay(spark):
+    tuned = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(tuned, None)
+    spark.conf.set(tuned, "256m")
+    try:
+        assert configure(spark).conf.get(tuned) == "256m"
+    finally:
+        spark.conf.set(tuned, before)
+
+
 def test_declared_rules(place):
     place.land()
     place.run()

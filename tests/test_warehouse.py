@@ -1,7 +1,8 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from asterism import storage
 from asterism.warehouse import Warehouse
 
 
@@ -37,21 +38,67 @@ def test_tables_are_published_together(spark, warehouse):
     assert [warehouse.read(name).count() for name in "abc"] == [1, 2, 3]
 
 
+def versions(warehouse, name="t"):
+    return sorted(path.name for path in Path(warehouse.root, name).iterdir())
+
+
 def test_superseded_versions_are_dropped(spark, warehouse):
     warehouse.refresh("t", spark.range(3))
     reader = warehouse.read("t")
     warehouse.refresh("t", spark.range(5))
-    warehouse.save("t", spark.range(7))  # never published
     assert reader.count() == 3
-    warehouse.drop_unreferenced()
-    assert len(storage.children(spark, f"{warehouse.root}/t")) == 1
+    warehouse.drop_superseded()
+    assert [f"t/{v}" for v in versions(warehouse)] == [warehouse.current()["t"]]
     assert warehouse.read("t").count() == 5
 
 
-def test_partitioned(spark, warehouse):
-    days = spark.range(10).selectExpr("id", "cast(id % 2 as int) date_key")
-    warehouse.publish({"t": warehouse.save("t", days, ["date_key"])})
-    assert warehouse.read("t").filter("date_key = 1").count() == 5
+def test_foreign_folders_stay(spark, warehouse):
+    warehouse.refresh("t", spark.range(3))
+    warehouse.refresh("t", spark.range(5))
+    foreign = [Path(warehouse.root, *p) for p in (("landing", "v-2024"), ("t", "v-mine"))]
+    for folder in foreign:
+        folder.mkdir(parents=True)
+    warehouse.drop_superseded()
+    assert all(folder.exists() for folder in foreign)
+    assert len(versions(warehouse)) == 2
+
+
+def test_nothing_is_deleted_without_a_record(spark, warehouse, caplog):
+    """Also after a crash between writing and publishing."""
+    warehouse.save("t", spark.range(7))
+    caplog.set_level("INFO")
+    Warehouse(spark, warehouse.root).drop_superseded()
+    assert len(versions(warehouse)) == 1 and "nothing is deleted" in caplog.text
+    warehouse.refresh("t", spark.range(3))
+    Warehouse(spark, warehouse.root).drop_superseded()
+    assert len(versions(warehouse)) == 2 and warehouse.read("t").count() == 3
+
+
+def test_unreadable_record_stops_everything(spark, warehouse):
+    warehouse.refresh("t", spark.range(3))
+    warehouse.refresh("t", spark.range(5))
+    (Path(warehouse.root) / "publications" / "part-torn.json").write_text('{"version":')
+    for use in (warehouse.drop_superseded, warehouse.current, lambda: warehouse.read("t")):
+        with pytest.raises(ValueError, match="cannot be read"):
+            use()
+    assert len(versions(warehouse)) == 2
+
+
+def test_discard_deletes_own_unpublished_versions(spark, warehouse):
+    warehouse.refresh("t", spark.range(3))
+    warehouse.save("t", spark.range(7))
+    warehouse.discard()
+    assert [f"t/{v}" for v in versions(warehouse)] == [warehouse.current()["t"]]
+
+
+def test_bucketed_save_writes_a_file_for_each_bucket(spark, warehouse):
+    rows = spark.range(1000, numPartitions=6)
+    folder, entry = warehouse.save_bucketed("t", rows, "id", 16)
+    try:
+        files = [p for p in Path(warehouse.root, folder).iterdir() if p.name.startswith("part-")]
+        assert len(files) <= 16 and warehouse.open(folder).count() == 1000
+    finally:
+        spark.sql(f"DROP TABLE {entry}")
 
 
 def test_views(spark, warehouse):
