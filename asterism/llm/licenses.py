@@ -54,7 +54,30 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def n_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"{WORD}+")).cast("bigint")
+    """Pieces between gaps, less the empty ones at the ends."""
+    pieces = F.split(text, f"{GAP}++", -1)
+    ends = (F.element_at(pieces, 1) == "").cast("int") + (F.element_at(pieces, -1) == "").cast("int")
+    return F.greatest(F.size(pieces) - ends, F.lit(0)).cast("bigint")
+
+
+def _tree(words: Sequence[str]) -> str:
+    """Pattern of all words that reads common beginnings once."""
+    heads: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            heads.setdefault(word[0], []).append(word[1:])
+    branches = [head + _tree(rest) for head, rest in sorted(heads.items())]
+    if not branches:
+        return ""
+    body = "(?:" + "|".join(branches) + ")"
+    return f"{body}?+" if "" in words else body
+
+
+def known_words(text: Column, vocabulary: Sequence[str]) -> Column:
+    """The distinct words of a text that are in the vocabulary, lower-cased."""
+    pattern = f"(?i){GAP}({_tree(vocabulary)})(?!{WORD})"
+    found = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(pattern), F.lit(1))
+    return F.array_distinct(F.transform(found, F.lower))
 
 
 def place(phrase: str) -> str:
@@ -92,14 +115,6 @@ def phrase_columns(text: Column, phrases: Mapping[str, str]) -> dict[str, Column
     }
 
 
-def _blocks(documents: DataFrame) -> DataFrame:
-    """(id, words): the distinct words of every line."""
-    line = F.explode(F.split("text", "\n")).alias("line")
-    lowered = F.translate("line", UPPER, LOWER)
-    words = F.array_distinct(F.regexp_extract_all(lowered, F.lit(f"({WORD}+)"), F.lit(1)))
-    return documents.select("id", line).select("id", words.alias("words"))
-
-
 def similar_blocks(
     documents: DataFrame, templates: Sequence[tuple[str, str]], threshold: float
 ) -> DataFrame:
@@ -110,13 +125,11 @@ def similar_blocks(
     spark = documents.sparkSession
     sets = [(label, list(dict.fromkeys(text.split()))) for label, text in templates if text.split()]
     vocabulary = sorted({word for _, words in sets for word in words})
-    known = F.array(*[F.lit(word) for word in vocabulary]) if sets else F.array().cast("array<string>")
-    # A block without as many words as the smallest template needs cannot match.
+    if not vocabulary:
+        return documents.select("id", F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
     needed = [math.ceil(threshold * len(words) - 1e-9) for _, words in sets]
-    hits = F.array_intersect("words", known)
-    counts = (
-        _blocks(documents).select(F.explode(hits).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    )
+    known = known_words(F.col("text"), vocabulary)
+    counts = documents.select(F.explode(known).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     # One row for each word of the templates at most.
     frequency = {row["word"]: row["n"] for row in counts.collect()}
     order = sorted(vocabulary, key=lambda word: (frequency.get(word, 0), word))
@@ -132,26 +145,16 @@ def similar_blocks(
     table = spark.createDataFrame(rows, "template int, label string, t array<string>, size int, need int")
     postings = spark.createDataFrame(index, "word string, template int, position int")
 
-    lowered = F.lower("text")
-    possible = reduce(
-        lambda a, b: a | b, [F.contains(lowered, F.lit(w)) for w in sorted(prefix)], F.lit(False)
-    )
-    ranks = F.create_map(*[F.lit(x) for word in order for x in (word, rank[word])]) if order else None
-    if ranks is None:
-        return documents.limit(0).select("id", F.lit("").alias("label"), F.lit(0.0).alias("containment"))
-    in_order = F.array_sort(
-        hits,
-        lambda x, y: ranks[x] - ranks[y],
-    )
-    few = [F.lit(word) for word in sorted(prefix)]
-    blocks = (
-        _blocks(documents.filter(possible))
-        .filter(F.size("words") >= min(needed))
-        .filter(F.arrays_overlap("words", F.array(*few)))
-        .select("id", in_order.alias("hits"))
-        .filter(F.size("hits") >= min(needed))
-        .distinct()
+    ranks = F.create_map(*[F.lit(x) for word in order for x in (word, rank[word])])
+    few = F.array(*[F.lit(word) for word in sorted(prefix)])
+    # A text without any word of a prefix has no block with one.
+    lines = documents.filter(F.arrays_overlap(known, few)).select(
+        "id", F.explode(F.split("text", "\n")).alias("line")
     )
+    blocks = lines.select("id", known_words(F.col("line"), vocabulary).alias("hits"))
+    blocks = blocks.filter(F.arrays_overlap("hits", few) & (F.size("hits") >= min(needed)))
+    in_order = F.array_sort("hits", lambda x, y: ranks[x] - ranks[y])
+    blocks = blocks.select("id", in_order.alias("hits")).distinct()
     # The template tables have a fixed size: that of the parameter.
     places = blocks.select("id", "hits", F.posexplode("hits").alias("at", "word"))
     candidates = places.join(F.broadcast(postings), "word").join(F.broadcast(table), "template")
