@@ -126,7 +126,8 @@ def scratch_released(spark: SparkSession, base: str | None = None) -> Iterator[N
     ``spark.checkpoint.dir`` is not set.
     """
     in_use: list[str] = []
-    token, base_token = _scratch_in_use.set(in_use), _scratch_base.set(base)
+    token = _scratch_in_use.set(in_use)
+    base_token = _scratch_base.set(base or _scratch_base.get())
     try:
         yield
     finally:
