@@ -30,8 +30,14 @@ def _round(edges: DataFrame) -> DataFrame:
     return stored(pairs.filter("u > v").distinct(), "small")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node has edges to larger nodes only, or one edge to a smaller one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return roles.filter("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -40,13 +46,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ``component`` is the smallest node that can be reached. Links may repeat,
     run in either direction or join a node with itself; null ends are ignored.
     Each round is written to the shared scratch folder; their number grows with
-    the logarithm of the largest component.
+    the logarithm of the largest component, and links that are stars with the
+    smallest node in the middle take none.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     edges = stored(edges.filter("u > v").distinct(), "links")
-    before, now = None, _state(edges)
-    while now[0] and now != before:
+    while not _are_stars(edges):
         edges = _round(edges)
-        before, now = now, _state(edges)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
