@@ -7,11 +7,11 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asterism.session import scratch_path
+from asterism.session import scratch_path, scratch_released
 
 # Characters of text a Python task holds as arrays at a time. A single longer
 # text is taken whole.
@@ -29,6 +29,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Store what ``make`` gives and delete the scratch tables it made on the way."""
+    path = scratch_path(spark, label)
+    with scratch_released(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Columns of ``df`` other than ``names``, which an operator is about to set."""
     dropped = {name.lower() for name in names}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterism.llm.common import CHUNK_CHARS, add_columns, pieces, stored
+from asterism.llm.common import CHUNK_CHARS, add_columns, pieces, settled, stored
 from asterism.llm.words import SPACES, constants
 
 SHORTEST, LONGEST = 512, 8192  # bytes of a chunk; the shortest exceeds the rolling window
@@ -181,12 +181,15 @@ def deduplicated(df: DataFrame, id_: str = "doc_id", text: str = "text") -> Data
     A row goes when every row of its id goes (null ids count as one id here).
     Rows that repeat both id and text of a row that stays are reduced to one.
     """
-    found = stored(exact_duplicates(df, id_, text), "duplicates").withColumnRenamed(id_, "id")
-    by_id = found.groupBy("id").agg(
-        F.max("kept").alias("stays"),
-        (F.count("*") > F.approx_count_distinct("text_sha256")).alias("repeats"),
-    )
-    by_id = stored(by_id.filter("NOT stays OR repeats"), "decisions")
+
+    def decide() -> DataFrame:
+        found = exact_duplicates(df, id_, text).withColumnRenamed(id_, "id")
+        by_id = found.groupBy("id").agg(
+            F.max("kept").alias("stays"), (F.count("*") > 1).alias("repeats")
+        )
+        return by_id.filter("NOT stays OR repeats")
+
+    by_id = settled(df.sparkSession, "decisions", decide)
     gone, again = by_id.filter("NOT stays"), by_id.filter("stays AND repeats")
     own = df[id_]
     kept = df.join(gone, own.eqNullSafe(gone["id"]), "left_anti")

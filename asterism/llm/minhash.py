@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import add_columns, packed, stored
+from asterism.llm.common import add_columns, packed, settled, stored
 from asterism.llm.components import components
 from asterism.llm.words import constants, mix, shingle_sets
 
@@ -210,21 +210,8 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, settings: Settings) -> Data
     return met.select(F.least("id", "y").alias("a"), F.greatest("id", "y").alias("b"))
 
 
-def near_duplicates(
-    df: DataFrame, id_: str = "doc_id", text: str = "text", settings: Settings | None = None
-) -> DataFrame:
-    """One row for each row of ``df``: its id, n_shingles, component_id and kept.
-
-    Texts are linked when their sets of shingles have a Jaccard similarity of
-    at least the threshold; component_id is the smallest id that links reach.
-    Null, empty and blank texts have no shingles, link with nothing and are
-    kept. Texts of fewer words than a shingle are one shingle. Rows that share
-    an id count as one document: their links join. A row with a null id links
-    with nothing, has no component and is kept. Other columns play no part.
-    """
-    settings = settings or Settings()
-    documents = df.select(F.col(id_).alias("id"), F.col(text).alias("text"))
-    signed = stored(signatures(documents, "text", settings), "signatures")
+def _components_of(documents: DataFrame, signed: DataFrame, settings: Settings) -> DataFrame:
+    """(id, component_id) of every document that has shingles."""
     known = signed.filter("id IS NOT NULL AND set_id IS NOT NULL")
     classes = stored(known.groupBy("set_id").agg(F.min("id").alias("rep")), "classes")
     members = known.select("id", "set_id").join(classes, "set_id").select("id", "rep").distinct()
@@ -268,14 +255,34 @@ def near_duplicates(
         more = _prefix_pairs(stored(open_, "open"), sets, settings)
         more = _links(more, nodes, sets, settings)
         if not more.isEmpty():
-            found = components(links.unionByName(more))
+            stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = components(stars.unionByName(more))
 
     final = found.withColumnRenamed("node", "rep")
-    labels = stored(
+    return (
         members.join(final, "rep", "left")
         .groupBy("id")
-        .agg(F.min(F.coalesce("component", "rep")).alias("component_id")),
-        "labels",
+        .agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
+    )
+
+
+def near_duplicates(
+    df: DataFrame, id_: str = "doc_id", text: str = "text", settings: Settings | None = None
+) -> DataFrame:
+    """One row for each row of ``df``: its id, n_shingles, component_id and kept.
+
+    Texts are linked when their sets of shingles have a Jaccard similarity of
+    at least the threshold; component_id is the smallest id that links reach.
+    Null, empty and blank texts have no shingles, link with nothing and are
+    kept. Texts of fewer words than a shingle are one shingle. Rows that share
+    an id count as one document: their links join. A row with a null id links
+    with nothing, has no component and is kept. Other columns play no part.
+    """
+    settings = settings or Settings()
+    documents = df.select(F.col(id_).alias("id"), F.col(text).alias("text"))
+    signed = stored(signatures(documents, "text", settings), "signatures")
+    labels = settled(
+        df.sparkSession, "labels", lambda: _components_of(documents, signed, settings)
     )
     return (
         signed.select("id", "n_shingles")
@@ -293,6 +300,10 @@ def deduplicated(
     df: DataFrame, id_: str = "doc_id", text: str = "text", settings: Settings | None = None
 ) -> DataFrame:
     """The rows of ``df`` whose id stands for its component, all columns kept; null ids stay."""
-    found = near_duplicates(df, id_, text, settings)
-    gone = stored(found.filter("NOT kept").select(F.col(id_).alias("gone")).distinct(), "gone")
+
+    def decide() -> DataFrame:
+        found = near_duplicates(df, id_, text, settings)
+        return found.filter("NOT kept").select(F.col(id_).alias("gone")).distinct()
+
+    gone = settled(df.sparkSession, "gone", decide)
     return df.join(gone, df[id_] == gone["gone"], "left_anti")

@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterism.llm.common import stored, without
+from asterism.llm.common import settled, stored, without
 
 NO_NAME = "(none)"  # stands for a null in a level's column
 ROWS_OF_RANGE = 2000  # documents of a hash range that one window sorts, on average
@@ -191,9 +191,13 @@ def mix(
         F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NO_NAME)).alias(n)
         for n, c in zip(names, levels, strict=True)
     ]
-    rows = df.select(*paths, F.col(id_).alias("id"), count_tokens(text).alias("tokens"))
-    rows = stored(rows.filter("tokens > 0"), "tokens")
-    shares = stored(plan(rows, depth, weights, budget, max_epochs, seed), "mixture")
+
+    def planned() -> DataFrame:
+        rows = df.select(*paths, F.col(id_).alias("id"), count_tokens(text).alias("tokens"))
+        rows = stored(rows.filter("tokens > 0"), "tokens")
+        return plan(rows, depth, weights, budget, max_epochs, seed)
+
+    shares = settled(df.sparkSession, "mixture", planned)
 
     kept = without(df, ["epoch", "n_tokens", "n_taken"])
     # Struct columns cannot clash with the names of the table's own.

@@ -16,7 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import stored
+from asterism.llm.common import settled, stored
 
 BAD = "label:block"
 
@@ -170,10 +170,14 @@ def judge(
     rule, a null id has none. Other columns are ignored.
     """
     known = described(labelled.select("url", F.coalesce("bad", F.lit(False)).alias("bad")), "url")
-    mined = stored(mine(known.filter("host <> ''"), min_support, min_count, min_confidence), "rules")
     pages = described(df.select(F.col(id_).alias("id"), F.col(url).alias("url")), "url")
     pages = stored(pages.drop("url"), "pages")
-    best = stored(matched(pages.filter("id IS NOT NULL"), mined), "matches")
+
+    def best_rules() -> DataFrame:
+        mined = mine(known.filter("host <> ''"), min_support, min_count, min_confidence)
+        return matched(pages.filter("id IS NOT NULL"), stored(mined, "rules"))
+
+    best = settled(df.sparkSession, "matches", best_rules)
     method = F.when(F.col("mined").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return pages.join(best, "id", "left").select(
         F.col("id").alias(id_),

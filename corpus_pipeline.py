@@ -2,7 +2,7 @@
 
 Each stage works on all that its predecessor kept. ``run`` writes every stage
 to the shared scratch folder and reads it back, so a lost executor costs no
-more than the stage it worked on.
+more than the tasks it worked on; all but the last table go again.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asterism.llm import bpe, exact_dedup, minhash, mixing, toxicity
-from asterism.llm.common import stored
+from asterism.llm.common import settled, stored
 from asterism.llm.queries import (
     BYTE_VOCABULARY,
     MIX_EPOCHS,
@@ -83,7 +83,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    *early, (mixture, mix) = STAGES[:-1]
+
+    def prepared() -> DataFrame:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in early:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        return mix(spark, docs, sf_dir)
+
+    return STAGES[-1][1](spark, settled(spark, mixture, prepared), sf_dir)

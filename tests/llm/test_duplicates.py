@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from asterism.llm import components, exact_dedup, minhash
+from asterism.session import scratch_root
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -201,3 +203,12 @@ def test_components(spark):
     got = {tuple(r) for r in components.components(df).collect()}
     assert got == {(x, find(x)) for x in parent}
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_scratch_tables_are_released(spark):
+    """What stays below the shared folder is what the result reads."""
+    before = set(Path(scratch_root(spark)).iterdir()) if Path(scratch_root(spark)).exists() else set()
+    found = minhash.near_duplicates(documents(spark, [(1, "a b c"), (2, "a b c"), (3, "d")]))
+    left = {p.name.rsplit("-", 1)[0] for p in set(Path(scratch_root(spark)).iterdir()) - before}
+    assert left == {"signatures", "labels"}
+    assert found.count() == 3
