@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from asterism.llm.common import add_columns, packed
 
-MAX_CACHE = 200_000  # slices a Python worker remembers, and as many older ones
+MAX_CACHE = 100_000  # slices a Python worker remembers, and as many older ones
 LONG_SLICE = 48  # bytes from which pairs are kept in a heap
 BLOCK = 128  # characters of one row of the scan
 
@@ -276,6 +276,11 @@ def _worker(shared) -> tuple:
     return _workers[key]
 
 
+def _bytes_of(line: bytes | None, table: list[bytes]) -> bytes:
+    """The bytes of packed ids."""
+    return b"".join(map(table.__getitem__, np.frombuffer(line or b"", "<u4").tolist()))
+
+
 # --- operators -------------------------------------------------------------
 
 
@@ -302,19 +307,21 @@ class ByteBPE:
         ids: str = "ids",
         offsets: str = "offsets",
         count: str = "n_tokens",
+        decoded: str | None = None,
     ) -> DataFrame:
         """Add token ids, their byte offsets and their number to every row.
 
         ``ids`` and ``offsets`` are binary: little-endian unsigned 32-bit
         integers, one for each token; an offset is where the token begins in
-        the UTF-8 of the text. A null text is encoded as an empty one: no ids.
+        the UTF-8 of the text. With ``decoded`` the ids are decoded again in the
+        same pass, into that column. A null text is encoded as an empty one: no ids.
         Whole texts of any length are encoded, rows that repeat each on their
         own. Columns named like an output are replaced, all others are kept.
         """
         shared = self._shared
 
         def compute(texts: list) -> list[pa.Array]:
-            cache, classes, _, lengths = _worker(shared)
+            cache, classes, table, lengths = _worker(shared)
             raw, edges, counts = pretokens([t or "" for t in texts], classes)
             edges = edges.tolist()
             coded = [cache[raw[a:b]] for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -327,9 +334,11 @@ class ByteBPE:
                 out_ids.append(line)
                 out_offsets.append((ends - lengths[tokens]).astype("<u4").tobytes())
                 numbers.append(len(tokens))
-            return [packed(out_ids), packed(out_offsets), pa.array(numbers, pa.int64())]
+            made = [packed(out_ids), packed(out_offsets), pa.array(numbers, pa.int64())]
+            return made + [packed([_bytes_of(x, table) for x in out_ids])] * bool(decoded)
 
         outputs = f"`{ids}` binary, `{offsets}` binary, `{count}` bigint"
+        outputs += f", `{decoded}` binary" if decoded else ""
         return add_columns(df, text, outputs, compute)
 
     def decode(
@@ -357,7 +366,7 @@ class ByteBPE:
                     begin = (np.cumsum(sizes) - sizes).astype("<u4")
                     if begin.tobytes() != (places[k] or b""):
                         raise ValueError("offsets do not belong to the ids")
-                out.append(b"".join(map(table.__getitem__, tokens.tolist())))
+                out.append(_bytes_of(line, table))
             return [packed(out)]
 
         more = [offsets] if offsets else []

@@ -17,6 +17,11 @@ from asterism.session import scratch_path, scratch_released
 # text is taken whole.
 CHUNK_CHARS = 1 << 20
 
+# Rows of an Arrow batch, where the session has no setting of its own: the
+# batches of texts that a task and its Python worker hold stay at a few MB.
+BATCH_ROWS = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
@@ -38,6 +43,11 @@ def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Columns of ``df`` other than ``names``, which an operator is about to set."""
     dropped = {name.lower() for name in names}
@@ -59,6 +69,7 @@ def add_columns(
     each output. The other columns pass through untouched. Columns that have
     the name of an output are replaced.
     """
+    small_batches(df.sparkSession)
     fields = T.StructType.fromDDL(outputs).fields
     kept = without(df, [f.name for f in fields])
     schema = T.StructType([df.schema[name] for name in kept] + fields)

@@ -19,7 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterism.llm.common import CHUNK_CHARS, add_columns, pieces, settled, stored
+from asterism.llm.common import (
+    CHUNK_CHARS,
+    add_columns,
+    pieces,
+    settled,
+    small_batches,
+    stored,
+)
 from asterism.llm.words import SPACES, constants
 
 SHORTEST, LONGEST = 512, 8192  # bytes of a chunk; the shortest exceeds the rolling window
@@ -99,6 +106,7 @@ def chunk_table(df: DataFrame, text: str, hash_bits: int = 64) -> DataFrame:
                     names=["hash", "content"],
                 )
 
+    small_batches(df.sparkSession)
     return df.select(text).mapInArrow(run, "hash bigint, content binary")
 
 

@@ -51,8 +51,7 @@ def op4_byte_bpe(spark, sf):
     """Encode every whole text, decode the ids, and digest both."""
     tokenizer = bpe.ByteBPE(spark, public_tokenizers.path(BYTE_VOCABULARY))
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    coded = tokenizer.encode(documents).drop("text")
-    return bpe.digests(tokenizer.decode(coded, offsets="offsets"))
+    return bpe.digests(tokenizer.encode(documents, decoded="decoded"))
 
 
 # --- mixing ----------------------------------------------------------------
@@ -139,7 +138,24 @@ def op6_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
 
 
-@register()
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{oracles.UPPER}', '{oracles.LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b
+  ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)"""
+
+
+@register(NEAR_DUPLICATES)
 def op9_minhash(spark, sf):
     """The contract takes two words to a shingle; the library's default is five."""
     documents = table(spark, sf, "documents")

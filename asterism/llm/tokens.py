@@ -26,7 +26,7 @@ from asterism.llm.common import add_columns
 
 MARK = "▁"  # stands for a blank
 UNKNOWN_PENALTY = 10.0
-MAX_CACHE = 200_000  # pieces a Python worker remembers, and as many older ones
+MAX_CACHE = 100_000  # pieces a Python worker remembers, and as many older ones
 
 
 @dataclass(frozen=True)

@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import add_columns
+from asterism.llm.common import add_columns, stored
+from asterism.session import scratch_released
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
 BEGINNINGS = (4, 5, 6, 7)  # characters
-MAX_CACHE = 200_000
+MAX_CACHE = 100_000
 
 
 @dataclass(frozen=True)
@@ -175,11 +176,8 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
         ]
 
     counted = add_columns(sample, "text", "words array<string>, counts array<bigint>", compute)
-    counted = counted.drop("text").persist()
-    try:
-        return _fit(counted, settings)
-    finally:
-        counted.unpersist()
+    with scratch_released(documents.sparkSession):
+        return _fit(stored(counted.drop("text"), "sample"), settings)
 
 
 def _fit(counted: DataFrame, settings: Settings) -> Model:

@@ -11,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 
-SEGMENT = 1 << 21  # bytes hashed at a time
+SEGMENT = 1 << 19  # bytes hashed at a time
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 

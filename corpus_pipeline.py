@@ -57,9 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digest of what they decode to."""
     tokenizer = bpe.ByteBPE(spark, public_tokenizers.path(BYTE_VOCABULARY))
-    coded = tokenizer.encode(docs.select("doc_id", "lang", "source", "text")).drop("text")
-    decoded = tokenizer.decode(coded, offsets="offsets")
-    return decoded.select(
+    wanted = docs.select("doc_id", "lang", "source", "text")
+    return tokenizer.encode(wanted, decoded="decoded").select(
         "doc_id",
         "lang",
         "source",

@@ -43,6 +43,7 @@ def test_encode_as_the_library(spark, library):
     assert coded.columns == ["doc_id", "text", "ids", "offsets", "n_tokens"]
     decoded = tokenizer.decode(coded, offsets="offsets").collect()
     assert len(decoded) == len(rows)
+    assert sorted(map(str, decoded)) == sorted(map(str, tokenizer.encode(df, decoded="decoded").collect()))
     for row in decoded:
         text = row.text or ""
         expected = library.encode_ordinary(text)
