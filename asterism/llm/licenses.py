@@ -48,6 +48,21 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0"),
 )
 
+# Words that tell a template from its neighbours, and what may not follow them.
+# Those that stand in a template have to stand in a block as well.
+TELLING = (
+    ("gnu", ("lesser", "affero", "library", "free")),
+    ("lesser", ()),
+    ("affero", ()),
+    ("apache", ()),
+    ("mit", ()),
+    ("mozilla", ()),
+    ("nc", ("sa", "nd")),
+    ("by sa", ()),
+    ("attribution", ("noncommercial", "non", "sharealike", "share", "noderivatives", "noderivs", "no")),
+    ("person", ("or organization",)),
+)
+
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,10 +100,22 @@ def place(phrase: str) -> str:
     return f"(?i)(?<!{WORD})" + f"{GAP}+".join(phrase.split()) + f"(?!{WORD})"
 
 
+def telling_place(phrase: str, not_before: Sequence[str]) -> str:
+    """Pattern of a phrase that none of ``not_before`` follows."""
+    others = "|".join(f"{GAP}+".join(other.split()) for other in not_before)
+    return place(phrase) + (f"(?!{GAP}+(?:{others})(?!{WORD}))" if others else "")
+
+
 def _any(texts: str, pattern: str) -> Column:
     return F.exists(texts, lambda text: text.rlike(pattern))
 
 
+def _told(text: str, patterns: Sequence[str]) -> Column:
+    """Numbers of the patterns that stand in a text."""
+    found = [F.when(F.col(text).rlike(p), F.lit(i)) for i, p in enumerate(patterns)]
+    return F.array_compact(F.array(*found).cast("array<int>"))
+
+
 def phrase_columns(text: Column, phrases: Mapping[str, str]) -> dict[str, Column]:
     """n_words, n_base, first_word, last_word and the array base of labels."""
     anywhere = "|".join(place(p) for p in phrases)
@@ -116,14 +143,19 @@ def phrase_columns(text: Column, phrases: Mapping[str, str]) -> dict[str, Column
 
 
 def similar_blocks(
-    documents: DataFrame, templates: Sequence[tuple[str, str]], threshold: float
+    documents: DataFrame,
+    templates: Sequence[tuple[str, str]],
+    threshold: float,
+    telling: Sequence[tuple[str, Sequence[str]]] = (),
 ) -> DataFrame:
-    """(id, label, containment) of every block that holds enough of a template's words.
+    """(id, label, containment) of every block that holds enough of a template's words,
+    and those of ``telling`` that stand in it.
 
     ``documents`` has id and text. Templates without words match nothing.
     """
     spark = documents.sparkSession
-    sets = [(label, list(dict.fromkeys(text.split()))) for label, text in templates if text.split()]
+    worded = [(label, text) for label, text in templates if text.split()]
+    sets = [(label, list(dict.fromkeys(text.split()))) for label, text in worded]
     vocabulary = sorted({word for _, words in sets for word in words})
     if not vocabulary:
         return documents.select("id", F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
@@ -135,14 +167,21 @@ def similar_blocks(
     order = sorted(vocabulary, key=lambda word: (frequency.get(word, 0), word))
     rank = {word: i for i, word in enumerate(order)}
 
+    tells = [telling_place(*one) for one in telling]
+    # Telling words of each template, by the pattern that looks for them in blocks.
+    text_of = spark.createDataFrame(list(enumerate(text for _, text in worded)), "template int, text string")
+    told = _told("text", tells)
+    musts = {row["template"]: row["told"] for row in text_of.select("template", told.alias("told")).collect()}
     rows, index, prefix = [], [], set()
     for template, ((label, words), need) in enumerate(zip(sets, needed, strict=True)):
         words = sorted(words, key=rank.__getitem__)
-        rows.append((template, label, words, len(words), need))
+        rows.append((template, label, words, len(words), need, musts[template]))
         for position, word in enumerate(words[: len(words) - need + 1]):
             index.append((word, template, position))
             prefix.add(word)
-    table = spark.createDataFrame(rows, "template int, label string, t array<string>, size int, need int")
+    table = spark.createDataFrame(
+        rows, "template int, label string, t array<string>, size int, need int, must array<int>"
+    )
     postings = spark.createDataFrame(index, "word string, template int, position int")
 
     ranks = F.create_map(*[F.lit(x) for word in order for x in (word, rank[word])])
@@ -151,12 +190,12 @@ def similar_blocks(
     lines = documents.filter(F.arrays_overlap(known, few)).select(
         "id", F.explode(F.split("text", "\n")).alias("line")
     )
-    blocks = lines.select("id", known_words(F.col("line"), vocabulary).alias("hits"))
+    blocks = lines.select("id", "line", known_words(F.col("line"), vocabulary).alias("hits"))
     blocks = blocks.filter(F.arrays_overlap("hits", few) & (F.size("hits") >= min(needed)))
     in_order = F.array_sort("hits", lambda x, y: ranks[x] - ranks[y])
-    blocks = blocks.select("id", in_order.alias("hits")).distinct()
+    blocks = blocks.select("id", in_order.alias("hits"), _told("line", tells).alias("told")).distinct()
     # The template tables have a fixed size: that of the parameter.
-    places = blocks.select("id", "hits", F.posexplode("hits").alias("at", "word"))
+    places = blocks.select("id", "hits", "told", F.posexplode("hits").alias("at", "word"))
     candidates = places.join(F.broadcast(postings), "word").join(F.broadcast(table), "template")
     left = F.least(F.col("size") - F.col("position") - 1, F.size("hits") - F.col("at") - 1)
     # ``position`` common words at most stand before this one in the template.
@@ -165,6 +204,7 @@ def similar_blocks(
         possible_overlap >= F.col("need")
     )
     overlap = F.size(F.array_intersect("hits", "t"))
+    candidates = candidates.filter(F.size(F.array_except("must", "told")) == 0)
     return candidates.filter(overlap >= F.col("need")).select(
         "id", "label", (overlap / F.col("size")).alias("containment")
     )
@@ -177,6 +217,7 @@ def scan(
     phrases: Mapping[str, str] = PHRASES,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = 0.8,
+    telling: Sequence[tuple[str, Sequence[str]]] = (),
 ) -> DataFrame:
     """One row for each row of ``df``: id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
@@ -184,7 +225,9 @@ def scan(
     ``n_base`` counts all places of the phrases, ``first_word`` and
     ``last_word`` are the smallest and largest word at which one starts.
     ``labels`` adds the templates found; ``score`` is 1 with a phrase, else the
-    largest containment that reached the threshold, else 0. Null and empty
+    largest containment that reached the threshold, else 0. With ``telling``
+    (``TELLING`` fits ``TEMPLATES``) a block has to hold a template's telling
+    words too, so that a near miss is not taken for it. Null and empty
     texts have no words and no labels. Rows that share an id (null ids too)
     share the templates found in any of them. Other columns are ignored.
     """
@@ -194,7 +237,7 @@ def scan(
     for name, column in columns.items():
         based = based.withColumn(name, column)
     based = based.drop("text", "matches")
-    found = similar_blocks(documents, templates, threshold)
+    found = similar_blocks(documents, templates, threshold, telling)
     found = found.groupBy("id").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )

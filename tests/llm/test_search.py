@@ -216,6 +216,34 @@ def test_licenses(spark):
     assert any(row.labels != row.base_labels for row in got)
 
 
+def test_licenses_near_misses(spark):
+    """Neighbours of a template are not taken for it when its telling words are asked for."""
+    gnu = "You can redistribute it and/or modify it under the terms of the GNU {}General Public License."
+    cases = [
+        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+        ("Licensed under CC BY-SA 4.0.", "cc-by,cc-by-sa"),
+        ("Licensed under CC BY-NC-SA 4.0.", "cc-by"),
+        ("Licensed under CC BY 4.0.", "cc-by"),
+        ("Released under the BSD License.", ""),
+        ("Released under the MIT License.", "mit"),
+        ("Licensed under the Mozilla Public License, Version 2.0.", ""),
+        ("Licensed under the Apache License, Version 2.0.", "apache"),
+        ("This program is free software: y" + gnu.format("")[1:], "gpl"),
+        ("This program is free software: y" + gnu.format("Lesser ")[1:], "lgpl"),
+        ("This program is free software: y" + gnu.format("Affero ")[1:], "agpl"),
+        (gnu.format("Lesser ") + " " + gnu.format("").replace("You", "this program is free software, you"), "gpl,lgpl"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", ""),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of this software", ""),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id bigint, text string")
+    got = {row.doc_id: row.labels for row in licenses.scan(df, telling=licenses.TELLING).collect()}
+    for i, (text, labels) in enumerate(cases):
+        assert got[i] == labels, text
+
+
 # --- URLs ------------------------------------------------------------------
 
 
