@@ -1,8 +1,9 @@
 """License scans: phrases, and an exact set-similarity join with notice templates.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and characters beyond
-ASCII. A text block is a line. A block matches a template when it holds at
-least ``threshold`` of the template's distinct words. The words are ordered by
+ASCII. A text block is a line and, for notices wrapped over lines, a window of
+words that any run as long as the longest template falls into. A block matches
+a template when it holds at least ``threshold`` of the template's distinct words. The words are ordered by
 their frequency in the whole corpus, the rarest first; of ``n`` words of which
 ``o`` are needed, one of the first ``n - o + 1`` has to be in the block (prefix
 filter), the block needs ``o`` words (length filter), and the words left behind
@@ -55,7 +56,7 @@ TELLING = (
     ("lesser", ()),
     ("affero", ()),
     ("apache", ()),
-    ("mit", ()),
+    ("mit license|the mit|under mit", ()),  # mit alone is a German word
     ("mozilla", ()),
     ("nc", ("sa", "nd")),
     ("by sa", ()),
@@ -101,9 +102,10 @@ def place(phrase: str) -> str:
 
 
 def telling_place(phrase: str, not_before: Sequence[str]) -> str:
-    """Pattern of a phrase that none of ``not_before`` follows."""
+    """Pattern of a phrase, or of one of several, that none of ``not_before`` follows."""
     others = "|".join(f"{GAP}+".join(other.split()) for other in not_before)
-    return place(phrase) + (f"(?!{GAP}+(?:{others})(?!{WORD}))" if others else "")
+    some = "|".join(place(one) for one in phrase.split("|"))
+    return f"(?i)(?:{some})" + (f"(?!{GAP}+(?:{others})(?!{WORD}))" if others else "")
 
 
 def _any(texts: str, pattern: str) -> Column:
@@ -142,11 +144,25 @@ def phrase_columns(text: Column, phrases: Mapping[str, str]) -> dict[str, Column
     }
 
 
+def windows(text: Column, run: int) -> Column:
+    """Windows of words, each run of ``run`` words in one of them; none for a single line."""
+
+    def cut(words: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(run))
+        return F.transform(starts, lambda at: F.array_join(F.slice(words, at + 1, 2 * run), " "))
+
+    # An array of one, so that the words are split once for all windows.
+    words = F.filter(F.split(text, f"{GAP}++", -1), lambda word: word != "")
+    found = F.flatten(F.transform(F.array(words), cut))
+    return F.when(F.contains(text, F.lit("\n")), found).otherwise(F.array().cast("array<string>"))
+
+
 def similar_blocks(
     documents: DataFrame,
     templates: Sequence[tuple[str, str]],
     threshold: float,
     telling: Sequence[tuple[str, Sequence[str]]] = (),
+    wrapped: bool = False,
 ) -> DataFrame:
     """(id, label, containment) of every block that holds enough of a template's words,
     and those of ``telling`` that stand in it.
@@ -167,7 +183,9 @@ def similar_blocks(
     order = sorted(vocabulary, key=lambda word: (frequency.get(word, 0), word))
     rank = {word: i for i, word in enumerate(order)}
 
-    tells = [telling_place(*one) for one in telling]
+    # Over line breaks, words of neighbouring statements must not add up to a template.
+    strict = bool(telling)
+    tells = [telling_place(*one) for one in telling or (TELLING if wrapped else ())]
     # Telling words of each template, by the pattern that looks for them in blocks.
     text_of = spark.createDataFrame(list(enumerate(text for _, text in worded)), "template int, text string")
     told = _told("text", tells)
@@ -186,16 +204,31 @@ def similar_blocks(
 
     ranks = F.create_map(*[F.lit(x) for word in order for x in (word, rank[word])])
     few = F.array(*[F.lit(word) for word in sorted(prefix)])
-    # A text without any word of a prefix has no block with one.
-    lines = documents.filter(F.arrays_overlap(known, few)).select(
-        "id", F.explode(F.split("text", "\n")).alias("line")
-    )
-    blocks = lines.select("id", "line", known_words(F.col("line"), vocabulary).alias("hits"))
+
+    def enough(hits: Column) -> Column:
+        held = [
+            F.size(F.array_intersect(hits, F.array(*map(F.lit, words)))) >= need
+            for (_, words), need in zip(sets, needed, strict=True)
+        ]
+        return F.arrays_overlap(hits, few) & reduce(lambda a, b: a | b, held)
+
+    # A text without enough of a template's words has no block with them. The
+    # array of one is there so that the words are looked for once.
+    def marked(pieces: Column, over: bool) -> Column:
+        return F.transform(pieces, lambda x: F.struct(x.alias("line"), F.lit(over or strict).alias("strict")))
+
+    pieces = marked(F.split("text", "\n"), False)
+    if wrapped:
+        run = max(len(text.split()) for _, text in worded)
+        pieces = F.concat(pieces, marked(windows(F.col("text"), run), True))
+    lines = documents.filter(F.exists(F.array(known), enough)).select("id", F.explode(pieces).alias("piece"))
+    lines = lines.select("id", "piece.line", "piece.strict")
+    blocks = lines.select("id", "line", "strict", known_words(F.col("line"), vocabulary).alias("hits"))
     blocks = blocks.filter(F.arrays_overlap("hits", few) & (F.size("hits") >= min(needed)))
     in_order = F.array_sort("hits", lambda x, y: ranks[x] - ranks[y])
-    blocks = blocks.select("id", in_order.alias("hits"), _told("line", tells).alias("told")).distinct()
+    blocks = blocks.select("id", "strict", in_order.alias("hits"), _told("line", tells).alias("told")).distinct()
     # The template tables have a fixed size: that of the parameter.
-    places = blocks.select("id", "hits", "told", F.posexplode("hits").alias("at", "word"))
+    places = blocks.select("id", "strict", "hits", "told", F.posexplode("hits").alias("at", "word"))
     candidates = places.join(F.broadcast(postings), "word").join(F.broadcast(table), "template")
     left = F.least(F.col("size") - F.col("position") - 1, F.size("hits") - F.col("at") - 1)
     # ``position`` common words at most stand before this one in the template.
@@ -204,7 +237,7 @@ def similar_blocks(
         possible_overlap >= F.col("need")
     )
     overlap = F.size(F.array_intersect("hits", "t"))
-    candidates = candidates.filter(F.size(F.array_except("must", "told")) == 0)
+    candidates = candidates.filter(~F.col("strict") | (F.size(F.array_except("must", "told")) == 0))
     return candidates.filter(overlap >= F.col("need")).select(
         "id", "label", (overlap / F.col("size")).alias("containment")
     )
@@ -218,6 +251,7 @@ def scan(
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = 0.8,
     telling: Sequence[tuple[str, Sequence[str]]] = (),
+    wrapped: bool = False,
 ) -> DataFrame:
     """One row for each row of ``df``: id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
@@ -227,8 +261,9 @@ def scan(
     ``labels`` adds the templates found; ``score`` is 1 with a phrase, else the
     largest containment that reached the threshold, else 0. With ``telling``
     (``TELLING`` fits ``TEMPLATES``) a block has to hold a template's telling
-    words too, so that a near miss is not taken for it. Null and empty
-    texts have no words and no labels. Rows that share an id (null ids too)
+    words too, so that a near miss is not taken for it. With ``wrapped`` a
+    notice is found over line breaks as well, there always by its telling words
+    too (those of ``TELLING`` unless others are given). Null and empty texts have no words and no labels. Rows that share an id (null ids too)
     share the templates found in any of them. Other columns are ignored.
     """
     documents = df.select(F.col(id_).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -237,7 +272,7 @@ def scan(
     for name, column in columns.items():
         based = based.withColumn(name, column)
     based = based.drop("text", "matches")
-    found = similar_blocks(documents, templates, threshold, telling)
+    found = similar_blocks(documents, templates, threshold, telling, wrapped)
     found = found.groupBy("id").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )

@@ -170,7 +170,7 @@ THRESHOLD = 0.8  # share of a template's words
 
 @register(oracles.licenses(licenses.PHRASES, licenses.TEMPLATES, THRESHOLD))
 def op7_licenses(spark, sf):
-    return licenses.scan(table(spark, sf, "documents"), threshold=THRESHOLD)
+    return licenses.scan(table(spark, sf, "documents"), threshold=THRESHOLD, wrapped=True)
 
 
 # The number in the last piece of a URL's path.

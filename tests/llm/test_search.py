@@ -226,6 +226,8 @@ def test_licenses_near_misses(spark):
         ("Licensed under CC BY 4.0.", "cc-by"),
         ("Released under the BSD License.", ""),
         ("Released under the MIT License.", "mit"),
+        ("Released under the MIT/X11 license.", "mit"),
+        ("Released under the BSD license, mit Quelltext", ""),
         ("Licensed under the Mozilla Public License, Version 2.0.", ""),
         ("Licensed under the Apache License, Version 2.0.", "apache"),
         ("This program is free software: y" + gnu.format("")[1:], "gpl"),
@@ -244,6 +246,28 @@ def test_licenses_near_misses(spark):
         assert got[i] == labels, text
 
 
+def test_licenses_over_line_breaks(spark):
+    """Every template, wrapped at any place, with and without much text around it."""
+    cases = []
+    for label, template in licenses.TEMPLATES:
+        words = template.split()
+        for width in (1, 2, 3, 5, 8):
+            notice = "\n".join(" * " + " ".join(words[i : i + width]) for i in range(0, len(words), width))
+            cases += [(label, notice), (label, "zebra\r\n\r\n" * (7 * width + len(words)) + notice + "\nzebra" * 90)]
+    cases.append(("bsd", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"))
+    df = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id bigint, text string")
+    got = {row.doc_id: row for row in licenses.scan(df, wrapped=True).collect()}
+    for i, (label, text) in enumerate(cases):
+        assert label in got[i].labels.split(","), text
+        assert got[i].score == 1.0
+    scattered = [(0, "\n".join(f"{w} " + "zebra " * 60 for w in licenses.TEMPLATES[7][1].split()))]
+    df = spark.createDataFrame(scattered, "doc_id bigint, text string")
+    assert [row.labels for row in licenses.scan(df, wrapped=True).collect()] == [""]
+    text = "Released\nunder the Apache\nLicense.\nEine Zeile mit Text."
+    apart = spark.createDataFrame([(0, text)], "doc_id bigint, text string")
+    assert [row.labels for row in licenses.scan(apart, wrapped=True).collect()] == ["apache"]
+
+
 # --- URLs ------------------------------------------------------------------
 
 
