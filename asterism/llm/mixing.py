@@ -1,8 +1,8 @@
 """Mixing a corpus to target weights over a tree of its columns.
 
 The tree's levels are columns (say domain, language, source). The token budget
-runs from the root down by weight. No node gets more than its subtree can
-supply in ``max_epochs`` passes; what it cannot take goes to its siblings by
+runs from the root down by weight. No node gets more than its subtree, without
+what has no weight, can supply in ``max_epochs`` passes; what it cannot take goes to its siblings by
 weight, and only what all siblings together cannot take is left to the level
 above, whose children were offered it before. A leaf then takes full seeded
 epochs and, of the last one, the prefix of its documents in the order of a
@@ -56,9 +56,19 @@ def budgets(
     spark = leaves.sparkSession
     parent = spark.createDataFrame([(budget,)], "parent bigint")
     nodes = None
+    # The deepest level at which a leaf's path has no weight: nodes above cannot use its supply.
+    shut = F.lit(0)
+    for level in sorted({len(path) for path, weight in weights.items() if weight <= 0 and len(path) <= depth}):
+        path = [f"l{i}" for i in range(level)]
+        none_here = _weights(spark, weights, level).filter("weight <= 0")
+        leaves = leaves.join(none_here.withColumnRenamed("weight", f"none{level}"), path, "left")
+        shut = F.when(F.col(f"none{level}").isNotNull(), F.lit(level)).otherwise(shut)
+    leaves = leaves.withColumn("shut", shut)
     for level in range(1, depth + 1):
         path = [f"l{i}" for i in range(level)]
-        caps = leaves.groupBy(*path).agg((F.sum("supply") * max_epochs).alias("cap"))
+        caps = leaves.groupBy(*path).agg(
+            (F.sum(F.when(F.col("shut") <= level, F.col("supply")).otherwise(0)) * max_epochs).alias("cap")
+        )
         known = caps.join(_weights(spark, weights, level), path, "left").withColumn(
             "weight", F.coalesce("weight", F.lit(1)).cast(EXACT)
         )

@@ -146,6 +146,17 @@ def test_mix(spark, monkeypatch, budget):
     assert taken == brute_mix(named, weights, budget, 3, 4)
 
 
+def test_mix_offers_siblings_what_no_weight_leaves(spark):
+    """The supply below a node of weight 0 is no supply of the nodes above it."""
+    rows = [(1, "a", "x", "r", 90), (2, "a", "x", "s", 4), (3, "a", "y", "r", 6), (4, "b", "x", "r", 80), (5, "c", "x", "r", 30)]
+    df = spark.createDataFrame(
+        [(i, *path, "w " * n) for i, *path, n in rows], "doc_id bigint, d string, l string, s string, text string"
+    )
+    weights = {("a",): 8, ("b",): 1, ("c",): 0, ("a", "x", "r"): 0, ("a", "y"): 0}
+    got = mixing.mix(df, ["d", "l", "s"], weights, budget=60, max_epochs=1)
+    assert sorted((r.doc_id, r.n_taken) for r in got.collect()) == [(2, 4), (4, 56)]
+
+
 def test_mix_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a b", "x")] * 3 + [(None, "c", "x")], "doc_id bigint, text string, l string")
     got = mixing.mix(df, ["l"], {}, max_epochs=2)
