@@ -107,13 +107,14 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     Returns query_id, rank from 1, id and score; ties go to the smaller id, a
     query's own id is no candidate, and fewer rows come back where there are
     fewer candidates. Vectors are compared with those of their own length only.
-    Rows with a null id or vector take no part; rows that repeat an id count
-    once, with the smallest of their vectors. Other columns are ignored.
+    Rows with a null id or vector take no part; rows that repeat id and vector
+    count once. An id with several vectors is a candidate with each of them, and
+    as a query gets the k best of them all. Other columns are ignored.
     """
     sides = []
     for side in (candidates, queries):
-        one = side.filter("id IS NOT NULL AND vector IS NOT NULL").groupBy("id")
-        sides.append(stored(one.agg(F.min("vector").alias("vector")), "vectors"))
+        one = side.filter("id IS NOT NULL AND vector IS NOT NULL").select("id", "vector")
+        sides.append(stored(one.distinct(), "vectors"))
     candidates, queries = sides
     n_blocks = max(1, math.ceil(candidates.count() / CANDIDATES))
     n_parts = max(1, math.ceil(queries.count() / QUERIES))

@@ -46,6 +46,16 @@ def test_top_k_few_and_none(spark):
     assert topk.top_k(df, df.limit(0), 5).collect() == []
 
 
+def test_top_k_several_vectors_of_an_id(spark):
+    rows = [(1, [1, 0]), (1, [0, 3]), (2, [5, 0]), (2, [4, 4]), (2, [0, 1]), (3, [2, 2])]
+    df = spark.createDataFrame(rows, "id bigint, vector array<bigint>")
+    got = topk.top_k(df, df.filter("id IN (1, 3)"), 4).collect()
+    assert sorted(map(tuple, got)) == [
+        (1, 1, 2, 12), (1, 2, 3, 6), (1, 3, 2, 5), (1, 4, 2, 4),
+        (3, 1, 2, 16), (3, 2, 2, 10), (3, 3, 1, 6), (3, 4, 1, 2),
+    ]
+
+
 def test_threshold_stops_early():
     """On skewed lists the bound ends the reading before all candidates are scored."""
     rng = np.random.default_rng(1)
