@@ -158,3 +158,144 @@ def urls(
         SELECT page_id, host, path, CASE {name} END AS rule,
           CASE {verdict} WHEN mined IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
           mined, confidence FROM t LEFT JOIN b USING (page_id)"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII text: bytes are added, -1 stands for a shift by one bit."""
+    steps = f"flatten(list_transform(range(1, len({text}) + 1), lambda i: [ord({text}[i]), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (
+        f"xor(list_reduce({steps}, lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) "
+        "ELSE xor(x >> 1, 3988292384 * (x & 1)) END, 4294967295), 4294967295)"
+    )
+
+
+def manifest(fan: int = 16, levels: int = 7) -> str:
+    """Trees of up to ``fan ** levels`` leaves, level by level."""
+
+    def framed(name: str) -> str:
+        return (
+            f"coalesce(octet_length(encode({name}::VARCHAR))::VARCHAR || ':' || {name}::VARCHAR, '-')"
+        )
+
+    def hashed(text: str) -> str:
+        return f"sha256(concat({', '.join(framed(n) for n in ('doc_id', 'source', 'lang', 'n_chars'))}, {framed(text)}))"
+
+    def tree(name: str, base: str) -> list[str]:
+        """Levels name0, name1, ... of (g, p, h, n), and the siblings at each of them."""
+        out = [f"{name}0 AS ({base})"]
+        for level in range(levels):
+            run = f"PARTITION BY g, p // {fan} ORDER BY p ROWS BETWEEN"
+            out += [
+                f"""{name}s{level} AS (SELECT g, p, n,
+                  coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+                  coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+                  FROM {name}{level})""",
+                f"""{name}{level + 1} AS (SELECT g, p // {fan} AS p, (min(n) + {fan} - 1) // {fan} AS n,
+                  CASE WHEN min(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h
+                  FROM {name}{level} GROUP BY g, p // {fan})""",
+            ]
+        return out
+
+    def climbed(name: str, frm: str, g: str, p: str, extra: str) -> list[str]:
+        """Proof and fold along the levels of a tree, for rows of ``frm`` at (g, p)."""
+        out, last = [], frm
+        for level in range(levels):
+            step = f"{name}c{level}"
+            out.append(
+                f"""{step} AS (SELECT x.* EXCLUDE (proof, seen), CASE WHEN s.n = 1 THEN proof ELSE proof || s.b || s.a END AS proof,
+                  CASE WHEN s.n = 1 THEN seen ELSE sha256(s.b || seen || s.a) END AS seen
+                  FROM {last} x JOIN {name}s{level} s ON s.g = x.{g} AND s.p = x.{p} // {fan**level})"""
+            )
+            last = step
+        return [*out, f"{name}end AS (SELECT x.*, t.h AS {extra} FROM {last} x JOIN {name}{levels} t ON t.g = x.{g})"]
+
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    seen = f"CASE WHEN tampered THEN {hashed('low')} ELSE {hashed('text')} END"
+    steps = [
+        f"""d AS (SELECT *, {lowered} AS low, coalesce({crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0, false) AS tampered FROM documents)""",
+        f"""l AS (SELECT doc_id, coalesce('=' || source, '') AS g, {hashed('text')} AS leaf, {seen} AS seen FROM d)""",
+        """r AS (SELECT *, '' AS proof, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+          count(*) OVER (PARTITION BY g) AS n FROM l)""",
+        *tree("t", "SELECT g, p, leaf AS h, n FROM r"),
+        *climbed("t", "r", "g", "p", "subroot"),
+        f"""q AS (SELECT g AS name, h, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM t{levels})""",
+        *tree("u", "SELECT '' AS g, p, h, n FROM q"),
+        "e AS (SELECT x.* EXCLUDE (p, n, g), '' AS g, q.p FROM tend x JOIN q ON q.name = x.g)",
+        *climbed("u", "e", "g", "p", "root"),
+    ]
+    return (
+        "WITH " + ",\n".join(steps) + """
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, seen AS folded_root,
+          seen = root AS verified FROM uend"""
+    )
+
+
+def conversations() -> str:
+    """The damage; then one row of a conversation after the other, with the cheapest
+    (cost, audit) for each last initial so far."""
+    ws = r"\x20\x09-\x0D"
+    states = "('e'), ('s'), ('u'), ('a')"
+    # Texts of length one: inserted turns between two rows, from last initial x to y.
+    gaps = (
+        "('e','e',0,''), ('s','s',0,''), ('u','u',0,''), ('a','a',0,''), ('e','u',3,'I'), ('s','u',3,'I'), "
+        "('a','u',3,'I'), ('u','a',3,'I'), ('e','a',6,'II'), ('s','a',6,'II'), ('a','a',6,'II'), ('u','u',6,'II')"
+    )
+    follows = "('e','s'), ('e','u'), ('s','u'), ('a','u'), ('u','a')"
+    return f"""
+        WITH RECURSIVE c0 AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS k FROM conversations),
+        c1 AS (SELECT * EXCLUDE (k), {crc32('k')} % 20 AS f FROM c0),
+        c2 AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+          CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+          unnest(CASE WHEN f = 3 THEN [1, 2] ELSE [1] END) AS copy FROM c1 WHERE f <> 0),
+        c3 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM c2),
+        c4 AS (SELECT *, left(role, 1) AS r, NOT regexp_matches(text, '[^{ws}]') AS blank,
+          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+          NOT regexp_matches(text, '[.!?][{ws}]*$') AS cut,
+          lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS r0 FROM c3),
+        rw AS (SELECT *, CASE WHEN blank THEN 'b' WHEN again THEN 'd' WHEN cut THEN 't' ELSE '' END AS fault FROM c4),
+        st AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+          count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+          count(*) FILTER (fault = 't') AS truncated,
+          count(*) FILTER (i > 1 AND (r0 || r) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+          FROM rw GROUP BY conv_id),
+        gap AS (SELECT * FROM (VALUES {gaps}) AS v(x, y, cost, audit)),
+        nxt AS (SELECT * FROM (VALUES {follows}) AS v(x, y)),
+        ed AS (
+          SELECT conv_id, i, x AS s0, x AS s1, 4 AS cost, 'D' AS audit FROM rw, (VALUES {states}) AS v(x)
+          UNION ALL SELECT conv_id, i, x, y, CASE WHEN fault = 't' THEN 3 ELSE 0 END, 'K' FROM rw JOIN nxt ON y = r
+          WHERE fault NOT IN ('b', 'd')
+          UNION ALL SELECT conv_id, i, x, y, CASE WHEN fault = 't' THEN 6 ELSE 3 END, 'R' FROM rw JOIN nxt ON y <> 's'
+          WHERE fault NOT IN ('b', 'd')),
+        sp AS (SELECT conv_id, i, s0, s1, min(struct_pack(cost := cost, audit := audit)) AS b FROM (
+          SELECT e.conv_id, e.i, g.x AS s0, e.s1, g.cost + e.cost AS cost, g.audit || e.audit AS audit
+          FROM ed e JOIN gap g ON g.y = e.s0) GROUP BY ALL),
+        dp AS (
+          SELECT conv_id, 0 AS i, 'e' AS s, struct_pack(cost := 0, audit := '') AS b FROM st
+          UNION ALL
+          SELECT d.conv_id, d.i + 1, p.s1, min(struct_pack(cost := d.b.cost + p.b.cost, audit := d.b.audit || p.b.audit))
+          FROM dp d JOIN sp p ON p.conv_id IS NOT DISTINCT FROM d.conv_id AND p.i = d.i + 1 AND p.s0 = d.s
+          GROUP BY d.conv_id, d.i, p.s1),
+        fin AS (SELECT d.conv_id, min(struct_pack(cost := d.b.cost + g.cost, audit := d.b.audit || g.audit)) AS b
+          FROM dp d JOIN st ON st.conv_id IS NOT DISTINCT FROM d.conv_id AND st.n = d.i
+          JOIN gap g ON g.x = d.s AND (g.y = 'a' OR (g.y = 'e' AND g.cost = 0)) GROUP BY d.conv_id),
+        ltr AS (SELECT conv_id, b.cost AS cost, b.audit AS audit, unnest(range(1, len(b.audit) + 1)) AS j FROM fin),
+        pos AS (SELECT conv_id, j, audit[j] AS e,
+          count(*) FILTER (audit[j] <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS i,
+          count(*) FILTER (audit[j] <> 'D') OVER (PARTITION BY conv_id ORDER BY j) AS k FROM ltr),
+        sys AS (SELECT p.conv_id, bool_or(p.k = 1 AND p.e = 'K' AND w.r = 's') AS sys
+          FROM pos p JOIN rw w ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND w.i = p.i GROUP BY p.conv_id),
+        tx AS (SELECT p.conv_id, p.j, CASE WHEN p.e = 'K' THEN w.role
+            WHEN (p.k + CASE WHEN y.sys THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN p.e = 'I' THEN '' ELSE w.text END AS line
+          FROM pos p JOIN sys y ON y.conv_id IS NOT DISTINCT FROM p.conv_id
+          LEFT JOIN rw w ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND w.i = p.i WHERE p.e <> 'D'),
+        out AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY j)) AS repaired FROM tx GROUP BY conv_id)
+        SELECT a.conv_id, coalesce(st.gaps, 0)::BIGINT AS gaps, coalesce(st.blank, 0)::BIGINT AS blank,
+          coalesce(st.duplicate, 0)::BIGINT AS duplicate, coalesce(st.truncated, 0)::BIGINT AS truncated,
+          coalesce(st.illegal, 0)::BIGINT AS illegal, coalesce(fin.b.cost, 0)::BIGINT AS cost,
+          coalesce(fin.b.audit, '') AS audit, coalesce(out.repaired, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) a
+        LEFT JOIN st ON st.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN fin ON fin.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN out ON out.conv_id IS NOT DISTINCT FROM a.conv_id"""

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from asterism.llm import (
     bpe,
+    conversations,
     exact_dedup,
     licenses,
+    manifest,
     minhash,
     mixing,
     oracles,
     quality,
+    rules,
     tokens,
     topk,
     toxicity,
@@ -245,3 +248,29 @@ def op3_token_counts(spark, sf):
     vocabulary = tokens.Vocabulary.load(public_tokenizers.path(UNIGRAM_VOCABULARY))
     documents = table(spark, sf, "documents").select("doc_id", "text")
     return tokens.Unigram(spark, vocabulary).count(documents).drop("text")
+
+
+# --- conversations, manifest, quality rules --------------------------------
+
+
+@register(oracles.conversations())
+def op11_conversations(spark, sf):
+    """Damage the conversations by the hash of their rows, and repair them."""
+    names = ("conv_id", "turn", "role", "text")
+    rows = table(spark, sf, "conversations")
+    repaired = conversations.repair(conversations.damaged(rows, *names), *names)
+    return conversations.summary(rows, repaired)
+
+
+@register(oracles.manifest())
+def op12_manifest(spark, sf):
+    """The manifest of the documents, and its proofs against rows of which a fifth was tampered with."""
+    documents = table(spark, sf, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", oracles.UPPER, oracles.LOWER)
+    return manifest.manifest(documents, seen={"text": F.when(tampered, lowered).otherwise(F.col("text"))})
+
+
+@register()
+def op13_quality_rules(spark, sf):
+    return rules.judge(table(spark, sf, "documents"))

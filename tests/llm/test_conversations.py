@@ -1,0 +1,197 @@
+"""Conversation repair against exhaustive search and a plain row-by-row model."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from asterism.llm import conversations as cv
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+NAMES = ("conv_id", "turn", "role", "text")
+
+
+def exhaustive(rows):
+    """Least (cost, audit) over all edits; up to two inserted turns in each gap."""
+    fills = [("", 0, "")] + [
+        ("".join(f), 3 * n, "I" * n) for n in (1, 2) for f in itertools.product("ua", repeat=n)
+    ]
+    options = []
+    for initial, fault in rows:
+        one = [("", 4, "D")]
+        if fault not in ("blank", "duplicate"):
+            extra = 3 if fault == "truncated" else 0
+            one += [("u", 3 + extra, "R"), ("a", 3 + extra, "R"), (initial, extra, "K")]
+        options += [fills, one]
+    found = []
+    for choice in itertools.product(*options, fills):
+        if re.fullmatch("(s?(ua)+)?", "".join(c[0] for c in choice)):
+            found.append((sum(c[1] for c in choice), "".join(c[2] for c in choice)))
+    return min(found)
+
+
+def test_least_cost_and_audit_by_exhaustive_search():
+    rng = random.Random(3)
+    faults = [None, None, None, "truncated", "duplicate", "blank"]
+    cases = [[(i, None) for i in x] for n in range(3) for x in itertools.product("suax", repeat=n)]
+    cases += [[(rng.choice("suuaax"), rng.choice(faults)) for _ in range(3)] for _ in range(25)]
+    for rows in cases:
+        cells = [
+            cv.row_cell(i, f in ("blank", "duplicate"), f == "truncated", cv.Costs()) for i, f in rows
+        ]
+        got = cv.best(cv.combined(cells)) if cells else (0, "")
+        assert got == exhaustive(rows), rows
+
+
+def test_any_cut_gives_the_same_cell():
+    rng = random.Random(4)
+    cells = [cv.row_cell(rng.choice("sua"), rng.random() < 0.2, rng.random() < 0.2, cv.Costs()) for _ in range(9)]
+    whole = cv.combined(cells)
+    for cut in range(1, len(cells)):
+        assert cv.joined(cv.combined(cells[:cut]), cv.combined(cells[cut:])) == whole
+
+
+def model(rows):
+    """What the summary of one conversation has to be, from its damaged rows in order."""
+    ws = " \t\n\x0b\x0c\r"
+    seen, faults = set(), []
+    for _, role, text in rows:
+        bare = text.rstrip(ws)
+        if not bare.lstrip(ws):
+            fault = "blank"
+        elif (role, text) in seen:
+            fault = "duplicate"
+        else:
+            fault = "" if bare[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        faults.append(fault)
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+    best = {"": (0, "", ())}
+
+    def fill(states):
+        for _ in range(2):
+            for last, (cost, audit, out) in list(states.items()):
+                for x in follows[last].replace("s", ""):
+                    role = {"u": "user", "a": "assistant"}[x]
+                    new = (cost + 3, audit + "I", (*out, role + ":"))
+                    if x not in states or new[:2] < states[x][:2]:
+                        states[x] = new
+        return states
+
+    best = fill(best)
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        after = {}
+
+        def offer(last, cost, audit, out, after=after):
+            if last not in after or (cost, audit) < after[last][:2]:
+                after[last] = (cost, audit, out)
+
+        for last, (cost, audit, out) in best.items():
+            offer(last, cost + 4, audit + "D", out)
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = 3 if fault else 0
+            for x in follows[last]:
+                if role[:1] == x:
+                    offer(x, cost + extra, audit + "K", (*out, f"{role}:{text}"))
+                if x != "s":
+                    name = {"u": "user", "a": "assistant"}[x]
+                    offer(x, cost + 3 + extra, audit + "R", (*out, f"{name}:{text}"))
+        best = fill(after)
+    cost, audit, out = min(best[x] for x in ("", "a") if x in best)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    pairs = zip(rows, rows[1:], strict=False)
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in pairs)
+    counts = [faults.count(x) for x in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest())
+
+
+def expected(rows, damage=True):
+    kept = {}
+    for conv, turn, role, text in rows:
+        kept.setdefault(conv, [])
+        role, text = (" " if v is None else v for v in (role, text))
+        shown = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        part = zlib.crc32(shown.encode()) % 20 if damage else 19
+        if part == 1:
+            text = ""
+        elif part == 2:
+            text = re.sub("[.!?]", "", text)
+        elif part == 4:
+            role = "user"
+        kept[conv] += [(turn, role, text)] * (0 if part == 0 else 2 if part == 3 else 1)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    return sorted(((c, *model(sorted(r, key=order))) for c, r in kept.items()), key=str)
+
+
+def some_rows(seed, conversations, turns):
+    rng = random.Random(seed)
+    texts = ["Yes.", "No!", "why?", "cut off", "", " \t", "Bye. \n", None, "é😀.", "a:b\nc."]
+    roles = ["user", "assistant", "system", "tool", "unknown", "", None, "Assistant"]
+    weights = [6, 6, 2, 1, 1, 1, 1, 1]
+    rows = []
+    for conv in [*range(conversations), None]:
+        for turn in range(rng.randint(1, turns)):
+            number = rng.choice([turn, turn, turn, 3 * turn, 0, None])
+            text = rng.choice(texts) if rng.random() < 0.6 else f"text {rng.randint(0, 99)}."
+            rows.append((conv, number, rng.choices(roles, weights)[0], text))
+    rng.shuffle(rows)
+    return rows + rows[:3]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 10])
+def test_summary_by_a_plain_model(spark, monkeypatch, bits):
+    monkeypatch.setattr(cv, "BLOCK_BITS", bits)  # so that conversations span many blocks and rounds
+    rows = some_rows(bits, 25, 12) + [(77, i, "user", f"turn {i}.") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    repaired = cv.repair(cv.damaged(df, *NAMES), *NAMES)
+    assert sorted(map(tuple, cv.summary(df, repaired).collect()), key=str) == expected(rows)
+
+
+def test_repaired_turns(spark):
+    rows = some_rows(9, 12, 8)
+    df = spark.createDataFrame(rows, SCHEMA)
+    repaired = cv.repair(df)
+    texts = {}
+    for r in sorted(repaired.turns().collect(), key=lambda r: (str(r.conv), r.turn)):
+        texts.setdefault(r.conv, []).append((r.role, r.text))
+    digest = {c: hashlib.sha256("\n".join(map(":".join, t)).encode()).hexdigest() for c, t in texts.items()}
+    nothing = hashlib.sha256().hexdigest()
+    want = {row[0]: row[-1] for row in expected(rows, damage=False)}
+    assert {c: digest.get(c, nothing) for c in want} == want
+    for turns in texts.values():
+        assert re.fullmatch("s?(ua)+", "".join(role[:1] for role, _ in turns))
+
+
+def test_edge_tables(spark):
+    """Empty table, other columns with the operator's names, long texts, extreme turns, all rows lost."""
+    empty = spark.createDataFrame([], SCHEMA)
+    assert cv.summary(empty, cv.repair(empty)).collect() == []
+    long = "word " * 400_000 + "."
+    rows = [(1, -(2**63), "user", long), (1, 2**63 - 1, "assistant", long + " \n")]
+    df = spark.createDataFrame([(*r, "x", 5, "y") for r in rows], SCHEMA + ", audit string, place int, conv string")
+    (row,) = cv.summary(df, cv.repair(df.withColumnRenamed("audit", "Text2"))).collect()
+    assert (row.cost, row.audit, row.truncated) == (0, "KK", 0)
+    assert row.repaired_sha256 == hashlib.sha256(f"user:{long}\nassistant:{long} \n".encode()).hexdigest()
+    (row,) = cv.summary(df, cv.repair(df.filter("turn = 0"))).collect()
+    assert tuple(row) == (1, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+
+
+def test_one_hot_conversation_is_split(spark, monkeypatch):
+    """A conversation of most rows becomes cells block by block; equal rows may be split too."""
+    monkeypatch.setattr(cv, "BLOCK_BITS", 4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(5, i % 40, "user" if i % 3 else "assistant", "same.") for i in range(2000)] + [(6, 0, "user", "x.")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    try:
+        repaired = cv.repair(df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = sorted(map(tuple, cv.summary(df, repaired).collect()), key=str)
+    assert got == expected(rows, damage=False)
+    parts = repaired.ordered.filter("conv = 5").selectExpr("place >> 33 AS part").distinct().count()
+    assert parts > 1

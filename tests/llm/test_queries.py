@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in "documents embeddings pages labels".split():
+    for name in "documents embeddings pages labels conversations".split():
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return connection
 
@@ -32,7 +32,7 @@ def texts(duck):
 
 def test_registered_by_the_driver_contract():
     names = contract.queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if re.match(r"op\d", name)}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if re.match(r"op\d", name)}
     assert "pipeline" in names
     assert queries.ORACLES.keys() <= contract.oracle_sql().keys()
 
