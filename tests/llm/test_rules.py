@@ -80,7 +80,7 @@ def test_bands():
         assert not rules.compression((prose[:40] * 2000)[:size].encode(), settings)[2]
     # Good as a whole, but half of its chunks are not.
     ratio, share, passes = rules.compression((prose[:20_000] + "spam spam " * 2000).encode(), settings)
-    assert 0.19 < ratio < 0.4 and 0.4 < share < 0.6 and not passes
+    assert 0.15 < ratio < 0.4 and 0.4 < share < 0.6 and not passes
     assert rules.compression(b"", settings) == (None, 0.0, True)
     assert rules.compression(b"x", settings)[2]
 
