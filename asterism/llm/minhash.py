@@ -4,6 +4,8 @@
    ``bands * rows`` minima of that set, one key for each band of minima, and
    the packed low bits of all minima.
 2. Texts with the same set form a class, which its smallest id stands for.
+   Shingles are compared by two independent 64-bit hashes of their words'
+   digests: sets are equal if they are by both.
 3. Representatives that share a band key are candidates. A bucket is not
    expanded into its pairs: all members are compared with one leader, the
    member that meets most others (in a group of edited copies, the original).
@@ -11,7 +13,8 @@
    Members that are still in another component than their leader are joined
    with all others of their buckets by their rarest shingles, which is exact.
 4. The packed bits estimate the similarity, corrected for chance agreement;
-   pairs far below the threshold go. The rest is confirmed on full sets.
+   pairs far below the threshold go. The rest is confirmed on full sets, made
+   with the second hash, in which candidates had no part.
 """
 
 from __future__ import annotations
@@ -104,10 +107,11 @@ def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
     """Add n_shingles, set_id, bands and sig. A text without words has no set_id and no band."""
 
     def compute(texts: list) -> list[pa.Array]:
-        sets = shingle_sets(texts, settings.shingle)
+        sets, others = shingle_sets(texts, settings.shingle, (0, 1))
         keys, bits = _signatures(sets, settings)
         ids = [
-            hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets
+            hashlib.blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() if len(a) else None
+            for a, b in zip(sets, others, strict=True)
         ]
         return [pa.array(map(len, sets), pa.int64()), packed(ids), _lists(keys), _lists(bits)]
 
@@ -116,8 +120,11 @@ def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
 
 
 def _shingles(df: DataFrame, text: str, settings: Settings) -> DataFrame:
+    """The sets on which links are confirmed, made with the hash that no candidate came from."""
+
     def compute(texts: list) -> list[pa.Array]:
-        sets = [s.view(np.int64) for s in shingle_sets(texts, settings.shingle)]
+        (found,) = shingle_sets(texts, settings.shingle, (1,))
+        sets = [s.view(np.int64) for s in found]
         ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
         flat = np.concatenate([*sets, np.empty(0, np.int64)])
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
@@ -171,11 +178,13 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, settings: Settings) -> Data
     the key, by classes, since o grows with both.
     """
     percent, whole = settings.percent, 100 + settings.percent
-    tokens = sets.join(open_.select("id"), "id").select("id", F.explode("shingles").alias("t"))
+    # An id that comes with several texts has several sets, told apart by their hash.
+    set_of = F.xxhash64("shingles").alias("set")
+    tokens = sets.join(open_.select("id"), "id").select("id", set_of, F.explode("shingles").alias("t"))
     often = tokens.groupBy("t").agg(F.count("*").alias("n")).filter("n > 1")
     counted = tokens.join(stored(often, "often"), "t", "left")
     entry = F.struct(F.coalesce("n", F.lit(1)).alias("n"), "t")
-    ordered = counted.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("order"))
+    ordered = counted.groupBy("id", "set").agg(F.sort_array(F.collect_list(entry)).alias("order"))
     ordered = ordered.withColumn("m", F.size("order"))
     first = F.slice("order", 1, (F.col("m") - F.ceil(F.col("m") * percent / 100) + 1).cast("int"))
     prefix = ordered.select("id", "m", F.posexplode(first).alias("at", "entry")).filter("entry.n > 1")

@@ -14,7 +14,6 @@ numbers are ranked, then pairs of ranks, up to windows of eight words.
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,12 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asterism.llm.common import add_columns
+from asterism.llm.words import word_numbers
 
 SPACES = " \t\n\x0b\x0c\r"
-SPACE = re.compile(rb"[\x20\x09-\x0D]")
 SYMBOLS = "#*$%&|<>"
 DOUBLINGS = 3  # windows of 2**3 words
-SLICE = 1 << 20  # bytes of a text that are split into words at a time
 
 
 @dataclass(frozen=True)
@@ -98,19 +96,6 @@ def compression(data: bytes, settings: Settings) -> tuple[float | None, float, b
     return whole, share, not outside and share <= settings.bad_share
 
 
-def _word_numbers(coded: bytes, known: dict[bytes, int]) -> np.ndarray:
-    """A number for each word; a long text is split slice by slice, behind white space."""
-    parts, at = [], 0
-    while at < len(coded):
-        end = SPACE.search(coded, at + SLICE)
-        stop = end.end() if end else len(coded)
-        words = coded[at:stop].split()
-        numbers = (known.setdefault(word, len(known)) for word in words)
-        parts.append(np.fromiter(numbers, np.int64, len(words)))
-        at = stop
-    return np.concatenate(parts) if parts else np.empty(0, np.int64)
-
-
 def repeated_words(numbers: np.ndarray, text_of: np.ndarray, n_texts: int) -> np.ndarray:
     """Words of each text inside windows of eight that stand in it more than once.
 
@@ -154,7 +139,7 @@ def measured(df: DataFrame, text: str, settings: Settings) -> DataFrame:
         texts = [value or "" for value in values]
         coded = [t.encode() for t in texts]
         known: dict[bytes, int] = {}
-        numbers = [_word_numbers(c, known) for c in coded]
+        numbers = [word_numbers(c, known) for c in coded]
         n_words = np.array([len(n) for n in numbers], np.int64)
         text_of = np.repeat(np.arange(len(texts)), n_words)
         repeats = repeated_words(np.concatenate([*numbers, np.empty(0, np.int64)]), text_of, len(texts))

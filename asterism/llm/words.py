@@ -1,16 +1,26 @@
-"""Hashes of words and shingles, made over whole arrays of bytes.
+"""Hashes of words and shingles.
 
 Words are the pieces between white space (blank and the ASCII controls 9 to
-13), with A-Z lower-cased. A word's hash is a polynomial in its bytes, taken
-from prefix sums over the whole buffer, so no word is touched on its own.
+13), with A-Z lower-cased.
+
+Shingles tell documents apart, so they are made from cryptographic digests of
+the distinct words, whose two halves are independent 64-bit hashes. Features of
+classifiers only need spread: their word hash is a polynomial in the bytes,
+taken from prefix sums over a whole buffer. That one can collide by design of
+the words and must not decide whether texts are equal.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 from functools import lru_cache
 
 import numpy as np
 
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+SLICE = 1 << 20  # bytes of a text that are split into words at a time
+CACHED = 64  # bytes of a word whose digest is worth keeping
 SEGMENT = 1 << 19  # bytes hashed at a time
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -82,13 +92,38 @@ def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), counts
 
 
-def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
-    """Sorted hashes of the distinct ``width``-word shingles of every text.
+def word_numbers(coded: bytes, known: dict[bytes, int]) -> np.ndarray:
+    """A number for each word; a long text is split slice by slice, behind white space."""
+    parts, at = [], 0
+    while at < len(coded):
+        end = SPACE.search(coded, at + SLICE)
+        stop = end.end() if end else len(coded)
+        words = coded[at:stop].split()
+        numbers = (known.setdefault(word, len(known)) for word in words)
+        parts.append(np.fromiter(numbers, np.int64, len(words)))
+        at = stop
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
-    A text of fewer words has its whole sequence as its only shingle; a text
-    without words has none.
-    """
-    hashes, counts = hash_words(texts)
+
+def _digest(word: bytes) -> bytes:
+    return hashlib.blake2b(word, digest_size=16).digest()
+
+
+_short_digest = lru_cache(maxsize=1 << 17)(_digest)
+
+
+def word_digests(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of all words of all texts in order, a row each,
+    and the number of words of each text."""
+    known: dict[bytes, int] = {}
+    numbers = [word_numbers((text or "").encode().lower(), known) for text in texts]
+    raw = b"".join(_short_digest(w) if len(w) <= CACHED else _digest(w) for w in known)
+    halves = np.frombuffer(raw, np.uint64).reshape(-1, 2).T
+    counts = np.array([len(n) for n in numbers], np.int64)
+    return halves[:, np.concatenate([*numbers, np.empty(0, np.int64)])], counts
+
+
+def _sets(hashes: np.ndarray, counts: np.ndarray, width: int) -> list[np.ndarray]:
     n = len(hashes)
     rolled = np.zeros(n, np.uint64)
     for j in range(min(width, n)):
@@ -105,3 +140,17 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
             out.append(np.empty(0, np.uint64))
         at += count
     return out
+
+
+def shingle_sets(
+    texts: list[str | None], width: int, halves: tuple[int, ...] = (0,)
+) -> list[list[np.ndarray]]:
+    """Sorted hashes of the distinct ``width``-word shingles of every text, for each of the
+    independent hashes asked for.
+
+    A text of fewer words has its whole sequence as its only shingle; a text
+    without words has none. Two shingles agree in one hash with a probability
+    of 2**-64, in both of 2**-128.
+    """
+    digests, counts = word_digests(texts)
+    return [_sets(digests[half], counts, width) for half in halves]

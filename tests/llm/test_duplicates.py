@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pytest
 
-from asterism.llm import components, exact_dedup, minhash
+from asterism.llm import components, exact_dedup, minhash, words
 from asterism.session import scratch_root
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -175,6 +175,49 @@ def test_near_repeated_and_null_ids(spark):
     assert got == sorted(map(str, expected))
 
 
+def test_near_words_made_to_collide(spark):
+    """Thue-Morse words and their complements agree in every polynomial modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    x, y = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    rows = [(1, f"{x} {x}"), (2, f"{y} {y}"), (3, f"{x} {y} {x}"), (4, f"{y} {x} {y}"), (5, f"{x} {x} {y} {y} {x}")]
+    for width in (2, 5):
+        settings = minhash.Settings(shingle=width)
+        got = {tuple(r) for r in minhash.near_duplicates(documents(spark, rows), settings=settings).collect()}
+        assert got == near(rows, width)
+    (one,), (two,) = words.shingle_sets([f"{x} {x} {y}"], 1, (0, 1))
+    assert len(one) == len(two) == 2 and not set(one.tolist()) & set(two.tolist())
+
+
+def test_near_ids_with_several_texts(spark):
+    """Each text of an id has links of its own; the id joins them."""
+    rows = near_rows(random.Random(5))[:80]
+    rows = [(i // 2, t) for i, t in rows]
+    settings = minhash.Settings(shingle=2)
+    got = sorted(map(tuple, minhash.near_duplicates(documents(spark, rows), settings=settings).collect()))
+    label = {i: find for i, _, find, _ in near(rows, 2)}
+    sizes = sorted((i, len(shingles(t, 2)), label[i], label[i] == i) for i, t in rows)
+    assert got == sizes
+
+
+def test_near_long_texts(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200_000)]
+    other = base[:190_000] + ["x" * 100_000] + base[190_000:]
+    rows = [(1, " ".join(base)), (2, "\n".join(other)), (3, " ".join(base[:100_000]))]
+    got = {tuple(r) for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert got == near(rows, 5)
+    assert {(r[0], r[2]) for r in got} == {(1, 1), (2, 1), (3, 3)}
+
+
+def test_words_of_a_text_split_slice_by_slice(monkeypatch):
+    texts = ["a  b\tC\n d ", "", None, "e", " f\x0bg"]
+    whole = words.word_digests(texts)
+    monkeypatch.setattr(words, "SLICE", 1)
+    for a, b in zip(whole, words.word_digests(texts), strict=True):
+        assert a.tolist() == b.tolist()
+    assert whole[1].tolist() == [4, 0, 0, 1, 2]
+
+
 def test_estimate_spares_links():
     """The packed bits of a pair at the threshold stay above the cut."""
     settings = minhash.Settings()

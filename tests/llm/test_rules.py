@@ -7,34 +7,34 @@ import re
 import numpy as np
 import pytest
 
-from asterism.llm import queries, rules
+from asterism.llm import queries, rules, words
 
 SF = "/root/testdata/sf0.01"
 
 
 def counts(text):
     text = text or ""
-    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = {}
-    for i in range(len(words) - 7):
-        windows.setdefault(tuple(words[i : i + 8]), []).append(i)
+    for i in range(len(found) - 7):
+        windows.setdefault(tuple(found[i : i + 8]), []).append(i)
     again = {j for places in windows.values() if len(places) > 1 for i in places for j in range(i, i + 8)}
     lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
-    failed = len(words) < 20 or 100 * len(again) > 30 * len(words)
+    failed = len(found) < 20 or 100 * len(again) > 30 * len(found)
     return (
-        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)),
         len(lines) - len(set(lines)), len(again), failed,
     )
 
 
 def some_texts():
     rng = random.Random(1)
-    words = ["a", "b", "the", "é😀", "#", "<b>", "x|y", " ", "word."]
+    some = ["a", "b", "the", "é😀", "#", "<b>", "x|y", " ", "word."]
     texts = [None, "", " \t\n", "one", "a b c d e f g h a b c d e f g h", "x\nx\n \n \nx y", "\n\n"]
     for n in (3, 16, 40, 200):
         for kinds in (1, 3, 9):
             gaps = [" ", " ", "\n", "\t", "\r\n", "  "]
-            texts.append("".join(rng.choice(words[:kinds]) + rng.choice(gaps) for _ in range(n)))
+            texts.append("".join(rng.choice(some[:kinds]) + rng.choice(gaps) for _ in range(n)))
     base = " ".join(f"w{rng.randint(0, 300)}" for _ in range(50))
     return texts + [base + " middle " + base, base + " " + base[:-1], base]
 
@@ -42,7 +42,7 @@ def some_texts():
 @pytest.mark.parametrize("size", [1, 1 << 20])
 def test_counts_by_a_plain_model(spark, monkeypatch, size):
     """Also where a text is split slice by slice."""
-    monkeypatch.setattr(rules, "SLICE", size)
+    monkeypatch.setattr(words, "SLICE", size)
     texts = some_texts()
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, ratio string, N_Words int")
     got = {r.doc_id: tuple(r)[1:7] for r in rules.judge(df).collect()}
@@ -71,8 +71,8 @@ def test_good_documents_stay_and_repetitive_ones_go(spark):
 def test_bands():
     settings, rng = rules.Settings(), random.Random(2)
     noise = base64.b85encode(rng.randbytes(40_000)).decode()
-    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(4000)]
-    prose = " ".join(rng.choices(words, weights=[1 / (i + 1) for i in range(4000)], k=12_000))
+    made = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(4000)]
+    prose = " ".join(rng.choices(made, weights=[1 / (i + 1) for i in range(4000)], k=12_000))
     for size in (300, 1000, 3000, 10_000, 40_000):
         assert rules.compression(prose[:size].encode(), settings)[2]
         # In a few hundred bytes no code table pays, so noise does not stand out yet.
