@@ -6,20 +6,20 @@ from pyspark.sql import SparkSession
 
 
 def _path(spark: SparkSession, location: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(location)
-
-
-def _file_system(spark: SparkSession, location: str):
-    return _path(spark, location).getFileSystem(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def qualified(spark: SparkSession, location: str) -> str:
-    return _file_system(spark, location).makeQualified(_path(spark, location)).toString()
+    path, files = _path(spark, location)
+    return files.makeQualified(path).toString()
 
 
 def exists(spark: SparkSession, location: str) -> bool:
-    return _file_system(spark, location).exists(_path(spark, location))
+    path, files = _path(spark, location)
+    return files.exists(path)
 
 
 def delete(spark: SparkSession, location: str) -> None:
-    _file_system(spark, location).delete(_path(spark, location), True)
+    path, files = _path(spark, location)
+    files.delete(path, True)

@@ -2,15 +2,14 @@
 
 Every save goes to a new folder. A publication is one more row in a small JSON
 table that names the folder of each table, so all tables of a run appear
-together, and a run that fails leaves the former ones in place. The rows are
-also the record of what this library wrote: nothing else is ever deleted. One
-writer at a time.
+together, and a run that fails leaves the former ones in place. Rows are counted
+up, whatever the clocks of their writers say. They are also the record of what
+this library wrote: nothing else is ever deleted. One writer at a time.
 """
 
 from __future__ import annotations
 
 import logging
-import time
 import uuid
 from collections.abc import Mapping
 
@@ -31,8 +30,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self._unpublished: list[str] = []
 
-    def history(self) -> list[dict[str, str]]:
-        """Table name -> folder below the root, of every publication, the current one last."""
+    def _publications(self) -> list[tuple[int, dict[str, str]]]:
         path = f"{self.root}/{PUBLICATIONS}"
         if not storage.exists(self.spark, path):
             return []
@@ -40,7 +38,11 @@ class Warehouse:
             rows = self.spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(path).collect()
         except Exception as error:
             raise ValueError(f"{path} cannot be read, so nothing below {self.root} is touched") from error
-        return [row.tables for row in sorted(rows, key=lambda row: row.version)]
+        return sorted(((r.version, r.tables) for r in rows), key=lambda r: (r[0], sorted(r[1].items())))
+
+    def history(self) -> list[dict[str, str]]:
+        """Table name -> folder below the root, of every publication, the current one last."""
+        return [tables for _, tables in self._publications()]
 
     def current(self) -> dict[str, str]:
         return next(reversed(self.history()), {})
@@ -57,11 +59,9 @@ class Warehouse:
         return folder
 
     def save_bucketed(self, name: str, df: DataFrame, column: str, buckets: int) -> tuple[str, str]:
-        """Write a new version bucketed by ``column``; returns its folder and catalog entry.
+        """Write a new version bucketed by ``column``, a file each; returns its folder and catalog entry.
 
-        The rows are dealt by bucket first, so that there is one file each. Only
-        a catalog entry tells Spark about buckets. The entry is external:
-        dropping it keeps the files, which also read as plain Parquet.
+        The entry, which tells Spark about the buckets, is external: dropping it keeps the files.
         """
         folder = self._new_folder(name)
         entry = f"asterism_{uuid.uuid4().hex}"
@@ -88,13 +88,14 @@ class Warehouse:
         return sorted(tables)
 
     def publish(self, folders: Mapping[str, str]) -> None:
-        """Make the given versions current, all at once."""
-        tables = {**self.current(), **folders}
-        pairs = [F.lit(x) for pair in tables.items() for x in pair]
-        row = self.spark.range(1, numPartitions=1).select(
-            F.lit(time.time_ns()).alias("version"), F.create_map(*pairs).alias("tables")
-        )
+        """Make the given versions current, all at once; fail if another writer came in between."""
+        last, former = next(reversed(self._publications()), (0, {}))
+        tables = {**former, **folders}
+        pairs = F.create_map(*[F.lit(x) for pair in tables.items() for x in pair])
+        row = self.spark.range(1, numPartitions=1).select(F.lit(last + 1).alias("version"), pairs.alias("tables"))
         row.write.mode("append").json(f"{self.root}/{PUBLICATIONS}")
+        if self.current() != tables:
+            raise RuntimeError(f"another writer published below {self.root} at the same time")
         self._unpublished = [f for f in self._unpublished if f not in tables.values()]
 
     def refresh(self, name: str, df: DataFrame) -> DataFrame:
@@ -107,12 +108,10 @@ class Warehouse:
 
         Done by the next run, so that readers of the former version finish.
         """
-        history = self.history()
-        if not history:
+        *_, kept = history = [{}, *self.history()]
+        if not kept:
             log.info("nothing is published below %s, so nothing is deleted", self.root)
-            return
-        former = {folder for tables in history for folder in tables.values()}
-        for folder in sorted(former - set(history[-1].values())):
+        for folder in sorted({f for tables in history for f in tables.values()} - set(kept.values())):
             storage.delete(self.spark, f"{self.root}/{folder}")
 
     def discard(self) -> None:

@@ -1,3 +1,4 @@
+import time
 from pathlib import Path
 
 import pytest
@@ -38,6 +39,40 @@ def test_tables_are_published_together(spark, warehouse):
     assert [warehouse.read(name).count() for name in "abc"] == [1, 2, 3]
 
 
+def test_order_does_not_hang_on_clocks(spark, warehouse, monkeypatch):
+    """The second writer's clock is behind; its publication still is the current one and stays."""
+    warehouse.refresh("t", spark.range(3))
+    now = time.time_ns()
+    monkeypatch.setattr(time, "time_ns", lambda: now - 10**12)
+    monkeypatch.setattr(time, "time", lambda: now / 1e9 - 1000)
+    late = Warehouse(spark, warehouse.root)
+    assert late.refresh("t", spark.range(5)).count() == 5
+    assert len(late.history()) == 2
+    late.drop_superseded()
+    assert warehouse.read("t").count() == 5
+    assert [f"t/{v}" for v in versions(warehouse)] == [warehouse.current()["t"]]
+
+
+def test_two_writers_at_once(spark, warehouse, monkeypatch):
+    """The one whose row is not the last is told, and its version can be discarded."""
+    warehouse.refresh("t", spark.range(3))
+    a, b = Warehouse(spark, warehouse.root), Warehouse(spark, warehouse.root)
+    saved = [w.save("t", spark.range(n)) for w, n in ((a, 5), (b, 7))]
+    known, real = a._publications(), Warehouse._publications
+    answers = iter([known])
+    monkeypatch.setattr(a, "_publications", lambda: next(answers, None) or real(a))
+    b.publish({"t": saved[1]})
+    if saved[0] > saved[1]:
+        a.publish({"t": saved[0]})
+        assert warehouse.read("t").count() == 5
+        return
+    with pytest.raises(RuntimeError, match="another writer"):
+        a.publish({"t": saved[0]})
+    a.discard()
+    warehouse.drop_superseded()
+    assert warehouse.read("t").count() == 7
+
+
 def versions(warehouse, name="t"):
     return sorted(path.name for path in Path(warehouse.root, name).iterdir())
 
