@@ -36,6 +36,14 @@ def json_validate(value: Column | str, *, fail: bool = True) -> Column:
     return parse(_column(value))
 
 
+def record_schema(texts: Sequence[str], values: Sequence[str] = ()) -> T.StructType:
+    """Fields of a record: ``texts`` as STRING, ``values`` as VARIANT."""
+    return T.StructType(
+        [T.StructField(key, T.StringType()) for key in texts]
+        + [T.StructField(key, T.VariantType()) for key in values]
+    )
+
+
 def parse_fields(
     record: Column | str, texts: Sequence[str], values: Sequence[str] = ()
 ) -> Column:
@@ -45,11 +53,7 @@ def parse_fields(
     NULL, one that is no JSON string is its JSON text. An absent value is NULL,
     a null one a variant null.
     """
-    schema = T.StructType(
-        [T.StructField(key, T.StringType()) for key in texts]
-        + [T.StructField(key, T.VariantType()) for key in values]
-    )
-    return F.from_json(_column(record), schema, {"mode": "FAILFAST"})
+    return F.from_json(_column(record), record_schema(texts, values), {"mode": "FAILFAST"})
 
 
 def missing_keys(record: Column | str, keys: Sequence[str]) -> Column:
@@ -57,23 +61,24 @@ def missing_keys(record: Column | str, keys: Sequence[str]) -> Column:
     return F.array_except(F.array(*[F.lit(key) for key in keys]), present)
 
 
-def if_complete(record: Column | str, fields: Column, keys: Sequence[str], value: Column) -> Column:
-    """``value``, or a failure when the record lacks one of the required text keys."""
+def lacks(record: Column | str, fields: Column, keys: Sequence[str]) -> Column:
+    """Message about the required text keys that the record lacks; NULL if it has them all."""
     missing = missing_keys(record, keys)
-    fail = F.raise_error(
-        F.concat(F.lit("record without required key "), F.array_join(missing, ", "))
-    )
+    message = F.concat(F.lit("record without required key "), F.array_join(missing, ", "))
     any_null = reduce(or_, [fields.getField(key).isNull() for key in keys])
-    incomplete = F.when(any_null, F.size(missing) > 0).otherwise(F.lit(False))
-    return F.when(incomplete, fail).otherwise(value)
+    return F.when(any_null, F.when(F.size(missing) > 0, message))
 
 
 def integer_field(fields: Column, key: str, type_: T.DataType) -> Column:
-    """A text field assigned to an integer column; anything but a whole number fails."""
+    """A text field assigned to an integer column; NULL if it is no whole number."""
+    return fields.getField(key).try_cast(type_)
+
+
+def ill_typed(fields: Column, key: str, type_: T.DataType) -> Column:
+    """Message about a text field that an integer column cannot take; else NULL."""
     text = fields.getField(key)
-    number = text.try_cast(type_)
-    fail = F.raise_error(F.concat(F.lit(f"key '{key}' holds no {type_.simpleString()}: "), text))
-    return F.when(number.isNull() & text.isNotNull(), fail).otherwise(number)
+    message = F.concat(F.lit(f"key '{key}' holds no {type_.simpleString()}: "), text)
+    return F.when(text.isNotNull() & integer_field(fields, key, type_).isNull(), message)
 
 
 def optional_text_field(

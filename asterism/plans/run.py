@@ -17,7 +17,7 @@ from asterism.operators.audit import counted
 from asterism.operators.checks import enforce, enforce_table, fk_orphans
 from asterism.plans.dimensions import populate_dim_dates, populate_dim_users
 from asterism.plans.facts import populate_fact_posts
-from asterism.plans.staging import load_comments, load_posts, load_users
+from asterism.plans.staging import COMMENTS, POSTS, USERS, load
 from asterism.schemas import star_schema
 from asterism.session import configure, scratch_released
 from asterism.sources.calendar import CALENDAR_END, CALENDAR_START, calendar_days
@@ -26,7 +26,7 @@ from asterism.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
-LOADS = {"posts": load_posts, "users": load_users, "comments": load_comments}
+COLLECTIONS = {"posts": POSTS, "users": USERS, "comments": COMMENTS}
 
 
 @dataclass
@@ -68,11 +68,11 @@ class Run:
         return self.warehouse.open(self.saved[name])
 
     def _stage(self, collection: str) -> DataFrame:
-        table = f"staging_{collection}"
-        records = read_records(self.spark, f"{self.landing}/{collection}", self.layout)
+        known = COLLECTIONS[collection]
+        table = known.table
+        records = read_records(self.spark, f"{self.landing}/{collection}", self.layout, known.fields)
         records, seen = counted(records, collection)
-        load = LOADS[collection]
-        contents = load(records, self.run_ts, self._target(table), self.id_type)
+        contents = load(known, records, self.run_ts, self._target(table), self.id_type)
         if self.buckets and collection == "posts":
             self.saved[table], entry = self.warehouse.save_bucketed(
                 table, contents, "id", self.buckets
@@ -121,14 +121,14 @@ class Run:
         # Loads that do not depend on each other share the cluster.
         inherited = inheritable_thread_target(self.spark)
 
-        def start(load, *arguments):
-            return pool.submit(copy_context().run, inherited(load), *arguments)
+        def start(task, *arguments):
+            return pool.submit(copy_context().run, inherited(task), *arguments)
 
-        with ThreadPoolExecutor(len(LOADS)) as pool:
-            loads = [start(self._stage, name) for name in LOADS]
-            posts, users, comments = [load.result() for load in loads]
+        with ThreadPoolExecutor(len(COLLECTIONS)) as pool:
+            loads = [start(self._stage, name) for name in COLLECTIONS]
+            posts, users, comments = [started.result() for started in loads]
             dimensions = [start(self._users, users), start(self._dates)]
-            dim_users, dim_dates = [load.result() for load in dimensions]
+            dim_users, dim_dates = [started.result() for started in dimensions]
 
         # All dates the fact can hold; user keys exist because of the inner join.
         dates = posts.select(date_key("loaded_at").alias("date_key")).distinct()

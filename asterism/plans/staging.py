@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asterism.functions.json import (
-    if_complete,
+    ill_typed,
     integer_field,
+    lacks,
     optional_text_field,
     optional_value_field,
     parse_fields,
+    record_schema,
 )
+from asterism.operators.checks import required
 from asterism.operators.dml import upsert_sequential
-from asterism.schemas import Table, star_schema
+from asterism.schemas import star_schema
 
 
 def moment(run_ts: datetime) -> Column:
@@ -25,35 +29,69 @@ def moment(run_ts: datetime) -> Column:
     return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _load(
-    table: Table, required: dict[str, str], records: DataFrame, run_ts: datetime,
-    target: DataFrame | None, texts: Sequence[str] = (), values: Sequence[str] = (),
-) -> DataFrame:
-    """Upsert records in payload order.
+@dataclass(frozen=True)
+class Collection:
+    """Keys of a collection's records and the table they are staged in.
 
     ``required`` maps JSON keys to columns; ``texts`` and ``values`` are
     optional keys of the same name, defaulting to an empty text and object.
     """
-    now = moment(run_ts)
-    fields = F.col("fields")
-    parsed = records.select(
-        "record", "arrival", parse_fields("record", [*required, *texts], values).alias("fields")
+
+    table: str
+    required: dict[str, str]
+    texts: tuple[str, ...] = ()
+    values: tuple[str, ...] = ()
+
+    @property
+    def fields(self) -> T.StructType:
+        return record_schema([*self.required, *self.texts], self.values)
+
+
+POSTS = Collection(
+    "staging_posts", {"id": "id", "userId": "user_id", "title": "title", "body": "body"}
+)
+USERS = Collection(
+    "staging_users",
+    {"id": "id", "name": "name", "username": "username", "email": "email"},
+    ("phone", "website"),
+    ("address", "company"),
+)
+COMMENTS = Collection(
+    "staging_comments",
+    {"id": "id", "postId": "post_id", "name": "name", "email": "email", "body": "body"},
+)
+
+
+def load(
+    collection: Collection, records: DataFrame, run_ts: datetime,
+    target: DataFrame | None = None, id_type: str = "int",
+) -> DataFrame:
+    """Upsert records in payload order.
+
+    Records come with their ``fields`` where they were read with them, else
+    they are parsed here. A record without a required key, or with a number
+    that its column cannot take, fails whichever columns are read.
+    """
+    table, now = star_schema(id_type)[collection.table], moment(run_ts)
+    fields, keys = F.col("fields"), collection.required
+    if "fields" not in records.columns:
+        parsed = parse_fields("record", [*keys, *collection.texts], collection.values)
+        records = records.withColumn("fields", parsed)
+    kinds = {key: table.schema[name].dataType for key, name in keys.items()}
+    numbers = {key: kind for key, kind in kinds.items() if not isinstance(kind, T.StringType)}
+    fault = F.coalesce(
+        lacks("record", fields, list(keys)), *[ill_typed(fields, k, t) for k, t in numbers.items()]
     )
+    records = required(records, fault.isNull(), fault)
 
     def column(key: str, name: str) -> Column:
-        type_ = table.schema[name].dataType
-        if isinstance(type_, T.StringType):
-            value = fields.getField(key)
-        else:
-            value = integer_field(fields, key, type_)
-        if name == table.primary_key:
-            value = if_complete("record", fields, list(required), value)
+        value = integer_field(fields, key, numbers[key]) if key in numbers else fields.getField(key)
         return value.alias(name)
 
-    batch = parsed.select(
-        *[column(key, name) for key, name in required.items()],
-        *[optional_text_field("record", fields, key).alias(key) for key in texts],
-        *[optional_value_field(fields, key).alias(key) for key in values],
+    batch = records.select(
+        *[column(key, name) for key, name in keys.items()],
+        *[optional_text_field("record", fields, key).alias(key) for key in collection.texts],
+        *[optional_value_field(fields, key).alias(key) for key in collection.values],
         F.col("record").alias("raw_data"),
         "arrival",
     )
@@ -63,27 +101,6 @@ def _load(
     )
 
 
-def load_posts(
-    records: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
-) -> DataFrame:
-    table = star_schema(id_type)["staging_posts"]
-    required = {"id": "id", "userId": "user_id", "title": "title", "body": "body"}
-    return _load(table, required, records, run_ts, target)
-
-
-def load_users(
-    records: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
-) -> DataFrame:
-    table = star_schema(id_type)["staging_users"]
-    required = {"id": "id", "name": "name", "username": "username", "email": "email"}
-    return _load(
-        table, required, records, run_ts, target, ("phone", "website"), ("address", "company")
-    )
-
-
-def load_comments(
-    records: DataFrame, run_ts: datetime, target: DataFrame | None = None, id_type: str = "int"
-) -> DataFrame:
-    table = star_schema(id_type)["staging_comments"]
-    required = {"id": "id", "postId": "post_id", "name": "name", "email": "email", "body": "body"}
-    return _load(table, required, records, run_ts, target)
+load_posts = partial(load, POSTS)
+load_users = partial(load, USERS)
+load_comments = partial(load, COMMENTS)

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from asterism.functions.dates import date_key
 from asterism.functions.json import (
-    if_complete,
+    ill_typed,
     integer_field,
     json_dumps,
     json_text,
     json_validate,
+    lacks,
     optional_text_field,
     optional_value_field,
     parse_fields,
@@ -87,16 +88,14 @@ def parsed(spark, record, texts, values=()):
     return frame.withColumn("fields", parse_fields("record", texts, values))
 
 
-def test_required_keys(spark):
-    def complete(record):
-        column = if_complete("record", F.col("fields"), ["a", "b"], F.lit("ok"))
-        return parsed(spark, record, ["a", "b"]).select(column).first()[0]
-
-    assert complete('{"a":1,"b":"x"}') == "ok"
-    assert complete('{"a":null,"b":null}') == "ok"
-    for record, missing in [('{"a":1}', "b"), ('{"c":1}', "a, b"), ("{}", "a, b")]:
-        with pytest.raises(Exception, match=f"required key {missing}"):
-            complete(record)
+@pytest.mark.parametrize(
+    "record, missing",
+    [('{"a":1,"b":"x"}', None), ('{"a":null,"b":null}', None), ('{"a":1}', "b"), ('{"c":1}', "a, b"), ("{}", "a, b")],
+)
+def test_required_keys(spark, record, missing):
+    column = lacks("record", F.col("fields"), ["a", "b"])
+    message = missing and f"record without required key {missing}"
+    assert parsed(spark, record, ["a", "b"]).select(column).first()[0] == message
 
 
 @pytest.mark.parametrize(
@@ -132,6 +131,7 @@ def test_integer_field(spark, given, number):
 
 @pytest.mark.parametrize("given", ["true", '"x"', "1.5", "3000000000", "{}", "[1]", '""'])
 def test_integer_field_fails(spark, given):
-    column = integer_field(F.col("fields"), "id", KEY_TYPES["int"])
-    with pytest.raises(Exception, match="key 'id' holds no int"):
-        parsed(spark, '{"id":' + given + "}", ["id"]).select(column).collect()
+    kind = KEY_TYPES["int"]
+    columns = integer_field(F.col("fields"), "id", kind), ill_typed(F.col("fields"), "id", kind)
+    number, fault = parsed(spark, '{"id":' + given + "}", ["id"]).select(*columns).first()
+    assert number is None and fault.startswith("key 'id' holds no int: ")

@@ -1,9 +1,13 @@
 import json
 from datetime import date
 
+import pyarrow as pa
 import pytest
-from asterism.functions.json import json_text, parse_fields
+from pyspark.sql import functions as F
+
+from asterism.functions.json import json_text, parse_fields, record_schema
 from asterism.operators.dml import last_per_key
+from asterism.sources import arrays
 from asterism.sources.calendar import date_series
 from asterism.sources.records import read_records, read_typed
 
@@ -83,6 +87,8 @@ MALFORMED = [
     ("array", '[{"id":5}],"b":[{"id":6}]'),
     ("array", '[{"id":5}] garbage'),
     ("array", '[{"id":5}]} x'),
+    ("array", '[{"id":5]}'),
+    ("array", ""),
 ]
 
 
@@ -90,14 +96,13 @@ MALFORMED = [
 def test_malformed_fails(spark, tmp_path, layout, text):
     """However much is read of the records; nothing after a record is dropped."""
     write(tmp_path / "in" / "a.json", text)
-    records = read_records(spark, str(tmp_path / "in"), layout)
     for read in (
-        records.select(parse_fields("record", ["id"])).collect,
-        records.count,
-        records.select("arrival").collect,
+        lambda records: records.select(parse_fields("record", ["id"])).collect(),
+        lambda records: records.count(),
+        lambda records: records.select("arrival").collect(),
     ):
         with pytest.raises(Exception, match="(?i)malformed"):
-            read()
+            read(read_records(spark, str(tmp_path / "in"), layout))
 
 
 @pytest.mark.parametrize("end", ["", "\t", " \t", "\r"])
@@ -109,11 +114,116 @@ def test_blanks_around_records(spark, tmp_path, end):
     assert read_records(spark, str(tmp_path / "array"), "array").count() == 1
 
 
-def test_large_array_file_fails_before_it_is_read(spark, tmp_path):
-    write(tmp_path / "in" / "a.json", "[" + ",".join(['{"id":1}'] * 100) + "]")
-    with pytest.raises(ValueError, match="JSON Lines"):
-        read_records(spark, str(tmp_path / "in"), "array", array_bytes=500)
-    assert read_records(spark, str(tmp_path / "in"), "array").count() == 100
+# Places where a split may begin: strings with brackets, quotes and escapes, nesting, blanks.
+RECORDS = [
+    {"id": 1, "t": 'quote " and bracket } and [ in {text'},
+    {"id": 2, "t": "back\\slash \\\\", "n": {"a": {"b": [{"c": "}"}, {}]}}},
+    {"id": 3, "t": '\\"}', "empty": {}, "list": [[], [{}]]},
+    {"id": 4, "t": "", "long": "}{" * 150},
+    {"id": 5, "t": "é😀}", '}"{': None},
+]
+
+
+def cut_by_hand(text, split):
+    """The records of one file as the tasks of its splits cut them, without Spark."""
+    data = text.encode()
+    pieces, at = [], 0
+    while at < len(data):  # a split holds the pieces that begin in it
+        end = data.find(b"}", at)
+        stop = end if end >= 0 else len(data)
+        home = 0 if at == 0 else (at - 1) // split * split
+        pieces.append((home, len(pieces), data[at:stop].decode()))
+        at = stop + 1
+    rows = [
+        {"file": "f", "split": s, "size": len(data), "row": n, "bytes": len(v.encode()), "value": v} for s, n, v in pieces
+    ]
+
+    def batch(rows):
+        return pa.RecordBatch.from_pylist(rows)
+
+    tasks = [batch([r for r in rows if r["split"] == s]) for s in sorted({r["split"] for r in rows})]
+    effects = pa.Table.from_batches([out for task in tasks for out in arrays._effects(iter([task]))])
+    starts = {row["split"]: row for row in arrays._starts(effects).to_pylist()}
+    cuts = []
+    for task in tasks:
+        known = [{**starts[r["split"]], **r} for r in task.to_pylist()]
+        # In batches of two, as a split may come in several.
+        batches = [batch(known[at : at + 2]) for at in range(0, len(known), 2)]
+        cuts += [row for out in arrays._cuts(iter(batches)) for row in out.to_pylist()]
+    records, held = [], ""
+    for cut in cuts:
+        assert (cut["part"] in ("whole", "head")) == (not held)
+        held += cut["record"]
+        if cut["part"] in ("whole", "tail"):
+            records.append(held)
+            held = ""
+    assert not held
+    return records
+
+
+@pytest.mark.parametrize("indent, ascii_", [(None, True), (2, False)])
+def test_records_are_cut_wherever_splits_begin(indent, ascii_):
+    text = json.dumps(RECORDS * 3, indent=indent, ensure_ascii=ascii_)
+    for split in [*range(1, 90), 333, 10**6]:
+        assert list(map(json.loads, cut_by_hand(text, split))) == RECORDS * 3
+    assert cut_by_hand(" [ ]\n", 2) == []
+
+
+MALFORMED_ARRAYS = [
+    '[{"id":5}]}',
+    '[{"id":5}{"id":6}]',
+    '[{"id":5},,{"id":6}]',
+    '[,{"id":5}]',
+    '[{"id":5},]',
+    '[{"id":5},6]',
+    '[{"id":5},[{"id":6}]]',
+    '[{"id":5},{"id":6]',
+    '[{"id":5',
+    '[{"id":"5}]',
+    "   ",
+    "]",
+]
+
+
+@pytest.mark.parametrize("split", [1, 3, 16, 10**6])
+def test_malformed_arrays_fail_wherever_splits_begin(split):
+    whole = json.dumps(RECORDS[:3], indent=1)
+    texts = [t for layout, t in MALFORMED if layout == "array" and t not in ("", '[{"id":5]}')]
+    for text in [*MALFORMED_ARRAYS, *texts, *(whole[:-n] for n in range(1, len(whole), 5))]:
+        with pytest.raises(ValueError, match="malformed"):
+            cut_by_hand(text, split)
+
+
+def test_array_files_are_split(spark, tmp_path):
+    """Over several files and many small splits, in order; parts of a record come together."""
+    bodies = {name: [dict(r, file=name) for r in RECORDS * n] for name, n in (("a", 3), ("b", 1), ("c", 0))}
+    for name, records in bodies.items():
+        write(tmp_path / "in" / f"{name}.json", json.dumps(records, indent=2, ensure_ascii=False))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    saved = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], "150")
+    spark.conf.set(names[1], "1")
+    try:
+        found = read_records(spark, str(tmp_path / "in"), "array")
+        assert found.rdd.getNumPartitions() > 8
+        got = [json.loads(row.record) for row in found.orderBy("arrival").collect()]
+        places = found.select("arrival").distinct().count()
+    finally:
+        for name, value in saved.items():
+            spark.conf.set(name, value)
+    assert got == [record for records in bodies.values() for record in records]
+    assert places == len(got)
+
+
+def test_fields_come_from_one_parse(spark, tmp_path):
+    write(tmp_path / "in" / "a.json", '{"id":1,"t":"x","n":{"b":[1]}}')
+    fields = record_schema(["id", "t"], ["n"])
+    found = read_records(spark, str(tmp_path / "in"), fields=fields)
+    row = found.select("fields.id", "fields.t", F.to_json("fields.n").alias("n")).first()
+    assert tuple(row) == ("1", "x", '{"b":[1]}')
+    for frame in (found, found.select("fields.id"), found.select("record"), read_typed(spark, str(tmp_path / "in"), "id int, t string")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
 
 
 def test_parsed_texts(spark):
