@@ -4,8 +4,9 @@
    ``bands * rows`` minima of that set, one key for each band of minima, and
    the packed low bits of all minima.
 2. Texts with the same set form a class, which its smallest id stands for.
-   Shingles are compared by two independent 64-bit hashes of their words'
-   digests: sets are equal if they are by both.
+   Shingles are compared by 64-bit hashes. Small sets are equal only if they
+   are by two independent ones. Large sets would have to clash in several
+   shingles to be taken for equal without being near duplicates.
 3. Representatives that share a band key are candidates. A bucket is not
    expanded into its pairs: all members are compared with one leader, the
    member that meets most others (in a group of edited copies, the original).
@@ -33,6 +34,9 @@ from asterism.llm.components import components
 from asterism.llm.words import constants, mix, shingle_sets
 
 
+SMALL = 100  # words of a text whose set is told from others by both hashes
+
+
 @dataclass(frozen=True)
 class Settings:
     """Five-word shingles and a similarity of 0.8, unless given otherwise.
@@ -107,7 +111,7 @@ def signatures(df: DataFrame, text: str, settings: Settings) -> DataFrame:
     """Add n_shingles, set_id, bands and sig. A text without words has no set_id and no band."""
 
     def compute(texts: list) -> list[pa.Array]:
-        sets, others = shingle_sets(texts, settings.shingle, (0, 1))
+        sets, others = shingle_sets(texts, settings.shingle, {0: None, 1: SMALL})
         keys, bits = _signatures(sets, settings)
         ids = [
             hashlib.blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() if len(a) else None
@@ -123,7 +127,7 @@ def _shingles(df: DataFrame, text: str, settings: Settings) -> DataFrame:
     """The sets on which links are confirmed, made with the hash that no candidate came from."""
 
     def compute(texts: list) -> list[pa.Array]:
-        (found,) = shingle_sets(texts, settings.shingle, (1,))
+        (found,) = shingle_sets(texts, settings.shingle, {1: None})
         sets = [s.view(np.int64) for s in found]
         ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
         flat = np.concatenate([*sets, np.empty(0, np.int64)])

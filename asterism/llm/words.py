@@ -3,8 +3,8 @@
 Words are the pieces between white space (blank and the ASCII controls 9 to
 13), with A-Z lower-cased.
 
-Shingles tell documents apart, so they are made from cryptographic digests of
-the distinct words, whose two halves are independent 64-bit hashes. Features of
+Shingles tell documents apart, so they are made from 128-bit hashes of the
+distinct words, whose halves serve as two independent ones of 64 bits. Features of
 classifiers only need spread: their word hash is a polynomial in the bytes,
 taken from prefix sums over a whole buffer. That one can collide by design of
 the words and must not decide whether texts are equal.
@@ -12,15 +12,14 @@ the words and must not decide whether texts are equal.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 SLICE = 1 << 20  # bytes of a text that are split into words at a time
-CACHED = 64  # bytes of a word whose digest is worth keeping
 SEGMENT = 1 << 19  # bytes hashed at a time
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -105,25 +104,18 @@ def word_numbers(coded: bytes, known: dict[bytes, int]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
-def _digest(word: bytes) -> bytes:
-    return hashlib.blake2b(word, digest_size=16).digest()
-
-
-_short_digest = lru_cache(maxsize=1 << 17)(_digest)
-
-
 def word_digests(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of all words of all texts in order, a row each,
     and the number of words of each text."""
     known: dict[bytes, int] = {}
     numbers = [word_numbers((text or "").encode().lower(), known) for text in texts]
-    raw = b"".join(_short_digest(w) if len(w) <= CACHED else _digest(w) for w in known)
+    raw = b"".join(map(xxhash.xxh3_128_digest, known))
     halves = np.frombuffer(raw, np.uint64).reshape(-1, 2).T
     counts = np.array([len(n) for n in numbers], np.int64)
     return halves[:, np.concatenate([*numbers, np.empty(0, np.int64)])], counts
 
 
-def _sets(hashes: np.ndarray, counts: np.ndarray, width: int) -> list[np.ndarray]:
+def _sets(hashes: np.ndarray, counts: np.ndarray, width: int, most: int | None) -> list[np.ndarray]:
     n = len(hashes)
     rolled = np.zeros(n, np.uint64)
     for j in range(min(width, n)):
@@ -131,7 +123,9 @@ def _sets(hashes: np.ndarray, counts: np.ndarray, width: int) -> list[np.ndarray
     rolled = mix(rolled)
     out, at = [], 0
     for count in counts.tolist():
-        if count >= width:
+        if most is not None and count > most:
+            out.append(np.empty(0, np.uint64))
+        elif count >= width:
             out.append(np.unique(rolled[at : at + count - width + 1]))
         elif count:
             whole = (hashes[at : at + count] * ODD[1 : count + 1]).sum(dtype=np.uint64)
@@ -143,14 +137,16 @@ def _sets(hashes: np.ndarray, counts: np.ndarray, width: int) -> list[np.ndarray
 
 
 def shingle_sets(
-    texts: list[str | None], width: int, halves: tuple[int, ...] = (0,)
+    texts: list[str | None], width: int, halves: dict[int, int | None] | None = None
 ) -> list[list[np.ndarray]]:
     """Sorted hashes of the distinct ``width``-word shingles of every text, for each of the
-    independent hashes asked for.
+    independent hashes 0 and 1 asked for; those given a number only for texts of at most as
+    many words.
 
-    A text of fewer words has its whole sequence as its only shingle; a text
-    without words has none. Two shingles agree in one hash with a probability
-    of 2**-64, in both of 2**-128.
+    A text of fewer words than a shingle has its whole sequence as its only
+    shingle; a text without words has none. Two shingles agree in one hash with
+    a probability of 2**-64, in both of 2**-128.
     """
     digests, counts = word_digests(texts)
-    return [_sets(digests[half], counts, width) for half in halves]
+    asked = {0: None} if halves is None else halves
+    return [_sets(digests[half], counts, width, most) for half, most in asked.items()]

@@ -184,8 +184,10 @@ def test_near_words_made_to_collide(spark):
         settings = minhash.Settings(shingle=width)
         got = {tuple(r) for r in minhash.near_duplicates(documents(spark, rows), settings=settings).collect()}
         assert got == near(rows, width)
-    (one,), (two,) = words.shingle_sets([f"{x} {x} {y}"], 1, (0, 1))
+    (one,), (two,) = words.shingle_sets([f"{x} {x} {y}"], 1, {0: None, 1: None})
     assert len(one) == len(two) == 2 and not set(one.tolist()) & set(two.tolist())
+    ((short, long),) = words.shingle_sets(["a b", "a b c"], 2, {1: 2})
+    assert len(short) == 1 and len(long) == 0
 
 
 def test_near_ids_with_several_texts(spark):
