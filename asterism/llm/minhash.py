@@ -173,7 +173,8 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, settings: Settin
 def _prefix_pairs(open_: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) of different components that may be similar enough; exact.
 
-    ``open_`` has id, its component c, and out: whether to look for its links.
+    ``open_`` has id, its component c, and out: whether to look for its links;
+    ``sets`` has id, shingles and set, which tells the sets of an id apart.
     The shingles of each set are put in order of their frequency, the rarest
     first. Two sets of m and n shingles that need an overlap of o have a common
     one among the first m - o + 1 and n - o + 1. So what an edited copy added
@@ -182,9 +183,7 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, settings: Settings) -> Data
     the key, by classes, since o grows with both.
     """
     percent, whole = settings.percent, 100 + settings.percent
-    # An id that comes with several texts has several sets, told apart by their hash.
-    set_of = F.xxhash64("shingles").alias("set")
-    tokens = sets.join(open_.select("id"), "id").select("id", set_of, F.explode("shingles").alias("t"))
+    tokens = sets.join(open_.select("id"), "id").select("id", "set", F.explode("shingles").alias("t"))
     often = tokens.groupBy("t").agg(F.count("*").alias("n")).filter("n > 1")
     counted = tokens.join(stored(often, "often"), "t", "left")
     entry = F.struct(F.coalesce("n", F.lit(1)).alias("n"), "t")
@@ -237,9 +236,10 @@ def _components_of(documents: DataFrame, signed: DataFrame, settings: Settings)
     sizes = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     buckets = stored(banded.join(stored(sizes, "sizes"), "key"), "buckets")
     wanted = stored(buckets.select("id").distinct(), "wanted")
-    sets = stored(
-        _shingles(documents.join(wanted, "id", "left_semi"), "text", settings).distinct(), "sets"
-    )
+    # An id that comes with several texts has several sets, told apart by their hash.
+    # It is stored with them: beside an explode it would be made again for every shingle.
+    sets = _shingles(documents.join(wanted, "id", "left_semi"), "text", settings).distinct()
+    sets = stored(sets.withColumn("set", F.xxhash64("shingles")), "sets")
 
     # First every member with its bucket's leader.
     meets = buckets.groupBy("id").agg(F.sum("size").alias("meets"))
