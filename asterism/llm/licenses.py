@@ -1,9 +1,11 @@
 """License scans: phrases, and an exact set-similarity join with notice templates.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and characters beyond
-ASCII. A text block is a line and, for notices wrapped over lines, a window of
-words that any run as long as the longest template falls into. A block matches
-a template when it holds at least ``threshold`` of the template's distinct words. The words are ordered by
+ASCII. A text block is a window of words that any run as long as the longest
+template falls into, whatever lines the words stand in: a notice may be wrapped,
+and a long line is no bag of words. A block matches a template when it holds at
+least ``threshold`` of the template's distinct words, and the words that tell
+the template from its neighbours. The words are ordered by
 their frequency in the whole corpus, the rarest first; of ``n`` words of which
 ``o`` are needed, one of the first ``n - o + 1`` has to be in the block (prefix
 filter), the block needs ``o`` words (length filter), and the words left behind
@@ -64,6 +66,8 @@ TELLING = (
     ("person", ("or organization",)),
 )
 
+Telling = Sequence[tuple[str, Sequence[str]]]
+
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -145,7 +149,7 @@ def phrase_columns(text: Column, phrases: Mapping[str, str]) -> dict[str, Column
 
 
 def windows(text: Column, run: int) -> Column:
-    """Windows of words, each run of ``run`` words in one of them; none for a single line."""
+    """The different windows of words; each run of ``run`` words lies in one of them."""
 
     def cut(words: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(run))
@@ -153,16 +157,38 @@ def windows(text: Column, run: int) -> Column:
 
     # An array of one, so that the words are split once for all windows.
     words = F.filter(F.split(text, f"{GAP}++", -1), lambda word: word != "")
-    found = F.flatten(F.transform(F.array(words), cut))
-    return F.when(F.contains(text, F.lit("\n")), found).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.transform(F.array(words), cut)))
+
+
+def run_of(templates: Sequence[tuple[str, str]]) -> int:
+    """Words of the longest template."""
+    return max((len(text.split()) for _, text in templates), default=1)
+
+
+def stands(phrase: str, not_before: Sequence[str], words: Sequence[str]) -> bool:
+    """Whether a phrase, or one of several, stands in a list of words with none of
+    ``not_before`` behind it."""
+
+    def at(i: int, part: str) -> bool:
+        return list(words[i : i + len(part.split())]) == part.split()
+
+    return any(
+        at(i, one) and not any(at(i + len(one.split()), other) for other in not_before)
+        for one in phrase.split("|")
+        for i in range(len(words))
+    )
+
+
+def musts(templates: Sequence[tuple[str, str]], telling: Telling) -> list[list[int]]:
+    """Numbers of the telling phrases that stand in each template, and so have to in its blocks."""
+    return [[i for i, one in enumerate(telling) if stands(*one, text.split())] for _, text in templates]
 
 
 def similar_blocks(
     documents: DataFrame,
     templates: Sequence[tuple[str, str]],
     threshold: float,
-    telling: Sequence[tuple[str, Sequence[str]]] = (),
-    wrapped: bool = False,
+    telling: Telling = (),
 ) -> DataFrame:
     """(id, label, containment) of every block that holds enough of a template's words,
     and those of ``telling`` that stand in it.
@@ -183,17 +209,13 @@ def similar_blocks(
     order = sorted(vocabulary, key=lambda word: (frequency.get(word, 0), word))
     rank = {word: i for i, word in enumerate(order)}
 
-    # Over line breaks, words of neighbouring statements must not add up to a template.
-    strict = bool(telling)
-    tells = [telling_place(*one) for one in telling or (TELLING if wrapped else ())]
-    # Telling words of each template, by the pattern that looks for them in blocks.
-    text_of = spark.createDataFrame(list(enumerate(text for _, text in worded)), "template int, text string")
-    told = _told("text", tells)
-    musts = {row["template"]: row["told"] for row in text_of.select("template", told.alias("told")).collect()}
+    tells = [telling_place(*one) for one in telling]
     rows, index, prefix = [], [], set()
-    for template, ((label, words), need) in enumerate(zip(sets, needed, strict=True)):
+    for template, ((label, words), need, must) in enumerate(
+        zip(sets, needed, musts(worded, telling), strict=True)
+    ):
         words = sorted(words, key=rank.__getitem__)
-        rows.append((template, label, words, len(words), need, musts[template]))
+        rows.append((template, label, words, len(words), need, must))
         for position, word in enumerate(words[: len(words) - need + 1]):
             index.append((word, template, position))
             prefix.add(word)
@@ -214,21 +236,14 @@ def similar_blocks(
 
     # A text without enough of a template's words has no block with them. The
     # array of one is there so that the words are looked for once.
-    def marked(pieces: Column, over: bool) -> Column:
-        return F.transform(pieces, lambda x: F.struct(x.alias("line"), F.lit(over or strict).alias("strict")))
-
-    pieces = marked(F.split("text", "\n"), False)
-    if wrapped:
-        run = max(len(text.split()) for _, text in worded)
-        pieces = F.concat(pieces, marked(windows(F.col("text"), run), True))
-    lines = documents.filter(F.exists(F.array(known), enough)).select("id", F.explode(pieces).alias("piece"))
-    lines = lines.select("id", "piece.line", "piece.strict")
-    blocks = lines.select("id", "line", "strict", known_words(F.col("line"), vocabulary).alias("hits"))
-    blocks = blocks.filter(F.arrays_overlap("hits", few) & (F.size("hits") >= min(needed)))
+    possible = documents.filter(F.exists(F.array(known), enough))
+    blocks = possible.select("id", F.explode(windows(F.col("text"), run_of(worded))).alias("block"))
+    blocks = blocks.select("id", "block", known_words(F.col("block"), vocabulary).alias("hits"))
+    blocks = blocks.filter(F.exists(F.array("hits"), enough))
     in_order = F.array_sort("hits", lambda x, y: ranks[x] - ranks[y])
-    blocks = blocks.select("id", "strict", in_order.alias("hits"), _told("line", tells).alias("told")).distinct()
+    blocks = blocks.select("id", in_order.alias("hits"), _told("block", tells).alias("told")).distinct()
     # The template tables have a fixed size: that of the parameter.
-    places = blocks.select("id", "strict", "hits", "told", F.posexplode("hits").alias("at", "word"))
+    places = blocks.select("id", "hits", "told", F.posexplode("hits").alias("at", "word"))
     candidates = places.join(F.broadcast(postings), "word").join(F.broadcast(table), "template")
     left = F.least(F.col("size") - F.col("position") - 1, F.size("hits") - F.col("at") - 1)
     # ``position`` common words at most stand before this one in the template.
@@ -237,7 +252,7 @@ def similar_blocks(
         possible_overlap >= F.col("need")
     )
     overlap = F.size(F.array_intersect("hits", "t"))
-    candidates = candidates.filter(~F.col("strict") | (F.size(F.array_except("must", "told")) == 0))
+    candidates = candidates.filter(F.size(F.array_except("must", "told")) == 0)
     return candidates.filter(overlap >= F.col("need")).select(
         "id", "label", (overlap / F.col("size")).alias("containment")
     )
@@ -250,8 +265,7 @@ def scan(
     phrases: Mapping[str, str] = PHRASES,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = 0.8,
-    telling: Sequence[tuple[str, Sequence[str]]] = (),
-    wrapped: bool = False,
+    telling: Telling = TELLING,
 ) -> DataFrame:
     """One row for each row of ``df``: id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
@@ -259,20 +273,22 @@ def scan(
     ``n_base`` counts all places of the phrases, ``first_word`` and
     ``last_word`` are the smallest and largest word at which one starts.
     ``labels`` adds the templates found; ``score`` is 1 with a phrase, else the
-    largest containment that reached the threshold, else 0. With ``telling``
-    (``TELLING`` fits ``TEMPLATES``) a block has to hold a template's telling
-    words too, so that a near miss is not taken for it. With ``wrapped`` a
-    notice is found over line breaks as well, there always by its telling words
-    too (those of ``TELLING`` unless others are given). Null and empty texts have no words and no labels. Rows that share an id (null ids too)
-    share the templates found in any of them. Other columns are ignored.
+    largest containment that reached the threshold, else 0. A block has to hold
+    a template's telling words too, so that a near miss is not taken for it;
+    templates of one's own may need others than ``TELLING``, or none. Null and
+    empty texts have no words and no labels. Rows that share an id, null ids
+    too, are scanned one by one. Other columns are ignored.
     """
-    documents = df.select(F.col(id_).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # The labels hang on the text, so rows that share an id are told apart by it.
+    known = F.coalesce(F.col(text), F.lit(""))
+    key = F.struct(F.col(id_).alias("own"), F.xxhash64(known).alias("mark"))
+    documents = df.select(key.alias("id"), known.alias("text"))
     columns = phrase_columns(F.col("text"), phrases)
     based = documents
     for name, column in columns.items():
         based = based.withColumn(name, column)
     based = based.drop("text", "matches")
-    found = similar_blocks(documents, templates, threshold, telling, wrapped)
+    found = similar_blocks(documents, templates, threshold, telling)
     found = found.groupBy("id").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )
@@ -285,7 +301,7 @@ def scan(
 
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
     return joined.select(
-        F.col("id").alias(id_),
+        F.col("id.own").alias(id_),
         "n_words",
         "n_base",
         "first_word",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from asterism.llm.licenses import musts, run_of
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,36 +70,58 @@ def mixing(
 
 
 def licenses(
-    phrases: Mapping[str, str], templates: Sequence[tuple[str, str]], threshold: float
+    phrases: Mapping[str, str],
+    templates: Sequence[tuple[str, str]],
+    threshold: float,
+    telling: Sequence[tuple[str, Sequence[str]]],
 ) -> str:
-    """Phrases by position; every line against every template."""
+    """Phrases by position; every window of words against every template."""
     found = ", ".join(
         f"""struct_pack(label := '{label}', places := list_filter(range(1, len(words) + 1),
           lambda i: words[i:i + {len(p.split()) - 1}] = {text_list(p.split())}))"""
         for p, label in phrases.items()
     )
     rows = ", ".join(
-        f"('{label}', {text_list(list(dict.fromkeys(text.split())))})" for label, text in templates
+        f"('{label}', {text_list(list(dict.fromkeys(text.split())))}, {must})"
+        for (label, text), must in zip(templates, musts(templates, telling), strict=True)
     )
+
+    def stands(phrase: str, not_before: Sequence[str]) -> str:
+        def at(start: str, words: str) -> str:
+            parts = words.split()
+            return f"b[{start}:{start} + {len(parts) - 1}] = {text_list(parts)}"
+
+        ways = []
+        for one in phrase.split("|"):
+            behind = [f"NOT {at(f'i + {len(one.split())}', other)}" for other in not_before]
+            holds = " AND ".join([at("i", one), *behind])
+            ways.append(f"len(list_filter(range(1, len(b) + 1), lambda i: {holds})) > 0")
+        return " OR ".join(ways)
+
+    told = ", ".join(f"CASE WHEN {stands(*one)} THEN {i} END" for i, one in enumerate(telling))
+    run = run_of(templates)
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     return f"""
-        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
-        w AS (SELECT doc_id, regexp_extract_all(t, {word}) AS words FROM d),
-        f AS (SELECT doc_id, len(words) AS n_words, [{found}] AS found FROM w),
-        b AS (SELECT doc_id, n_words, flatten(list_transform(found, lambda x: x.places)) AS places,
+        WITH d AS (SELECT doc_id, row_number() OVER () AS k,
+          translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+        w AS (SELECT doc_id, k, regexp_extract_all(t, {word}) AS words FROM d),
+        f AS (SELECT doc_id, k, len(words) AS n_words, [{found}] AS found FROM w),
+        b AS (SELECT doc_id, k, n_words, flatten(list_transform(found, lambda x: x.places)) AS places,
           list_transform(list_filter(found, lambda x: len(x.places) > 0), lambda x: x.label) AS base FROM f),
-        l AS (SELECT doc_id, list_distinct(regexp_extract_all(line, {word})) AS words
-          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
-        v AS (SELECT * FROM (VALUES {rows}) AS x(label, t)),
-        m AS (SELECT doc_id, list_distinct(list(label)) AS more, max(have / CAST(len(t) AS DOUBLE)) AS best
-          FROM (SELECT doc_id, label, t, len(list_intersect(words, t)) AS have FROM l, v)
-          WHERE have >= ceil({threshold} * len(t) - 1e-9) GROUP BY doc_id)
+        l AS (SELECT k, words[pos + 1:pos + {2 * run}] AS b
+          FROM (SELECT k, words, unnest(range(0, greatest(len(words), 1), {run})) AS pos FROM w)),
+        v AS (SELECT * FROM (VALUES {rows}) AS x(label, t, must)),
+        c AS (SELECT k, b, label, must, have / CAST(len(t) AS DOUBLE) AS share
+          FROM (SELECT *, len(list_intersect(list_distinct(b), t)) AS have FROM l, v)
+          WHERE have >= ceil({threshold} * len(t) - 1e-9)),
+        m AS (SELECT k, list_distinct(list(label)) AS more, max(share) AS best
+          FROM c WHERE list_has_all([{told}], must) GROUP BY k)
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
           CAST(list_min(places) - 1 AS BIGINT) AS first_word, CAST(list_max(places) - 1 AS BIGINT) AS last_word,
           array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
           array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') AS labels,
           CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
-        FROM b LEFT JOIN m USING (doc_id)"""
+        FROM b LEFT JOIN m USING (k)"""
 
 
 def urls(

@@ -171,9 +171,9 @@ def op9_minhash(spark, sf):
 THRESHOLD = 0.8  # share of a template's words
 
 
-@register(oracles.licenses(licenses.PHRASES, licenses.TEMPLATES, THRESHOLD))
+@register(oracles.licenses(licenses.PHRASES, licenses.TEMPLATES, THRESHOLD, licenses.TELLING))
 def op7_licenses(spark, sf):
-    return licenses.scan(table(spark, sf, "documents"), threshold=THRESHOLD, wrapped=True)
+    return licenses.scan(table(spark, sf, "documents"), threshold=THRESHOLD)
 
 
 # The number in the last piece of a URL's path.
