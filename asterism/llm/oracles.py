@@ -125,7 +125,7 @@ def licenses(
 
 
 def urls(
-    rules: Sequence, min_support: float, min_count: int, min_confidence: float, number: str
+    rules: Sequence, min_support: float, min_count: int, min_lift: float, number: str
 ) -> str:
     """Every combination of tokens counted one by one."""
     fits = [
@@ -135,53 +135,55 @@ def urls(
     name = " ".join(f"WHEN {fit} THEN '{n}'" for n, _, fit in fits)
     verdict = " ".join(f"WHEN {fit} THEN '{v}'" for _, v, fit in fits)
 
-    def token(kind: str, value: str) -> str:
-        return f"CASE WHEN {value} <> '' THEN '{kind}:' || {value} END"
+    def named(kind: str, values: str) -> str:
+        return f"list_transform(list_filter({values}, lambda x: x <> ''), lambda x: '{kind}:' || x)"
 
-    shape = "regexp_replace({}, '[0-9]+', '#', 'g')".format
     listed = ", ".join(
         [
-            token("scheme", "regexp_extract(url, '(?s)^(.*?)://', 1)"),
-            token("domain", "array_to_string(string_split(host, '.')[-2:], '.')"),
-            token("host", "host"),
-            token("first", shape("CASE WHEN len(pieces) > 1 THEN pieces[1] END")),
-            token("last", shape("pieces[-1]")),
-            token(
-                "keys",
-                "array_to_string(list_sort(list_distinct(list_transform(string_split("
-                "regexp_extract(url, '(?s)^[^?#]*\\?([^#]*)', 1), '&'), "
-                "lambda x: string_split(x, '=')[1]))), '&')",
-            ),
-            "CASE WHEN contains(url, '#') THEN 'fragment' END",
-            "'folders:' || len(pieces)",
+            named("scheme", "[regexp_extract(url, '(?s)^(.*?)://', 1)]"),
+            named("host", "list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))"),
+            named("folder", "shapes[:-2]"),
+            named("last", "shapes[-1:]"),
+            named("key", "list_transform(string_split(query, '&'), lambda x: string_split(x, '=')[1])"),
+            "CASE WHEN contains(url, '#') THEN ['fragment'] ELSE [] END",
+            "['folders:' || len(pieces)]",
         ]
     )
     return f"""
         WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
         h AS (SELECT *, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
-          regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM u),
-        s AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS pieces FROM h),
+          regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+          regexp_extract(url, '(?s)^[^?#]*\\?([^#]*)', 1) AS query FROM u),
+        s0 AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS pieces,
+          string_split(host, '.') AS labels FROM h),
+        s AS (SELECT *, list_transform(pieces, lambda x: regexp_replace(x, '[0-9]+', '#', 'g')) AS shapes FROM s0),
         t AS (SELECT page_id, url, host, path, CASE WHEN host = '' THEN [] ELSE
-          list_sort(list_filter([{listed}], lambda x: x IS NOT NULL)) END AS tokens FROM s),
+          list_sort(list_distinct(flatten([{listed}]))) END AS tokens FROM s),
         g AS (SELECT doc_id, max((coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1)::INT) AS bad
           FROM labels GROUP BY doc_id),
-        k AS (SELECT tokens, bad FROM t JOIN g
+        k AS (SELECT row_number() OVER () AS id, tokens, bad FROM t JOIN g
           ON g.doc_id = TRY_CAST(nullif(regexp_extract(url, '{number}', 1), '') AS BIGINT) WHERE host <> ''),
         n AS (SELECT count(*) AS rows, ceil(greatest({min_support}::DOUBLE, {min_count}::DOUBLE / count(*))
-          * count(*)) AS least FROM k),
+          * count(*)) AS least, {min_lift}::DOUBLE * (sum(bad) / CAST(count(*) AS DOUBLE)) AS conf FROM k),
+        a AS (SELECT token, list(id ORDER BY id) AS ids FROM (SELECT id, unnest(tokens) AS token FROM k)
+          GROUP BY token HAVING count(*) >= (SELECT least FROM n)),
+        o AS (SELECT min(token) AS token, ids FROM a GROUP BY ids),
+        w AS (SELECT id, list_sort(list(token)) AS tokens FROM (SELECT token, unnest(ids) AS id FROM o) GROUP BY id),
         c AS (SELECT words, count(*) AS total, sum(bad) AS bad FROM (
           SELECT bad, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS words FROM (
-            SELECT *, unnest(range(1, (1 << len(tokens))::BIGINT)) AS mask FROM k)) GROUP BY words),
+            SELECT w.*, k.bad, unnest(range(1, (1 << len(w.tokens))::BIGINT)) AS mask
+            FROM w JOIN k USING (id))) GROUP BY words),
         r AS (SELECT words, array_to_string(words, ' ') AS rule, bad / CAST(total AS DOUBLE) AS confidence,
           bad / CAST(rows AS DOUBLE) AS support FROM c, n
-          WHERE rows >= {min_count} AND bad >= least AND bad / CAST(total AS DOUBLE) >= {min_confidence}),
-        b AS (SELECT page_id, rule AS mined, confidence FROM (
-          SELECT page_id, rule, confidence, row_number() OVER (
-            PARTITION BY page_id ORDER BY confidence DESC, support DESC, rule DESC) AS place
-          FROM t JOIN r ON list_has_all(tokens, words)) WHERE place = 1)
-        SELECT page_id, host, path, CASE {name} END AS rule,
+          WHERE rows >= {min_count} AND bad >= least AND bad / CAST(total AS DOUBLE) >= conf),
+        b AS (SELECT page_id, url, rule AS mined, confidence FROM (
+          SELECT page_id, url, rule, confidence, row_number() OVER (
+            PARTITION BY page_id, url ORDER BY confidence DESC, support DESC, rule DESC) AS place
+          FROM (SELECT DISTINCT page_id, url, tokens FROM t) JOIN r ON list_has_all(tokens, words)) WHERE place = 1)
+        SELECT t.page_id, host, path, CASE {name} END AS rule,
           CASE {verdict} WHEN mined IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
-          mined, confidence FROM t LEFT JOIN b USING (page_id)"""
+          mined, confidence
+        FROM t LEFT JOIN b ON b.page_id IS NOT DISTINCT FROM t.page_id AND b.url = t.url"""
 
 
 def crc32(text: str) -> str:

@@ -176,32 +176,28 @@ def op7_licenses(spark, sf):
     return licenses.scan(table(spark, sf, "documents"), threshold=THRESHOLD)
 
 
-# The number in the last piece of a URL's path.
-NUMBER = r"^[^?#]*/([0-9]{1,18})[^/?#]*/?(?:[?#]|$)"
-MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.001, 20, 0.5
+# The number in the last piece of a URL's path; one of more digits is no document's.
+NUMBER = r"^[^?#]*/([0-9]{1,18})(?:[^0-9/?#][^/?#]*)?/?(?:[?#]|$)"
+MIN_SUPPORT, MIN_COUNT, MIN_LIFT = 0.001, 10, 1.25
 
 
-def labelled_urls(spark, sf) -> DataFrame:
+def with_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """A page is bad if the document that its URL numbers is labelled as poor or toxic."""
-    pages = table(spark, sf, "pages").select(
-        "url",
-        F.regexp_extract("url", NUMBER, 1).alias("number"),
-    )
-    pages = pages.filter("number <> ''").withColumn("doc_id", F.col("number").cast("bigint"))
-    labels = table(spark, sf, "labels").groupBy("doc_id").agg(
-        F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad")
-    )
-    return pages.join(labels, "doc_id").select("url", "bad")
+    number = F.regexp_extract("url", NUMBER, 1)
+    numbered = pages.select("url", F.nullif(number, F.lit("")).cast("bigint").alias("doc_id"))
+    marks = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    bad = labels.groupBy("doc_id").agg(F.max(marks).alias("bad"))
+    return numbered.join(bad, "doc_id").select("url", "bad")
 
 
-@register(oracles.urls(urls.RULES, MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE, NUMBER))
+@register(oracles.urls(urls.RULES, MIN_SUPPORT, MIN_COUNT, MIN_LIFT, NUMBER))
 def op10_urls(spark, sf):
     return urls.judge(
         table(spark, sf, "pages"),
-        labelled_urls(spark, sf),
+        with_labels(table(spark, sf, "pages"), table(spark, sf, "labels")),
         min_support=MIN_SUPPORT,
         min_count=MIN_COUNT,
-        min_confidence=MIN_CONFIDENCE,
+        min_lift=MIN_LIFT,
     )
 
 

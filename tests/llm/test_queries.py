@@ -12,7 +12,7 @@ import tiktoken
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from asterism.llm import bpe, queries
+from asterism.llm import bpe, queries, urls
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,6 +78,16 @@ def test_op2_op3_op8_cover_all_documents(spark, texts):
     assert {r.doc_id for r in queries.op8_toxicity(spark, SF).collect()} == texts.keys()
 
 
+@pytest.mark.parametrize("size, rules", [("sf0.01", 4), ("sf0.1", 72)])
+def test_op10_mines_rules(spark, size, rules):
+    """The given labels hardly depend on URLs, yet some combinations stand out."""
+    sf = f"/root/testdata/{size}"
+    known = urls.described(queries.with_labels(*(queries.table(spark, sf, t) for t in ("pages", "labels"))), "url")
+    mined = urls.mine(known, queries.MIN_SUPPORT, queries.MIN_COUNT, queries.MIN_LIFT)
+    assert mined.count() == rules
+    assert queries.op10_urls(spark, sf).filter("mined IS NOT NULL").count() > 0
+
+
 def shingles(text, width):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
     if len(words) < width:
