@@ -9,53 +9,69 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from asterism.llm import licenses, mixing, oracles, queries, topk, urls
 
 # --- top-k -----------------------------------------------------------------
 
 
-def brute_top_k(candidates, queries, k):
+def brute_top_k(vectors, is_query, k):
+    """(query id, rank, id, score); each row but the query's own is a candidate."""
     out = []
-    for qid, q in queries:
-        scored = sorted(
-            (-sum(a * b for a, b in zip(q, v, strict=True)), i) for i, v in candidates if i != qid and len(v) == len(q)
-        )
-        out += [(qid, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
+    for q, (qid, query) in enumerate(vectors):
+        if is_query(qid):
+            scored = sorted(
+                (-sum(a * b for a, b in zip(query, v, strict=True)), i)
+                for c, (i, v) in enumerate(vectors)
+                if c != q and len(v) == len(query)
+            )
+            out += [(qid, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("block", [4096, 37])
-def test_top_k(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, spread", [(4096, 0), (37, 0), (37, 1)])
+def test_top_k(spark, monkeypatch, block, spread):
+    """Repeated rows are candidates of their own; with a spread of norms whole blocks are passed over."""
     monkeypatch.setattr(topk, "CANDIDATES", block)
     monkeypatch.setattr(topk, "QUERIES", 20)
-    monkeypatch.setattr(topk, "MERGED", 4)
+    monkeypatch.setattr(topk, "PRODUCT", 1000)
     rng = random.Random(6)
-    vectors = [(i, [rng.randint(-5, 5) for _ in range(4)]) for i in range(400)]
+    vectors = [(i, [rng.randint(-5, 5) * (1 + spread * i) for _ in range(4)]) for i in range(400)]
     vectors += [(1000 + i, [3, 0, 0, -3]) for i in range(60)]  # ties
-    vectors += [(2000 + i, [1, 2]) for i in range(3)] + [(3000, []), (3001, []), (3002, [0, 0, 0, 0])]
-    queries = [v for v in vectors if v[0] % 10 == 0]
+    vectors += [(2000 + i, [1, 2]) for i in range(3)] + [(3000, []), (3010, []), (3020, [0, 0, 0, 0])]
+    vectors += [(10, [2, 2, 2, 2]), (2**53 + 10, [10**12, -(10**12), 1, 3])] + vectors[:25]
     schema = "id bigint, vector array<bigint>, score string"
-    df = spark.createDataFrame([(*v, "clash") for v in vectors + vectors[:5]] + [(None, [1], ""), (5000, None, "")], schema)
-    got = topk.top_k(df, df.filter("id % 10 = 0"), 7).collect()
-    assert sorted(map(tuple, got)) == brute_top_k(vectors, queries, 7)
+    df = spark.createDataFrame([(*v, "clash") for v in vectors] + [(None, [1], ""), (5000, None, "")], schema)
+    got = topk.top_k(df, "id % 10 = 0", 7).collect()
+    assert sorted(map(tuple, got)) == brute_top_k(vectors, lambda i: i % 10 == 0, 7)
 
 
 def test_top_k_few_and_none(spark):
     df = spark.createDataFrame([(1, [1]), (2, [2])], "id bigint, vector array<bigint>")
-    assert [tuple(r) for r in topk.top_k(df, df.filter("id = 1"), 5).collect()] == [(1, 1, 2, 2)]
-    assert topk.top_k(df.limit(0), df, 5).collect() == []
-    assert topk.top_k(df, df.limit(0), 5).collect() == []
+    assert [tuple(r) for r in topk.top_k(df, "id = 1", 5).collect()] == [(1, 1, 2, 2)]
+    assert topk.top_k(df.limit(0), "id = 1", 5).collect() == []
+    assert topk.top_k(df, F.lit(False), 5).collect() == []
+    assert topk.top_k(df, F.lit(None).cast("boolean"), 5).collect() == []
 
 
-def test_top_k_several_vectors_of_an_id(spark):
-    rows = [(1, [1, 0]), (1, [0, 3]), (2, [5, 0]), (2, [4, 4]), (2, [0, 1]), (3, [2, 2])]
+def test_top_k_leaves_out_the_own_row_only(spark):
+    rows = [(2, [1, 1]), (2, [1, 1]), (3, [1, 1])]
     df = spark.createDataFrame(rows, "id bigint, vector array<bigint>")
-    got = topk.top_k(df, df.filter("id IN (1, 3)"), 4).collect()
-    assert sorted(map(tuple, got)) == [
-        (1, 1, 2, 12), (1, 2, 3, 6), (1, 3, 2, 5), (1, 4, 2, 4),
-        (3, 1, 2, 16), (3, 2, 2, 10), (3, 3, 1, 6), (3, 4, 1, 2),
-    ]
+    got = sorted(map(tuple, topk.top_k(df, "id = 2", 4).collect()))
+    assert got == [(2, 1, 2, 2), (2, 1, 2, 2), (2, 2, 3, 2), (2, 2, 3, 2)]
+
+
+def test_top_k_by_sql(spark, tmp_path):
+    """Repeated ids and rows, nulls and lengths: the registered query and its SQL agree."""
+    rng = random.Random(7)
+    rows = [(i % 150, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(400)]
+    rows += rows[:20] + [(100, [1.0]), (200, [0.5]), (300, None), (400, [1.0, None, 2.0]), (500, [float("nan")] * 3)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries.op5_top_k(spark, str(tmp_path)).collect()
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(map(tuple, got)) == sorted(connection.execute(queries.TOP_K).fetchall())
 
 
 def test_threshold_stops_early():
@@ -72,9 +88,17 @@ def test_threshold_stops_early():
             reads.append(len(self))
             return np.asarray(self) @ other
 
-    best = topk.block_top_k(ids, vectors.view(Counting), np.array([[1, 1, 1]]), np.array([-1]), 5)
-    assert best[0][0].tolist() == [0, 1, 2, 3, 4]
-    assert not reads or sum(reads) < 2000
+        def __rmatmul__(self, other):
+            reads.append(len(self.T))
+            return other @ np.asarray(self)
+
+    query, own = np.array([[1, 1, 1]]), np.array([-1])
+    (found,) = topk.block_top_k(ids, ids, vectors.view(Counting), query, own, 5)
+    assert found[0].tolist() == [0, 1, 2, 3, 4]
+    assert 0 < sum(reads) < 200
+    # Nothing of the block can reach a score that is known to be beaten.
+    (found,) = topk.block_top_k(ids, ids, vectors, query, own, 5, np.array([1001.0]))
+    assert len(found[0]) == 0
 
 
 def test_quantised_and_usable(spark):
