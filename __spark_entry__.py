@@ -11,9 +11,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asterism.functions.dates import date_key
 from asterism.functions.json import (
@@ -25,13 +28,15 @@ from asterism.functions.json import (
     parse_fields,
 )
 from asterism.functions.text import body_length, word_count
-from asterism.operators.audit import row_counts
+from asterism.operators.audit import row_counts, same_contents
 from asterism.operators.checks import (
     fk_orphans,
     not_null_violations,
     unique_violations,
     varchar_violations,
+    violations_in_one_pass,
 )
+from asterism.operators.counts import apply_changes, count_changes
 from asterism.operators.dml import (
     distinct_keys,
     insert_ignore,
@@ -43,12 +48,22 @@ from asterism.operators.dml import (
     upsert_set,
     with_defaults,
 )
+from asterism.operators.history import as_of, load_versions, versions
 from asterism.operators.keys import number_rows
+from asterism.operators.partitions import read_days, replace_days, write_days
+from asterism.operators.profile import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    load_profile,
+    merged,
+    n_distinct,
+    quantile,
+)
 from asterism.plans.dimensions import calendar_attributes, populate_dim_dates, populate_dim_users
 from asterism.plans.facts import add_comment_counts, count_by_key, fact_source
 from asterism.plans.run import run
 from asterism.plans.staging import COMMENTS, POSTS, USERS, load_comments, load_posts, load_users, moment
-from asterism.schemas import star_schema
+from asterism.schemas import Column, Table, star_schema
 from asterism.session import configure, scratch_path, ship_package
 from asterism.sources.calendar import calendar_days, date_series
 from asterism.sources.records import read_records, read_typed
@@ -700,6 +715,192 @@ def star_schema_two_days(spark, sf):
     return Warehouse(spark, root).read("fact_posts")
 
 
+# --- history, re-runs, maintained counts -----------------------------------
+
+
+@register("""
+WITH c AS (SELECT user_id, ts, event_type, lag(event_type) OVER w AS before, row_number() OVER w AS n
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+v AS (SELECT user_id, ts, event_type FROM c WHERE n = 1 OR event_type <> before)
+SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to,
+  lead(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL AS is_current FROM v""")
+def user_history(spark, sf):
+    """The event feed as versions of each user's latest kind of event."""
+    return versions(table(spark, sf, "events"), "user_id", "ts", ["event_type"], ["event_id"])
+
+
+@register("""
+WITH c AS (SELECT *, lag(event_type) OVER w AS before, row_number() OVER w AS n FROM events
+  WHERE event_type <> 'purchase' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+v AS (SELECT user_id, ts, event_type FROM c WHERE n = 1 OR event_type <> before)
+SELECT p.event_id, p.user_id, p.ts, p.value, v.event_type AS state, v.ts AS valid_from
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def purchases_as_of(spark, sf):
+    """Each purchase with the state its user was in then."""
+    events = table(spark, sf, "events")
+    others = events.filter("event_type <> 'purchase'").withColumnRenamed("event_type", "state")
+    history = versions(others, "user_id", "ts", ["state"], ["event_id"])
+    bought = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    history = history.withColumn("since", F.col("valid_from"))
+    found = as_of(bought, history, "user_id", "ts", ["state", "since"])
+    return found.withColumnRenamed("since", "valid_from")
+
+
+@register("""
+WITH a AS (SELECT c_custkey AS user_id, c_mktsegment AS old,
+  CASE WHEN c_acctbal < 2000 THEN lower(c_mktsegment) ELSE c_mktsegment END AS new,
+  c_nationkey < 20 AS first, c_nationkey >= 5 AS second FROM customer),
+v AS (SELECT user_id, old AS segment, 1 AS day, second AND new <> old AS closed FROM a WHERE first
+  UNION ALL SELECT user_id, new, 2, FALSE FROM a WHERE second AND (NOT first OR new <> old))
+SELECT CAST(row_number() OVER (ORDER BY day, user_id) AS INTEGER) AS user_key, user_id, segment,
+  CASE day WHEN 1 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-02' END AS valid_from,
+  CASE WHEN closed THEN TIMESTAMP '2024-01-02' END AS valid_to, NOT closed AS is_current FROM v""")
+def dim_history_two_loads(spark, sf):
+    """A dimension with history after two loads: some keys change, some are new, some are missing."""
+    customers = table(spark, sf, "customer").withColumnRenamed("c_custkey", "user_id")
+    schema = T.StructType.fromDDL(
+        "user_key int, user_id bigint, segment string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
+    )
+    first = customers.filter("c_nationkey < 20").select("user_id", F.col("c_mktsegment").alias("segment"))
+    segment = F.when(F.col("c_acctbal") < 2000, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    second = customers.filter("c_nationkey >= 5").select("user_id", segment.alias("segment"))
+    target = None
+    for day, batch in ((RUN_TS, first), (datetime(2024, 1, 2), second)):
+        target = load_versions(
+            target, batch, "user_id", ["segment"], moment(day), schema=schema, serial="user_key"
+        )
+        target = materialize(target)
+    return target
+
+
+@register("""
+WITH d AS (SELECT event_id, user_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, value FROM events),
+r AS (SELECT max(date_key) AS last FROM d)
+SELECT event_id, user_id, date_key, CASE WHEN date_key = last THEN value * 2 ELSE value END AS value,
+  date_key = last AS rerun FROM d, r""")
+def rerun_one_day(spark, sf):
+    """Events by day; the last day is loaded again, twice, and nothing else changes."""
+    events = table(spark, sf, "events").select(
+        "event_id", "user_id", "value", F.lit(False).alias("rerun"), date_key("ts").alias("date_key")
+    )
+    path = scratch_path(spark, "days")
+    write_days(events, path)
+    last = events.agg(F.max("date_key")).first()[0]
+    again = events.filter(F.col("date_key") == last).withColumns(
+        {"value": F.col("value") * 2, "rerun": F.lit(True)}
+    )
+    for _ in range(2):
+        replace_days(again, path, [last])
+    return read_days(spark, path)
+
+
+@register("""
+WITH moved AS (SELECT l_orderkey AS post_id, CASE WHEN l_returnflag = 'R' THEN l_orderkey + 1 ELSE l_orderkey END AS now,
+  l_shipdate < TIMESTAMP '1999-01-01' AS known FROM lineitem)
+SELECT now AS post_id, CAST(count(*) AS INTEGER) AS comment_count FROM moved GROUP BY now""")
+def comment_counts_maintained(spark, sf):
+    """Lines shipped before 1999 are known; then all returned ones move to the next order, and the rest is new."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("post_id"), "l_returnflag", "l_shipdate", "l_partkey", "l_suppkey", "l_linenumber",
+        "l_extendedprice",
+    )
+    lines = number_rows(lines, "id", type_="bigint")
+    early = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    known = lines.filter(early).select("id", "post_id")
+    counts = count_by_key(known, "post_id", "comment_count")
+    moved = F.when(F.col("l_returnflag") == "R", F.col("post_id") + 1).otherwise(F.col("post_id"))
+    batch = lines.filter(~early | (F.col("l_returnflag") == "R")).select("id", moved.alias("post_id"))
+    changes = count_changes(known, batch, "id", "post_id")
+    return apply_changes(counts, [changes], "post_id", "comment_count")
+
+
+# --- checks and profiles of whole tables -----------------------------------
+
+
+@register("""
+WITH o AS (SELECT *, o_orderkey // 2 AS half FROM orders)
+SELECT rule, key, n FROM (
+  SELECT 'posts.o_orderkey has to be unique' AS rule, CAST(o_orderkey AS VARCHAR) AS key, count(*) AS n
+    FROM o GROUP BY o_orderkey HAVING count(*) > 1
+  UNION ALL SELECT 'posts.half has to be unique', CAST(half AS VARCHAR), count(*) FROM o GROUP BY half HAVING count(*) > 1
+  UNION ALL SELECT 'posts.status has to be not null', CAST(o_orderkey AS VARCHAR), count(*) FROM o
+    WHERE o_orderstatus = 'P' GROUP BY o_orderkey
+  UNION ALL SELECT 'posts.o_orderpriority is varchar(8)', CAST(o_orderkey AS VARCHAR), count(*) FROM o
+    WHERE length(rtrim(o_orderpriority, ' ')) > 8 GROUP BY o_orderkey
+  UNION ALL SELECT 'posts.o_custkey has to be in users', CAST(o_custkey AS VARCHAR), count(*) FROM o
+    WHERE o_custkey NOT IN (SELECT user_id FROM events) GROUP BY o_custkey)""")
+def rules_in_one_pass(spark, sf):
+    """Five rules that orders partly break, from one scan of them."""
+    bigint, text = T.LongType(), T.StringType()
+    posts = Table(
+        "posts",
+        (
+            Column("o_orderkey", bigint), Column("half", bigint), Column("status", text, not_null=True),
+            Column("o_orderpriority", text, length=8), Column("o_custkey", bigint),
+        ),
+        primary_key="o_orderkey", unique=("half",), foreign_keys={"o_custkey": ("users", "user_id")},
+    )
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.floor(F.col("o_orderkey") / 2).alias("half"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+    )
+    return violations_in_one_pass(rows, posts, {"users": table(spark, sf, "events").select("user_id")})
+
+
+@register("""
+SELECT date_key, count(*) AS n_rows, count(*) - count(nullif(event_type, 'error')) AS n_nulls,
+  count(DISTINCT user_id) AS n_users, TRUE AS users_close, TRUE AS median_close
+FROM (SELECT *, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key FROM events) GROUP BY date_key
+UNION ALL SELECT NULL, count(*), count(*) - count(nullif(event_type, 'error')), count(DISTINCT user_id), TRUE, TRUE
+FROM events""")
+def load_profiles(spark, sf):
+    """Profiles of each day and, merged from them, of all days, beside exact counts."""
+    events = table(spark, sf, "events").select(
+        date_key("ts").alias("date_key"), "user_id", "value", F.nullif("event_type", F.lit("error")).alias("kind")
+    )
+    days = materialize(load_profile(events, "date_key", ["user_id", "value", "kind"]))
+    whole = merged(days).select(F.lit(None).cast("int").alias("date_key"), *[c for c in days.columns if c != "date_key"])
+    found = days.unionByName(whole)
+    users = found.filter("column = 'user_id'").select("date_key", "n_rows", n_distinct().alias("users"))
+    nulls = found.filter("column = 'kind'").select(F.col("date_key").alias("d"), "n_nulls")
+    medians = found.filter("column = 'value'").select(F.col("date_key").alias("m"), quantile(0.5).alias("median"))
+    both = events.withColumn("date_key", F.explode(F.array("date_key", F.lit(None).cast("int"))))
+    medians = both.join(F.broadcast(medians), F.col("date_key").eqNullSafe(F.col("m")))
+    # Share of the rows below the estimate and up to it: the median's rank lies between.
+    below, up_to = F.avg((F.col("value") < F.col("median")).cast("int")), F.avg((F.col("value") <= F.col("median")).cast("int"))
+    exact = medians.groupBy("date_key").agg(
+        F.count_distinct("user_id").alias("n_users"),
+        ((below - 0.5 <= RANK_ERROR) & (0.5 - up_to <= RANK_ERROR)).alias("median_close"),
+    )
+    exact = exact.withColumnRenamed("date_key", "e")
+    close = F.abs(F.col("users") - F.col("n_users")) <= F.ceil(F.col("n_users") * DISTINCT_ERROR)
+    joined = users.join(nulls, F.col("date_key").eqNullSafe(F.col("d"))).join(exact, F.col("date_key").eqNullSafe(F.col("e")))
+    return joined.select("date_key", "n_rows", "n_nulls", "n_users", close.alias("users_close"), "median_close")
+
+
+@register("""
+SELECT * FROM (VALUES ('reordered', TRUE), ('one row changed', FALSE), ('one row repeated', FALSE),
+  ('two values exchanged', FALSE)) AS x(what, same), (SELECT count(*) AS n_rows FROM lineitem)""")
+def unchanged_refresh(spark, sf):
+    """Whether line items count as unchanged after a few rewrites."""
+    lines = table(spark, sf, "lineitem")
+    first = lines.agg(F.min(F.struct(*lines.columns)).alias("x")).select("x.*")
+    values = first.first().asDict()
+    one = reduce(and_, [F.col(f.name) == F.lit(values[f.name]).cast(f.dataType) for f in lines.schema.fields])
+    cases = {
+        "reordered": lines.repartition(7, "l_partkey").select(*reversed(lines.columns)),
+        "one row changed": lines.withColumn("l_tax", F.when(one, F.col("l_tax") + 1).otherwise(F.col("l_tax"))),
+        "one row repeated": lines.unionByName(first),
+        "two values exchanged": lines.withColumns(
+            {"l_discount": F.col("l_tax"), "l_tax": F.col("l_discount")}
+        ),
+    }
+    rows = [(what, same_contents(lines, case)) for what, case in cases.items()]
+    found = spark.createDataFrame(rows, "what string, same boolean")
+    return found.crossJoin(lines.agg(F.count("*").alias("n_rows")))
+
+
 # --- driver contract -------------------------------------------------------
 
 

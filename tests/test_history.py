@@ -1,0 +1,143 @@
+"""Versions, as-of joins and repeated loads against a plain model."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from asterism.operators.history import as_of, in_parts, load_versions, versions, with_latest, with_next, with_previous
+from asterism.plans.staging import moment
+
+DAY = datetime(2024, 1, 1)
+FEED = "id bigint, at timestamp_ntz, seq int, a string, b int"
+
+
+@pytest.fixture(params=[True, False], ids=["split", "merged"])
+def split(request, spark):
+    """With the parts of a range partitioning kept apart, keys cross them."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, str(not request.param).lower())
+    yield request.param
+    spark.conf.unset(name)
+
+
+def feed_rows(seed, n=600):
+    rng = random.Random(seed)
+    rows = []
+    for seq in range(n):
+        key = 7 if rng.random() < 0.5 else rng.randint(0, 30)  # one key has half of all rows
+        at = DAY + timedelta(hours=rng.randint(0, n // 3))
+        rows.append((key, at, seq, rng.choice(["x", "y", None]), rng.choice([1, None])))
+    return rows
+
+
+def model(rows):
+    out = []
+    for key in {r[0] for r in rows}:
+        last = {}
+        for _, at, _, a, b in sorted((r for r in rows if r[0] == key), key=lambda r: r[1:3]):
+            last[at] = (a, b)
+        changes = []
+        for at in sorted(last):
+            if not changes or changes[-1][1] != last[at]:
+                changes.append((at, last[at]))
+        for i, (at, value) in enumerate(changes):
+            end = changes[i + 1][0] if i + 1 < len(changes) else None
+            out.append((key, *value, at, end, end is None))
+    return sorted(out, key=lambda r: (r[0], r[3]))
+
+
+def test_versions(spark, split):
+    rows = feed_rows(1)
+    feed = spark.createDataFrame([(*r, "x") for r in rows], FEED + ", valid_to string").repartition(5)
+    found = versions(feed, "id", "at", ["a", "b"], ["seq"])
+    got = sorted(map(tuple, found.collect()), key=lambda r: (r[0], r[3]))
+    assert got == model(rows)
+    # Without gap or overlap.
+    for one, next_ in zip(got, got[1:], strict=False):
+        assert one[4] == next_[3] if one[0] == next_[0] else one[4] is None
+    assert versions(feed.limit(0), "id", "at", ["a"]).collect() == []
+
+
+def test_one_key_is_split(spark):
+    """The hot key's rows lie in several parts, and so do those of the windows over it."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        feed = spark.createDataFrame(feed_rows(2, 3000), FEED)
+        rows = in_parts(feed, ["id", "at", "seq"])
+        assert rows.filter("id = 7").select("__part").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("gone", ["id", "at"])
+def test_null_key_or_time_fails(spark, gone):
+    rows = [(1, DAY, 0, "x", 1), (None, DAY, 1, "x", 1) if gone == "id" else (1, None, 1, "x", 1)]
+    with pytest.raises(Exception, match="null value"):
+        versions(spark.createDataFrame(rows, FEED), "id", "at", ["a"]).count()
+
+
+def test_neighbours(spark, split):
+    rows = sorted(feed_rows(3), key=lambda r: r[:3])
+    parts = in_parts(spark.createDataFrame(rows, FEED), ["id", "at", "seq"])
+    value = F.struct("seq")
+    found = with_previous(with_next(parts, "id", value, "after"), "id", value, "before")
+    found = with_latest(found, "id", F.when(F.col("a") == "x", F.struct("seq")), "latest")
+    got = {r.seq: (r.before and r.before.seq, r.after and r.after.seq, r.latest and r.latest.seq) for r in found.collect()}
+    want, latest = {}, {}
+    for i, (key, _, seq, a, _) in enumerate(rows):
+        before = rows[i - 1][2] if i and rows[i - 1][0] == key else None
+        after = rows[i + 1][2] if i + 1 < len(rows) and rows[i + 1][0] == key else None
+        latest[key] = seq if a == "x" else latest.get(key)
+        want[seq] = (before, after, latest[key])
+    assert got == want
+
+
+def test_as_of(spark, split):
+    history = [(k, s, f, t, t is None) for k, s, _, f, t, _ in model(feed_rows(4))]
+    history = [h for h in history if h[0] != 5 and not (h[0] == 7 and h[2] == history[0][2])]
+    rng = random.Random(5)
+    facts = [(n, rng.choice([7, 7, 5, None, *range(31)]), DAY + timedelta(hours=rng.randint(-5, 250))) for n in range(400)]
+    facts += [(1000, 7, None), (1001, 7, DAY), (1001, 7, DAY)]
+    kinds = "id bigint, a string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
+    known = spark.createDataFrame(history, kinds).withColumn("since", F.col("valid_from"))
+    asked = spark.createDataFrame(facts, "n int, id bigint, at timestamp_ntz")
+    got = sorted(map(tuple, as_of(asked, known, "id", "at", ["a", "since"]).collect()), key=str)
+
+    def valid(key, at):
+        for k, a, start, end, _ in history:
+            if key == k and at is not None and start <= at and (end is None or at < end):
+                return a, start
+        return None, None
+
+    assert got == sorted(((n, k, at, *valid(k, at)) for n, k, at in facts), key=str)
+
+
+def test_gap_between_versions_gives_null(spark):
+    kinds = "id int, a string, valid_from int, valid_to int"
+    history = spark.createDataFrame([(1, "x", 0, 5), (1, "y", 8, None)], kinds)
+    facts = spark.createDataFrame([(1, at) for at in (-1, 0, 4, 5, 7, 8, 9)], "id int, at int")
+    got = sorted(tuple(r)[1:] for r in as_of(facts, history, "id", "at", ["a"]).collect())
+    assert got == [(-1, None), (0, "x"), (4, "x"), (5, None), (7, None), (8, "y"), (9, "y")]
+
+
+SCHEMA = "user_key int, id bigint, a string, b int, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
+
+
+def test_loads_give_the_history_of_the_feed(spark):
+    """Loading day by day, some keys missing on some days, ends where the whole feed does."""
+    rng = random.Random(6)
+    feed, target, schema = [], None, T.StructType.fromDDL(SCHEMA)
+    for day in range(4):
+        now = DAY + timedelta(days=day)
+        batch = [(k, rng.choice(["x", "y", None]), rng.choice([1, None])) for k in range(20) if rng.random() < 0.7]
+        feed += [(k, now, day, a, b) for k, a, b in batch]
+        frame = spark.createDataFrame(batch, "id bigint, a string, b int")
+        for _ in range(2):  # the second load of a day changes nothing
+            target = load_versions(target, frame, "id", ["a", "b"], moment(now), schema=schema, serial="user_key")
+            target = spark.createDataFrame(target.collect(), schema)
+    got = sorted(map(tuple, target.collect()), key=lambda r: (r[1], r[4]))
+    assert [r[1:] for r in got] == model(feed)
+    assert sorted(r[0] for r in got) == list(range(1, len(got) + 1))

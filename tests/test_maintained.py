@@ -1,0 +1,188 @@
+"""Replaced days, maintained counts, one-pass rules, fingerprints and load profiles."""
+
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from asterism.operators.audit import fingerprint, same_contents
+from asterism.operators.checks import ConstraintViolation, enforce_table, table_violations, violations_in_one_pass
+from asterism.operators.counts import apply_changes, count_changes
+from asterism.operators.partitions import read_days, replace_days, write_days
+from asterism.operators.profile import DISTINCT_ERROR, RANK_ERROR, alerts, load_profile, merged, n_distinct, quantile
+from asterism.schemas import star_schema
+
+# --- days ------------------------------------------------------------------
+
+DAYS = "id int, v string, date_key int"
+
+
+def test_only_the_given_days_are_replaced(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    write_days(spark.createDataFrame([(i, "old", 20240101 + i % 3) for i in range(9)], DAYS), path)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    again = spark.createDataFrame([(1, "new", 20240102), (77, "new", 20240105)], DAYS)
+    for _ in range(2):
+        replace_days(again, path, [20240102, 20240105])
+    want = [(i, "old", 20240101 + i % 3) for i in range(9) if i % 3 != 1] + [(1, "new", 20240102), (77, "new", 20240105)]
+    assert rows(read_days(spark, path), "id", "v", "date_key") == sorted(want)
+    kept = {p: t for p, t in files.items() if "20240102" not in str(p)}
+    assert all(p.stat().st_mtime_ns == t for p, t in kept.items())
+
+
+def test_a_day_without_rows_is_emptied(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    write_days(spark.createDataFrame([(1, "a", 20240101), (2, "b", 20240102)], DAYS), path)
+    replace_days(spark.createDataFrame([], DAYS), path, [20240101, 20240109])
+    assert rows(read_days(spark, path), "id") == [(2,)]
+
+
+@pytest.mark.parametrize("day", [20240103, None])
+def test_rows_of_other_days_fail_before_anything_is_replaced(spark, tmp_path, rows, day):
+    path = str(tmp_path / "t")
+    write_days(spark.createDataFrame([(1, "a", 20240101)], DAYS), path)
+    with pytest.raises(Exception, match="outside the days|null date_key"):
+        replace_days(spark.createDataFrame([(5, "x", 20240101), (6, "x", day)], DAYS), path, [20240101])
+    assert rows(read_days(spark, path), "id") == [(1,)]
+
+
+def test_reading_a_day_reads_its_folder_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_days(spark.createDataFrame([(i, "a", 20240101 + i % 3) for i in range(9)], DAYS), path)
+    one = read_days(spark, path).filter("date_key = 20240102")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan and one.count() == 3
+    assert {r.date_key for r in one.select("date_key").distinct().collect()} == {20240102}
+
+
+# --- counts ----------------------------------------------------------------
+
+
+def test_counts_follow_loads(spark, rows):
+    """Inserts, moves, rows without a group, repeated loads; a third of the rows in one group."""
+    rng = random.Random(3)
+    state, before = {}, None
+    counts = spark.createDataFrame([], "post int, n int")
+    for _ in range(4):
+        batch = {rng.randint(0, 200): rng.choice([1, 1, 1, *range(9), None]) for _ in range(90)}
+        frame = spark.createDataFrame(list(batch.items()), "id int, post int")
+        for _ in range(2):
+            change = count_changes(before, frame, "id", "post")
+            counts = spark.createDataFrame(apply_changes(counts, [change], "post", "n").collect(), "post int, n int")
+            state |= batch
+            before = spark.createDataFrame(list(state.items()), "id int, post int")
+        assert count_changes(before, frame, "id", "post").isEmpty()
+        groups = [p for p in state.values() if p is not None]
+        assert rows(counts) == sorted((p, groups.count(p)) for p in set(groups))
+
+
+def test_only_changed_rows_are_read_whole(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 10 AS post", "repeat('x', 99) AS body").write.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(5, 1), (2000, 2)], "id bigint, post bigint")
+    changes = count_changes(spark.read.parquet(str(tmp_path / "t")), batch, "id", "post")
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,post:bigint>" in plan and "body" not in plan
+    assert sorted(map(tuple, changes.collect())) == [(1, 1), (2, 1), (5, -1)]
+
+
+# --- rules -----------------------------------------------------------------
+
+NOW = datetime(2024, 1, 1)
+
+
+def users(spark, *changes):
+    table = star_schema()["dim_users"]
+    names = table.schema.names
+    row = dict(zip(names, [1, 10, "u", "n", "e", "p", "w", "c", "co", NOW, None, True, NOW], strict=True))
+    return spark.createDataFrame([tuple({**row, **c}[n] for n in names) for c in changes], table.schema), table
+
+
+def test_rules_in_one_pass(spark):
+    broken, table = users(
+        spark, {}, {"user_key": 1, "user_id": 11}, {"user_key": 2, "user_id": 10}, {"user_key": 3, "user_id": None},
+        {"user_key": None, "user_id": 12, "username": "x" * 101}, {"user_key": 4, "user_id": 14, "email": "e" * 200 + "  "},
+        {"user_key": 5, "user_id": 15, "name": "n" * 201},
+    )
+    found = violations_in_one_pass(broken, table, {})
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        ("dim_users.user_key has to be unique", "1", 2), ("dim_users.user_id has to be unique", "10", 2),
+        ("dim_users.user_id has to be not null", "3", 1), ("dim_users.user_key has to be not null", None, 1),
+        ("dim_users.username is varchar(100)", None, 1), ("dim_users.name is varchar(200)", "5", 1),
+    ], key=str)
+    by_rule = {rule for rule, rows in table_violations(broken, table, {}).items() if not rows.isEmpty()}
+    assert by_rule == {r.rule for r in found.collect()}
+    with pytest.raises(ConstraintViolation, match="dim_users"):
+        enforce_table(broken, table, {})
+
+
+def test_rules_take_one_scan(spark, tmp_path):
+    fact = star_schema()["fact_posts"]
+    good = {"post_key": 1, "post_id": 1, "user_key": 1, "date_key": 20240101}
+    rows = [{**good}, {**good, "post_key": 2, "user_key": 9}, {**good, "post_key": 3, "user_key": None}]
+    frame = spark.createDataFrame([tuple(r.get(n) for n in fact.schema.names) for r in rows], fact.schema)
+    frame.write.parquet(str(tmp_path / "fact"))
+    parents = {
+        "dim_users": spark.createDataFrame([(1,), (2,), (None,)], "user_key int"),
+        "dim_dates": spark.createDataFrame([(20240101,)], "date_key int"),
+    }
+    found = violations_in_one_pass(spark.read.parquet(str(tmp_path / "fact")), fact, parents)
+    assert [tuple(r) for r in found.collect()] == [("fact_posts.user_key has to be in dim_users", "9", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Aggregate [") == 1 and "Join" not in plan
+    assert "title" not in plan.split("Relation [")[0].split("Generate")[-1].split("\n")[1]
+
+
+# --- fingerprints ----------------------------------------------------------
+
+
+def test_fingerprint(spark):
+    rows = [(i, None if i % 3 else "a", [i, None], i / 7) for i in range(200)]
+    kinds = "id int, t string, l array<int>, d double"
+    df = spark.createDataFrame(rows, kinds)
+    for same in (df.repartition(5), df.orderBy(F.desc("id")), df.select("d", "l", "t", "id"), spark.createDataFrame(rows[::-1], kinds)):
+        assert same_contents(df, same)
+    changed = [
+        df.withColumn("t", F.when(F.col("id") == 3, "b").otherwise(F.col("t"))), df.unionByName(df.limit(1)),
+        df.filter("id > 0"), df.limit(0), df.withColumnRenamed("t", "u"), df.withColumn("id", F.col("id").cast("bigint")),
+        df.unionByName(df),
+    ]
+    prints = [fingerprint(x) for x in [df, *changed]]
+    assert len(set(prints)) == len(prints)
+    # A NULL is hashed where it stands.
+    one, other = (spark.createDataFrame([r], "a string, b string") for r in (("x", None), (None, "x")))
+    assert not same_contents(one, other)
+
+
+# --- profiles --------------------------------------------------------------
+
+
+def load(spark, days, rng, n=4000, scale=1.0, null=0.1):
+    rows = [(day, rng.randint(0, 900), rng.gauss(0, 1) * scale + 5, None if rng.random() < null else "k") for day in days for _ in range(n)]
+    return spark.createDataFrame(rows, "day int, user int, value double, kind string")
+
+
+def test_profiles_merge_to_those_of_the_whole(spark):
+    rng = random.Random(8)
+    df = load(spark, range(5), rng).cache()
+    days = load_profile(df, "day", ["user", "value", "kind"])
+    assert days.count() == 15
+    found = {r.column: r for r in merged(days).select("*", n_distinct().alias("d"), *[quantile(q).alias(f"q{i}") for i, q in enumerate((0.1, 0.5, 0.9))]).collect()}
+    assert {c: r.n_rows for c, r in found.items()} == dict.fromkeys(("user", "value", "kind"), 20_000)
+    assert found["kind"].n_nulls == df.filter("kind IS NULL").count() and found["user"].n_nulls == 0
+    exact = df.select("user").distinct().count()
+    assert abs(found["user"].d - exact) <= DISTINCT_ERROR * exact and found["kind"].d == 1
+    assert found["kind"].q1 is None
+    for i, rank in enumerate((0.1, 0.5, 0.9)):
+        at = found["value"][f"q{i}"]
+        assert abs(df.filter(F.col("value") <= at).count() / 20_000 - rank) <= RANK_ERROR
+
+
+def test_alerts(spark):
+    rng = random.Random(9)
+    df = load(spark, range(6), rng, 300)
+    df = df.unionByName(load(spark, [6], rng, 900)).unionByName(load(spark, [7], rng, 300, null=0.5))
+    df = df.unionByName(load(spark, [8], rng, 300).withColumn("value", F.col("value") + 50))
+    found = {(r.day, r.column, r.reason) for r in alerts(load_profile(df, "day", ["value", "kind"]), "day", 4).collect()}
+    assert {(6, "value", "rows"), (6, "kind", "rows"), (7, "kind", "nulls"), (8, "value", "median")} <= found
+    assert not any(day < 6 and reason != "median" for day, _, reason in found)
