@@ -78,6 +78,15 @@ def features(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndar
     return words, other.astype(np.float32)
 
 
+def _nearest(cosines: np.ndarray, k: int) -> np.ndarray:
+    """The k nearest columns of every row; of equally near ones at the border the first."""
+    near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(cosines, near, 1).min(1)
+    for row in np.flatnonzero((cosines >= least[:, None]).sum(1) > k):
+        near[row] = np.lexsort((np.arange(cosines.shape[1]), -cosines[row]))[:k]
+    return near
+
+
 @dataclass(frozen=True)
 class Model:
     idf: np.ndarray
@@ -110,7 +119,7 @@ class Model:
         for at in range(0, len(texts), BLOCK_ROWS):
             part = texts[at : at + BLOCK_ROWS]
             cosines = self.embed(*features(part, self.settings.buckets)) @ self.vectors.T
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+            near = _nearest(cosines, k)
             weights = np.maximum(np.take_along_axis(cosines, near, 1), 1e-6).astype(float)
             weights *= self.shares()[near]
             out[at : at + BLOCK_ROWS] = (weights * self.labels[near]).sum(1) / weights.sum(1)
@@ -172,8 +181,8 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
     """Add the score (0 to 1, higher is better) of every whole text.
 
     Null and empty texts have a vector too, that of a text without words, and
-    get the vote of the shortest texts. Without labelled rows all scores are
-    0.5. Rows that repeat score alike. A column named like the output is
+    get the vote of the shortest texts. Of equally near neighbours those of the
+    smaller ids vote. Without labelled rows all scores are 0.5. Rows that repeat score alike. A column named like the output is
     replaced, others are kept.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)

@@ -17,7 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asterism.llm.common import add_columns, stored
@@ -150,8 +150,10 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
 
     ``documents`` has id and text, ``labels`` id and grade: whole numbers, 0
     for not toxic. Where the labels only tell 0 from 1, marked rows are graded
-    1 to ``severities`` in equal parts by how many words they have that the
-    sample knows as marked. Null labels, and labels without a document, are not
+    1 to ``severities`` in equal parts by how many harsh words they have, those
+    that go along with marked rows. The sample is halved for that, and each
+    half is graded by words chosen on the other, so no row's grade comes from
+    words that it helped to choose. Null labels, and labels without a document, are not
     used; an id with several labels or texts counts once, with the largest.
     """
     settings = settings or Settings()
@@ -180,38 +182,58 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
         return _fit(stored(counted.drop("text"), "sample"), settings)
 
 
+def _stood_out(a: Column, n: Column, marked: int, clean: int) -> dict[str, Column]:
+    """ratio and score of a word that ``a`` of ``marked`` rows have, and ``n`` of all."""
+    b = (n - a + 0.5) / (clean + 1)
+    a = (a + 0.5) / (marked + 1)
+    both = (a + b) / 2
+    return {"ratio": a / b, "score": (a - b) * (a - b) / (both * (1 - both))}
+
+
 def _fit(counted: DataFrame, settings: Settings) -> Model:
     none = Model((), np.zeros(0), np.zeros(0))
-    sizes = {row["marked"]: row["n"] for row in counted.groupBy((F.col("grade") > 0).alias("marked")).agg(F.count("*").alias("n")).collect()}
-    marked, clean = sizes.get(True, 0), sizes.get(False, 0)
+    half = (F.pmod(F.xxhash64("id", F.lit(settings.seed + 1)), F.lit(2))).cast("int").alias("half")
+    counted = counted.select("*", half, (F.col("grade") > 0).cast("int").alias("marked"))
+    sizes = {(r["half"], r["marked"]): r["n"] for r in counted.groupBy("half", "marked").agg(F.count("*").alias("n")).collect()}
+    marked, clean = (sum(sizes.get((h, m), 0) for h in (0, 1)) for m in (1, 0))
     if not marked:
         return none
-    exploded = counted.select((F.col("grade") > 0).cast("int").alias("marked"), F.explode("words").alias("word"))
-    stats = exploded.groupBy("word").agg(F.sum("marked").alias("a"), F.count("*").alias("n"))
-    a = (F.col("a") + 0.5) / (marked + 1)
-    b = (F.col("n") - F.col("a") + 0.5) / (clean + 1)
-    both = (a + b) / 2
-    stats = stats.withColumns({"ratio": a / b, "score": (a - b) * (a - b) / (both * (1 - both))})
-    lifted = (F.col("ratio") >= settings.lift) | (F.col("ratio") <= 1 / settings.lift)
+    exploded = counted.select("half", "marked", F.explode("words").alias("word"))
+    # Rows that have the word, and marked ones among them: in the sample, and in each half of it.
+    sums = [F.sum("marked").alias("a"), F.count("*").alias("n")]
+    for h in (0, 1):
+        sums += [F.sum(F.when(F.col("half") == h, F.col("marked")).otherwise(0)).alias(f"a{h}"),
+                 F.count_if(F.col("half") == h).alias(f"n{h}")]
+    stats = stored(exploded.groupBy("word").agg(*sums), "word_stats")
+
     # The number of features bounds what comes to the driver.
-    best = stats.filter(lifted).orderBy(F.desc("score"), "word").limit(settings.words).collect()
-    words = tuple(row["word"] for row in best)
-    number = {word: i for i, word in enumerate(words)}
-    listed = F.array(*[F.lit(word) for word in words]).cast("array<string>")
-    pairs = F.filter(F.arrays_zip("words", "counts"), lambda p: F.array_contains(listed, p["words"]))
-    rows = sorted(counted.select("id", "grade", pairs.alias("pairs")).collect(), key=lambda r: r["id"])
-    x = np.zeros((len(rows), len(words)))
+    def best(a: str, n: str, marked: int, clean: int, lifted: Column) -> list[str]:
+        known = stats.withColumns(_stood_out(F.col(a), F.col(n), marked, clean)).filter(lifted)
+        rows = known.orderBy(F.desc("score"), "word").limit(settings.words).select("word").collect()
+        return [row["word"] for row in rows]
+
+    more = F.col("ratio") >= settings.lift
+    words = tuple(best("a", "n", marked, clean, more | (F.col("ratio") <= 1 / settings.lift)))
+    harsh = [best(f"a{h}", f"n{h}", sizes.get((h, 1), 0), sizes.get((h, 0), 0), more) for h in (0, 1)]
+    listed = [*words, *sorted({word for some in harsh for word in some} - set(words))]
+    number = {word: i for i, word in enumerate(listed)}
+    wanted = F.array(*[F.lit(word) for word in listed]).cast("array<string>")
+    pairs = F.filter(F.arrays_zip("words", "counts"), lambda p: F.array_contains(wanted, p["words"]))
+    rows = sorted(counted.select("id", "grade", "half", pairs.alias("pairs")).collect(), key=lambda r: r["id"])
+    x = np.zeros((len(rows), len(listed)))
     for i, row in enumerate(rows):
         for pair in row["pairs"]:
             x[i, number[pair["words"]]] = pair["counts"]
     grades = np.array([max(row["grade"], 0) for row in rows])
     if grades.max() == 1 and settings.severities > 1:
-        harsh = np.array([row["ratio"] >= settings.lift for row in best], bool)
-        amounts = x[:, harsh].sum(1)
-        cuts = np.quantile(
-            amounts[grades == 1], np.arange(1, settings.severities) / settings.severities
-        )
-        grades = np.where(grades == 1, 1 + (amounts[:, None] > cuts).sum(1), 0)
+        halves = np.array([row["half"] for row in rows])
+        for h in (0, 1):
+            mine = (halves == h) & (grades > 0)
+            if mine.any():
+                amounts = x[np.ix_(mine, [number[word] for word in harsh[1 - h]])].sum(1)
+                cuts = np.quantile(amounts, np.arange(1, settings.severities) / settings.severities)
+                grades[mine] = 1 + (amounts[:, None] > cuts).sum(1)
+    x = x[:, : len(words)]
     _, grades = np.unique(grades, return_inverse=True)
     if not clean:  # one grade less would be 0: every text is as bad as the sample
         grades = grades + 1

@@ -1,11 +1,13 @@
 """Quality votes and toxicity grades: held-out accuracy, and cases at the edges."""
 
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from asterism.llm import quality, toxicity
+from asterism.llm import queries, quality, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -85,6 +87,81 @@ def test_toxicity_of_other_rows(spark, tables):
     assert means == sorted(means)
 
 
+def test_severity_orders_what_others_found(spark, tables):
+    """Two models learned from disjoint labels, with grades of their own, agree on the order
+    of marked rows that neither has seen."""
+    documents, labels = tables
+    known = labels.selectExpr("doc_id AS id", "toxic AS grade")
+    models = [toxicity.train(documents, known.filter(f"id % 3 = {part}")) for part in (0, 1)]
+    unseen = documents.join(known.filter("id % 3 = 2 AND grade = 1"), "id").select("id", "text")
+    found = []
+    for model in models:
+        rows = toxicity.severity(unseen, model).select("id", "severity").collect()
+        found.append([r.severity for r in sorted(rows)])
+    ranks = [np.argsort(np.argsort(values)) for values in found]
+    assert len(ranks[0]) > 50 and np.corrcoef(ranks)[0, 1] > 0.5
+
+
+def test_half_of_the_rows_grade_the_others(spark):
+    """Every text holds a word of its own besides; it must not grade that text."""
+    rows = [(i, f"vile{'x' * (i % 7)} " * (1 + i % 4) + f"own{i} and the rest", 1) for i in range(60)]
+    rows += [(100 + i, f"plain words here and the rest {i}", 0) for i in range(60)]
+    documents = spark.createDataFrame(rows, "id bigint, text string, grade int")
+    model = toxicity.train(documents.select("id", "text"), documents.select("id", "grade"))
+    assert len(model.thresholds) == toxicity.Settings().severities
+    got = {r.id: r for r in toxicity.severity(documents, model).collect()}
+    assert all(got[i].toxic == (i < 100) for i in got)
+    means = [np.mean([got[i].severity for i in range(60) if i % 4 == n]) for n in (0, 3)]
+    assert means[0] < means[1]
+
+
+def test_op8_by_brute_force(spark):
+    """The query's result from the model's words, weights and thresholds alone."""
+    sf = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    model = queries.toxicity_model(documents, spark.read.parquet(f"{sf}/labels.parquet"))
+    weights = dict(zip(model.words, model.weights, strict=True))
+    got = {r.doc_id: r for r in queries.op8_toxicity(spark, sf).collect()}
+    assert len(got) == documents.count()
+    for row in documents.collect():
+        counts = {}
+        for word in (row.text or "").lower().split():
+            for feature in toxicity.features_of(word):
+                counts[feature] = counts.get(feature, 0) + 1
+        eta = sum(w * math.log1p(counts.get(word, 0)) for word, w in weights.items())
+        above = [1 / (1 + math.exp(t - eta)) for t in model.thresholds]
+        assert got[row.doc_id].severity == pytest.approx(sum(above), abs=1e-9)
+        chances = np.diff([1 - p for p in [1.0, *above, 0.0]])
+        best = sorted(chances)[-2:]
+        assert got[row.doc_id].grade == int(np.argmax(chances)) or best[1] - best[0] < 1e-9
+        odds = eta - model.thresholds[0]
+        assert got[row.doc_id].toxic == (odds >= model.cut) or abs(odds - model.cut) < 1e-9
+
+
+def test_equally_near_neighbours():
+    """Those of the smaller ids vote, whatever their number."""
+    cosines = np.array([[0.5, 0.9, 0.5, 0.5, 0.1], [0.3, 0.3, 0.3, 0.3, 0.3], [0.1, 0.2, 0.3, 0.4, 0.5]])
+    assert [sorted(row) for row in quality._nearest(cosines, 2).tolist()] == [[0, 1], [0, 1], [3, 4]]
+    assert sorted(quality._nearest(cosines, 5)[0].tolist()) == [0, 1, 2, 3, 4]
+
+
+def test_op2_without_an_id(spark, tmp_path):
+    rows = [(1, "one"), (None, "none"), (4, "four"), (3, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(1, 1), (None, 0), (4, 0), (3, 1)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op2_quality(spark, str(tmp_path)).collect()
+    want = [(i, i is not None and zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in rows]
+    assert sorted(map(str, ((r.doc_id, r.held_out) for r in got))) == sorted(map(str, want))
+
+
+def test_toxicity_of_a_long_text(spark):
+    documents = spark.createDataFrame([(1, "fine words"), (2, "vile " * 3), (3, "fine " * 400_000 + "vile")], "id int, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "id int, grade int")
+    got = {r.id: r for r in toxicity.severity(documents, toxicity.train(documents, labels)).collect()}
+    assert got[2].severity > got[1].severity and 0 <= got[3].severity
+
+
 def test_ordinal_fit_by_brute_force():
     """The gradient of the fit vanishes: no small step lowers the loss."""
     rng = np.random.default_rng(2)
