@@ -9,6 +9,7 @@ from asterism.functions.dates import date_key, day_name, day_of_week, is_weekend
 from asterism.functions.json import json_text
 from asterism.operators.checks import assign_varchars
 from asterism.operators.dml import insert_ignore, upsert_set, with_defaults
+from asterism.operators.history import load_versions
 from asterism.plans.staging import moment
 from asterism.schemas import star_schema
 
@@ -50,6 +51,24 @@ def populate_dim_users(
     )
 
 
+def populate_dim_users_history(
+    staging_users: DataFrame, run_ts: datetime, target: DataFrame | None = None,
+    id_type: str = "int",
+) -> DataFrame:
+    """The dimension with history: a changed user's row is closed and a new one opened.
+
+    Facts find their version by ``as_of`` on user_id; user_id alone is no key
+    any more. Users that are not staged keep their open version.
+    """
+    table, now = star_schema(id_type)["dim_users"], moment(run_ts)
+    lengths = {name: n for name, n in table.lengths.items() if name in USER_ATTRIBUTES}
+    batch = assign_varchars(user_attributes(staging_users), lengths)
+    return load_versions(
+        target, batch, "user_id", USER_ATTRIBUTES, now,
+        schema=table.schema, serial=table.serial, defaults=table.defaults(now),
+    )
+
+
 def calendar_attributes(days: DataFrame) -> DataFrame:
     """Calendar columns for a frame of days ``d``."""
     d = F.col("d")

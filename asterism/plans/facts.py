@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -8,10 +9,13 @@ from pyspark.sql import functions as F
 from asterism.functions.dates import date_key
 from asterism.functions.text import body_length, word_count
 from asterism.operators.dml import distinct_keys, materialize, with_defaults
+from asterism.operators.history import as_of
 from asterism.operators.keys import highest, number_rows
+from asterism.operators.partitions import replace_days
 from asterism.plans.staging import moment
 from asterism.schemas import star_schema
 
+
 def count_by_key(rows: DataFrame, key: str, name: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").cast("int").alias(name))
 
@@ -96,3 +100,34 @@ def populate_fact_posts(
         return rows
     kept = target.join(measures.select("post_id"), "post_id", "left_anti")
     return rows.unionByName(kept.select(*rows.columns))
+
+
+def rerun_days(
+    path: str,
+    staging_posts: DataFrame,
+    dim_users: DataFrame,
+    staging_comments: DataFrame,
+    days: Sequence[int],
+) -> None:
+    """Load the facts of single load dates again, into a fact table partitioned by date_key.
+
+    Only posts loaded on these days are read, and only their folders replaced,
+    so a re-run may be repeated and other days may be loaded meanwhile. Posts
+    are found by post_id; there is no surrogate key to keep.
+    """
+    wanted = staging_posts.filter(date_key("loaded_at").isin(*days))
+    replace_days(materialize(fact_source(wanted, dim_users, staging_comments)), path, days)
+
+
+def facts_as_of(
+    staging_posts: DataFrame, dim_users: DataFrame, staging_comments: DataFrame
+) -> DataFrame:
+    """``post_id, user_key, comment_count`` with the key of the version valid at loading.
+
+    ``dim_users`` is the dimension with history. Posts of users without a
+    version then drop out, as those of unknown users do.
+    """
+    posts = staging_posts.select(F.col("id").alias("post_id"), "user_id", "loaded_at")
+    found = as_of(posts, dim_users, "user_id", "loaded_at", ["user_key"])
+    known = found.filter("user_key IS NOT NULL").select("post_id", "user_key")
+    return add_comment_counts(known, staging_comments)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asterism.operators.history import as_of, in_parts, load_versions, versions, with_latest, with_next, with_previous
+from asterism.plans.dimensions import populate_dim_users_history
+from asterism.plans.facts import facts_as_of, rerun_days
 from asterism.plans.staging import moment
 
 DAY = datetime(2024, 1, 1)
@@ -141,3 +143,46 @@ def test_loads_give_the_history_of_the_feed(spark):
     got = sorted(map(tuple, target.collect()), key=lambda r: (r[1], r[4]))
     assert [r[1:] for r in got] == model(feed)
     assert sorted(r[0] for r in got) == list(range(1, len(got) + 1))
+
+
+USER = "id int, username string, name string, email string, phone string, website string, address string, company string"
+
+
+def staged_users(spark, *users):
+    rows = [(i, f"u{i}", name, "e", None, "", '{"city":"%s"}' % city, "{}") for i, name, city in users]
+    return spark.createDataFrame(rows, USER)
+
+
+def test_user_dimension_with_history(spark):
+    """Facts of each day carry the key of the version that was valid at loading."""
+    two = DAY + timedelta(days=1)
+    first = staged_users(spark, (1, "a", "Q"), (2, "b", "Q"))
+    dim = spark.createDataFrame(populate_dim_users_history(first, DAY).collect(), populate_dim_users_history(first, DAY).schema)
+    second = staged_users(spark, (1, "a", "R"), (2, "b", "Q"), (3, "c", "S"))
+    dim = populate_dim_users_history(second, two, dim)
+    got = [tuple(r) for r in dim.select("user_key", "user_id", "city", "valid_from", "valid_to", "is_current").orderBy("user_key").collect()]
+    assert got == [(1, 1, "Q", DAY, two, False), (2, 2, "Q", DAY, None, True), (3, 1, "R", two, None, True), (4, 3, "S", two, None, True)]
+    kinds = "id int, user_id int, title string, body string, loaded_at timestamp_ntz"
+    rows = [(10, 1, "t", "b", DAY), (11, 1, "t", "b", two), (12, 3, "t", "b", DAY), (13, 3, "t", "b", two), (14, 9, "t", "b", two)]
+    posts = spark.createDataFrame(rows, kinds)
+    comments = spark.createDataFrame([(1, 11), (2, 11)], "id int, post_id int")
+    facts = facts_as_of(posts, dim, comments).orderBy("post_id").collect()
+    assert [tuple(r) for r in facts] == [(10, 1, 0), (11, 3, 2), (13, 4, 0)]
+    with pytest.raises(Exception, match="value too long"):
+        populate_dim_users_history(staged_users(spark, (1, "n" * 201, "Q")), DAY).count()
+
+
+def test_rerun_of_a_day(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    kinds = "id int, user_id int, title string, body string, loaded_at timestamp_ntz"
+    two = DAY + timedelta(days=1)
+    users = spark.createDataFrame([(1, 5)], "user_id int, user_key int")
+    comments = spark.createDataFrame([(1, 10)], "id int, post_id int")
+    posts = [(10, 1, "old", "a b", DAY), (11, 1, "old", "a", two), (12, 1, "old", "a", two)]
+    for day in (20240101, 20240102):
+        rerun_days(path, spark.createDataFrame(posts, kinds), users, comments, [day])
+    posts = [(10, 1, "new", "a b", DAY), (11, 1, "new", "a", two)]
+    for _ in range(2):
+        rerun_days(path, spark.createDataFrame(posts, kinds), users, comments, [20240102])
+    got = spark.read.parquet(path).select("post_id", "title", "comment_count", "date_key").orderBy("post_id").collect()
+    assert [tuple(r) for r in got] == [(10, "old", 1, 20240101), (11, "new", 0, 20240102)]
