@@ -28,6 +28,7 @@ from asterism.functions.json import (
     parse_fields,
 )
 from asterism.functions.text import body_length, word_count
+from asterism.functions.variant import canonical, variant_text
 from asterism.operators.audit import row_counts, same_contents
 from asterism.operators.checks import (
     fk_orphans,
@@ -550,7 +551,32 @@ def stage_users(spark, sf):
     return load_users(_user_records(spark, sf), RUN_TS)
 
 
-def _user_records(spark, sf):
+@register("""
+SELECT CAST(c_custkey AS INTEGER) AS id, c_mktsegment AS city,
+  CASE WHEN c_nationkey < 12 THEN c_mktsegment END AS company_name,
+  CASE WHEN c_nationkey < 12 THEN '{"name":"' || c_mktsegment || '"}'
+    WHEN c_mktsegment <> 'HOUSEHOLD' THEN '{}' ELSE 'null' END AS company,
+  '{"address":{"city":"' || c_mktsegment || '"}'
+    || CASE WHEN c_nationkey < 12 THEN ',"company":{"name":"' || c_mktsegment || '"}'
+      WHEN c_mktsegment = 'HOUSEHOLD' THEN ',"company":null' ELSE '' END
+    || ',"email":"' || lower(c_name) || '@example.net","id":' || c_custkey || ',"name":"' || c_name || '"'
+    || CASE WHEN c_acctbal >= 0 THEN ',"phone":"' || CAST(c_acctbal AS VARCHAR) || '"'
+      WHEN c_mktsegment = 'HOUSEHOLD' THEN ',"phone":null' ELSE '' END
+    || ',"username":"' || lower(c_name) || '"}' AS raw_data
+FROM customer""")
+def stage_users_variant(spark, sf):
+    """Users staged with VARIANT columns, shown by value: keys in order, no blanks."""
+    staged = materialize(load_users(_user_records(spark, sf, variant=True), RUN_TS))
+    return staged.select(
+        "id",
+        variant_text(F.col("address"), "city").alias("city"),
+        variant_text(F.col("company"), "name").alias("company_name"),
+        canonical(F.col("company")).alias("company"),
+        canonical(F.col("raw_data")).alias("raw_data"),
+    )
+
+
+def _user_records(spark, sf, variant=False):
     """Phone and company are missing for some users, null for those in HOUSEHOLD."""
     segment = F.col("c_mktsegment")
     record = F.struct(
@@ -565,7 +591,7 @@ def _user_records(spark, sf):
     text = F.when(segment == "HOUSEHOLD", json_dumps(record)).otherwise(F.to_json(record))
     path = scratch_path(spark, "users")
     table(spark, sf, "customer").select(text.alias("value")).write.text(path)
-    return read_records(spark, path, fields=USERS.fields)
+    return read_records(spark, path, fields=USERS.fields, variant=variant)
 
 
 # --- dimensions and facts --------------------------------------------------

@@ -7,7 +7,7 @@ only for those rows: the ``when`` around the lookup keeps it from the others.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -61,9 +61,14 @@ def missing_keys(record: Column | str, keys: Sequence[str]) -> Column:
     return F.array_except(F.array(*[F.lit(key) for key in keys]), present)
 
 
-def lacks(record: Column | str, fields: Column, keys: Sequence[str]) -> Column:
+Missing = Callable[[Column | str, Sequence[str]], Column]
+
+
+def lacks(
+    record: Column | str, fields: Column, keys: Sequence[str], have: Missing = missing_keys
+) -> Column:
     """Message about the required text keys that the record lacks; NULL if it has them all."""
-    missing = missing_keys(record, keys)
+    missing = have(record, keys)
     message = F.concat(F.lit("record without required key "), F.array_join(missing, ", "))
     any_null = reduce(or_, [fields.getField(key).isNull() for key in keys])
     return F.when(any_null, F.when(F.size(missing) > 0, message))
@@ -82,15 +87,19 @@ def ill_typed(fields: Column, key: str, type_: T.DataType) -> Column:
 
 
 def optional_text_field(
-    record: Column | str, fields: Column, key: str, default: str = ""
+    record: Column | str, fields: Column, key: str, default: str = "", missing: Missing = missing_keys
 ) -> Column:
     """The field, or the default when the record lacks the key; null stays NULL."""
     text = fields.getField(key)
-    absent = F.size(missing_keys(record, [key])) > 0
+    absent = F.size(missing(record, [key])) > 0
     return F.when(text.isNotNull(), text).otherwise(F.when(absent, F.lit(default)))
 
 
-def optional_value_field(fields: Column, key: str, default: str = "{}") -> Column:
-    """The field as JSON text, or the default; null is the text ``null``."""
+def optional_value_field(
+    fields: Column, key: str, default: str = "{}", as_text: bool = True
+) -> Column:
+    """The field as JSON text, or the default; null is the text ``null``. Else as VARIANT."""
     value = fields.getField(key)
+    if not as_text:
+        return F.coalesce(value, F.parse_json(F.lit(default)))
     return F.when(value.isNull(), F.lit(default)).otherwise(json_dumps(value))

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asterism.functions.dates import date_key, day_name, day_of_week, is_weekend, month_name
 from asterism.functions.json import json_text
+from asterism.functions.variant import variant_text
 from asterism.operators.checks import assign_varchars
 from asterism.operators.dml import insert_ignore, upsert_set, with_defaults
 from asterism.operators.history import load_versions
@@ -17,6 +19,13 @@ USER_ATTRIBUTES = ("username", "name", "email", "phone", "website", "city", "com
 
 
 def user_attributes(staging_users: DataFrame) -> DataFrame:
+    """Columns of the dimension; address and company may be JSON text or VARIANT."""
+
+    def inner(column: str, key: str) -> Column:
+        if isinstance(staging_users.schema[column].dataType, T.VariantType):
+            return variant_text(F.col(column), key)
+        return json_text(column, key)
+
     return staging_users.select(
         F.col("id").alias("user_id"),
         "username",
@@ -24,8 +33,8 @@ def user_attributes(staging_users: DataFrame) -> DataFrame:
         "email",
         "phone",
         "website",
-        json_text("address", "city").alias("city"),
-        json_text("company", "name").alias("company_name"),
+        inner("address", "city").alias("city"),
+        inner("company", "name").alias("company_name"),
     )
 
 

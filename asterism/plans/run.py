@@ -42,8 +42,10 @@ class Run:
     no other shuffle than the one that looks for repeated ids.
 
     The loads keep the declared keys, lengths and references by construction
-    or fail on the way. ``verify`` queries each of them once more on the stored
-    tables before they are published.
+    or fail on the way. ``verify`` looks for breaches once more in the stored
+    tables before they are published, with one job for each.
+
+    ``variant`` keeps the JSON columns of the staging tables as VARIANT.
     """
 
     spark: SparkSession
@@ -56,6 +58,7 @@ class Run:
     calendar: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
     buckets: int | None = None
     verify: bool = False
+    variant: bool = False
     counts: dict[str, int] = field(default_factory=dict)
     saved: dict[str, str] = field(default_factory=dict)
     entries: list[str] = field(default_factory=list)
@@ -70,7 +73,7 @@ class Run:
     def _stage(self, collection: str) -> DataFrame:
         known = COLLECTIONS[collection]
         table = known.table
-        records = read_records(self.spark, f"{self.landing}/{collection}", self.layout, known.fields)
+        records = read_records(self.spark, f"{self.landing}/{collection}", self.layout, known.fields, self.variant)
         records, seen = counted(records, collection)
         contents = load(known, records, self.run_ts, self._target(table), self.id_type)
         if self.buckets and collection == "posts":

@@ -14,11 +14,13 @@ from asterism.functions.json import (
     ill_typed,
     integer_field,
     lacks,
+    missing_keys,
     optional_text_field,
     optional_value_field,
     parse_fields,
     record_schema,
 )
+from asterism.functions.variant import absent, variant_text, variant_value
 from asterism.operators.checks import required
 from asterism.operators.dml import upsert_sequential
 from asterism.schemas import star_schema
@@ -70,17 +72,24 @@ def load(
 
     Records come with their ``fields`` where they were read with them, else
     they are parsed here. A record without a required key, or with a number
-    that its column cannot take, fails whichever columns are read.
+    that its column cannot take, fails whichever columns are read. Records that
+    were read as VARIANT give VARIANT columns for JSON.
     """
-    table, now = star_schema(id_type)[collection.table], moment(run_ts)
+    variant = isinstance(records.schema["record"].dataType, T.VariantType)
+    table, now = star_schema(id_type, variant)[collection.table], moment(run_ts)
     fields, keys = F.col("fields"), collection.required
-    if "fields" not in records.columns:
+    if variant:
+        texts = [variant_text(F.col("record"), key).alias(key) for key in (*keys, *collection.texts)]
+        values = [variant_value(F.col("record"), key).alias(key) for key in collection.values]
+        records = records.withColumn("fields", F.struct(*texts, *values))
+    elif "fields" not in records.columns:
         parsed = parse_fields("record", [*keys, *collection.texts], collection.values)
         records = records.withColumn("fields", parsed)
     kinds = {key: table.schema[name].dataType for key, name in keys.items()}
     numbers = {key: kind for key, kind in kinds.items() if not isinstance(kind, T.StringType)}
+    have = absent if variant else missing_keys
     fault = F.coalesce(
-        lacks("record", fields, list(keys)), *[ill_typed(fields, k, t) for k, t in numbers.items()]
+        lacks("record", fields, list(keys), have), *[ill_typed(fields, k, t) for k, t in numbers.items()]
     )
     records = required(records, fault.isNull(), fault)
 
@@ -90,8 +99,8 @@ def load(
 
     batch = records.select(
         *[column(key, name) for key, name in keys.items()],
-        *[optional_text_field("record", fields, key).alias(key) for key in collection.texts],
-        *[optional_value_field(fields, key).alias(key) for key in collection.values],
+        *[optional_text_field("record", fields, key, missing=have).alias(key) for key in collection.texts],
+        *[optional_value_field(fields, key, as_text=not variant).alias(key) for key in collection.values],
         F.col("record").alias("raw_data"),
         "arrival",
     )

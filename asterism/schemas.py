@@ -51,10 +51,11 @@ class Table:
         return [c.name for c in self.columns if c.not_null or c.name == self.primary_key]
 
 
-def star_schema(id_type: str = "int") -> dict[str, Table]:
-    """The three staging and three warehouse tables."""
+def star_schema(id_type: str = "int", variant: bool = False) -> dict[str, Table]:
+    """The three staging and three warehouse tables; JSON columns as text or as VARIANT."""
     key = KEY_TYPES[id_type]
     integer, text = T.IntegerType(), T.StringType()
+    json = T.VariantType() if variant else text
     moment, day, flag = T.TimestampNTZType(), T.DateType(), T.BooleanType()
 
     def varchar(name: str, length: int) -> Column:
@@ -68,7 +69,7 @@ def star_schema(id_type: str = "int") -> dict[str, Table]:
                 Column("user_id", key),
                 Column("title", text),
                 Column("body", text),
-                Column("raw_data", text),
+                Column("raw_data", json),
                 Column("loaded_at", moment, default=NOW),
             ),
             primary_key="id",
@@ -82,9 +83,9 @@ def star_schema(id_type: str = "int") -> dict[str, Table]:
                 Column("email", text),
                 Column("phone", text),
                 Column("website", text),
-                Column("address", text),
-                Column("company", text),
-                Column("raw_data", text),
+                Column("address", json),
+                Column("company", json),
+                Column("raw_data", json),
                 Column("loaded_at", moment, default=NOW),
             ),
             primary_key="id",
@@ -97,7 +98,7 @@ def star_schema(id_type: str = "int") -> dict[str, Table]:
                 Column("name", text),
                 Column("email", text),
                 Column("body", text),
-                Column("raw_data", text),
+                Column("raw_data", json),
                 Column("loaded_at", moment, default=NOW),
             ),
             primary_key="id",

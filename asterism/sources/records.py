@@ -13,10 +13,17 @@ END = "__end"  # key of the mark behind a record
 
 
 def read_records(
-    spark: SparkSession, path: str, layout: str = "lines", fields: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    layout: str = "lines",
+    fields: T.StructType | None = None,
+    variant: bool = False,
 ) -> DataFrame:
     """Read a collection as ``record STRING, arrival STRUCT``, and ``fields`` where they are named.
 
+    With ``variant`` the record is a VARIANT, made by the one parse, and there
+    are no ``fields``: any value can be read of it without parsing again.
+
     ``arrival`` orders records as they were landed: by file path, then by place
     in the file. Within one split of a file the row number rises in reading
     order, and splits are ordered by their start offset, so the order is exact
@@ -44,17 +51,25 @@ def read_records(
     mark = F.xxhash64("record").cast("string")
     element = T.StructType([*(fields or T.StructType()).fields, T.StructField(END, T.StringType())])
     enclosed = F.concat(F.lit("["), F.col("record"), F.lit(',{"' + END + '":"'), mark, F.lit('"}]'))
-    parts = F.from_json(F.when(F.col("record") != "", enclosed), T.ArrayType(element), FAILFAST)
+    enclosed = F.when(F.col("record") != "", enclosed)
+    if variant:
+        parts = F.parse_json(enclosed)
+        size = F.when(F.variant_get("parts", "$[2]", "variant").isNull(), F.lit(2))
+        end = F.variant_get("parts", f"$[1].{END}", "string")
+    else:
+        parts = F.from_json(enclosed, T.ArrayType(element), FAILFAST)
+        size, end = F.size("parts"), F.col("parts")[1][END]
     parsed = texts.withColumns({"parts": parts, "mark": mark, "seen": F.monotonically_increasing_id()})
-    whole = F.startswith("record", F.lit("{")) & (F.size("parts") == 2)
-    whole = whole & (F.col("parts")[1][END] == F.col("mark"))
+    whole = F.startswith("record", F.lit("{")) & (size == 2) & (end == F.col("mark"))
     fail = F.raise_error(F.concat(F.lit("malformed record in "), F.col("file"))).cast("boolean")
     blank = F.when(F.col("record") == "", F.lit(False))
     # Looking at a column that depends on the reading keeps the filter above the
     # parse; pushed below it, it would parse every record again.
     fine = F.coalesce(whole, F.lit(False)) & (F.col("seen") >= 0)
     kept = parsed.filter(blank.when(fine, F.lit(True)).otherwise(fail))
-    values = [F.col("parts")[0].alias("fields")] if fields else []
+    if variant:
+        kept = kept.withColumn("record", F.variant_get("parts", "$[0]", "variant"))
+    values = [F.col("parts")[0].alias("fields")] if fields and not variant else []
     return kept.select("record", F.struct("file", "split", "row").alias("arrival"), *values)
 
 
