@@ -18,11 +18,18 @@ def mixing(
 ) -> str:
     """Budgets level by level, then full epochs and the prefix of the last one."""
     columns = ["domain", "lang", "source"]
+    # The deepest level at which a leaf has no weight: nodes above cannot use its supply.
+    shut = ["0"] + [
+        f"CASE WHEN [{', '.join(columns[: len(p)])}] = {text_list(p)} THEN {len(p)} ELSE 0 END"
+        for p, weight in weights.items()
+        if weight <= 0
+    ]
     steps = [
         f"""d AS (SELECT doc_id, {domain} AS domain, coalesce(lang, '(none)') AS lang,
           coalesce(source, '(none)') AS source, lang AS own_lang, source AS own_source,
           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n FROM documents)""",
-        "leaves AS (SELECT domain, lang, source, sum(n) AS supply FROM d WHERE n > 0 GROUP BY ALL)",
+        f"""leaves AS (SELECT domain, lang, source, sum(n) AS supply, greatest({', '.join(shut)}) AS shut
+          FROM d WHERE n > 0 GROUP BY domain, lang, source)""",
         "n0 AS (SELECT coalesce(sum(supply), 0) AS parent FROM leaves)",
     ]
     for level in range(1, len(columns) + 1):
@@ -37,7 +44,8 @@ def mixing(
             f"w{level} AS (SELECT * FROM (VALUES {known}) AS v(path, weight))",
             f"""c{level} AS (SELECT {', '.join(f'c.{x}' for x in path)}, c.cap,
               coalesce(w.weight, 1) AS weight, p.parent
-              FROM (SELECT {named}, sum(supply) * {epochs} AS cap FROM leaves GROUP BY {named}) c
+              FROM (SELECT {named}, sum(CASE WHEN shut <= {level} THEN supply ELSE 0 END) * {epochs} AS cap
+                FROM leaves GROUP BY {named}) c
               JOIN n{level - 1} p ON {held} LEFT JOIN w{level} w ON w.path = [{', '.join(f'c.{x}' for x in path)}])""",
             f"""g{level} AS (SELECT *,
               coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,

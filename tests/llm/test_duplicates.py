@@ -86,6 +86,15 @@ def test_empty_table(spark, run):
     assert run(documents(spark, [])).collect() == []
 
 
+def test_exact_long_texts(spark):
+    """Texts of many chunks, equal but for blanks, or but for one character near the end."""
+    rng = random.Random(7)
+    long = "".join(rng.choices("abcdefgh \n", k=2_000_000))
+    rows = [(1, long), (2, long.replace(" ", "\t\t")), (3, long[:-9] + "X" + long[-9:]), (4, long[:1_000_000])]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(documents(spark, rows)).collect()}
+    assert got == {1: (2, 2, False), 2: (2, 2, True), 3: (3, 1, True), 4: (4, 1, True)}
+
+
 def test_cuts_follow_content():
     """A shift in front of a long text changes no chunk but the first ones."""
     rng = random.Random(1)

@@ -193,6 +193,28 @@ def test_mix_offers_siblings_what_no_weight_leaves(spark):
     assert sorted((r.doc_id, r.n_taken) for r in got.collect()) == [(2, 4), (4, 56)]
 
 
+def test_mix_by_sql_with_no_weight(spark):
+    """Query and SQL agree where nodes at several levels have no weight."""
+    weights = {**queries.MIX_WEIGHTS, ("forum",): 0, ("web", "de"): 0, ("reference", "en", "src3"): 0}
+    path = "/root/testdata/sf0.001/documents.parquet"
+    mixed = mixing.mix(
+        spark.read.parquet(path), [queries.domain(), "lang", "source"], weights,
+        max_epochs=queries.MIX_EPOCHS, seed=queries.MIX_SEED,
+    )
+    got = mixed.select("doc_id", "lang", "source", "epoch", "n_tokens", "n_taken").collect()
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    sql = oracles.mixing(queries.DOMAIN, weights, queries.MIX_EPOCHS, queries.MIX_SEED)
+    assert sorted(map(tuple, got)) == sorted(connection.execute(sql).fetchall())
+    assert got and not any(r.source.startswith("src1") and len(r.source) > 4 for r in got)  # the forums
+
+
+def test_mix_of_a_long_text(spark):
+    df = spark.createDataFrame([(1, "w " * 500_000, "x"), (2, "a b", "y")], "doc_id bigint, text string, l string")
+    got = mixing.mix(df, ["l"], {("x",): 3, ("y",): 1}, budget=100_000, max_epochs=1)
+    assert sorted((r.doc_id, r.n_tokens, r.n_taken) for r in got.collect()) == [(1, 500_000, 99_998), (2, 2, 2)]
+
+
 def test_mix_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a b", "x")] * 3 + [(None, "c", "x")], "doc_id bigint, text string, l string")
     got = mixing.mix(df, ["l"], {}, max_epochs=2)
