@@ -66,6 +66,7 @@ from asterism.plans.run import run
 from asterism.plans.staging import COMMENTS, POSTS, USERS, load_comments, load_posts, load_users, moment
 from asterism.schemas import Column, Table, star_schema
 from asterism.session import configure, scratch_path, ship_package
+from asterism.sources.arrays import write_arrays
 from asterism.sources.calendar import calendar_days, date_series
 from asterism.sources.records import read_records, read_typed
 from asterism.warehouse import Warehouse
@@ -510,6 +511,19 @@ def src_json_records(spark, sf):
     return read_typed(spark, _land(records, "records"), "id bigint, userId string, title string, body string")
 
 
+@register("""SELECT doc_id AS id, source AS "userId", lang AS title, text AS body FROM documents""")
+def src_json_arrays(spark, sf):
+    """The same from files that are one JSON array each, read in pieces."""
+    path = scratch_path(spark, "arrays")
+    write_arrays(
+        table(spark, sf, "documents").select(
+            F.col("doc_id").alias("id"), F.col("source").alias("userId"),
+            F.col("lang").alias("title"), F.col("text").alias("body"),
+        ), path,
+    )
+    return read_typed(spark, path, "id bigint, userId string, title string, body string", "array")
+
+
 @register(f"""
 SELECT CAST(doc_id AS INTEGER) AS id, CAST(substr(source, 4) AS INTEGER) AS user_id, lang AS title,
   text AS body, CAST(to_json({{'id': doc_id, 'userId': CAST(substr(source, 4) AS INTEGER),

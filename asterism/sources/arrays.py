@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from asterism.session import scratch_path
+from asterism.session import scratch_path, ship_package
 
 STRING = re.compile(r'"(?:[^"\\]+|\\.)*+"', re.S)
 COMPLETE = re.compile(r'(?:[^"]+|"(?:[^"\\]+|\\.)*+")*+', re.S)
@@ -204,6 +204,7 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
     Each file has to hold one array of objects and nothing else but white
     space; anything else fails, naming the file, whatever is read of the rows.
     """
+    ship_package(spark)  # the cutting runs in Python workers
     pieces = _pieces(spark, path)
     effects = pieces.mapInArrow(_effects, EFFECT)
     written = scratch_path(spark, "splits")
@@ -231,3 +232,25 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
         F.array_join(F.transform("parts", lambda p: p["record"]), "").alias("record"),
     )
     return whole.unionByName(crossing)
+
+
+def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of a partition as one array, a record a line."""
+
+    def lines(texts: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
+
+    between = "["
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        if texts:
+            yield lines([(between if i == 0 else ",") + text for i, text in enumerate(texts)])
+            between = ","
+    yield lines(["[]" if between == "[" else "]"])
+
+
+def write_arrays(df: DataFrame, path: str) -> None:
+    """Write rows as JSON, one array for each partition of ``df``; NULL fields are written as null."""
+    ship_package(df.sparkSession)
+    texts = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    texts.mapInArrow(_bracketed, "value string").write.text(path)

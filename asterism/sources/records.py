@@ -73,11 +73,11 @@ def read_records(
     return kept.select("record", F.struct("file", "split", "row").alias("arrival"), *values)
 
 
-def read_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read JSON Lines with a declared schema; malformed or ill-typed records fail.
+def read_typed(spark: SparkSession, path: str, schema: str, layout: str = "lines") -> DataFrame:
+    """Read records with a declared schema; malformed or ill-typed ones fail.
 
     A nested object under a STRING field arrives as its JSON text.
     """
     fields = T.StructType.fromDDL(schema)
-    records = read_records(spark, path, fields=fields)
+    records = read_records(spark, path, layout, fields)
     return records.select(*[F.col("fields")[name].alias(name) for name in fields.names])

@@ -215,6 +215,16 @@ def test_array_files_are_split(spark, tmp_path):
     assert places == len(got)
 
 
+def test_written_arrays_are_read_back(spark, tmp_path):
+    rows = [(i, None if i % 3 else 'x"}\n{[') for i in range(50)]
+    df = spark.createDataFrame(rows, "id int, t string").repartition(4).union(spark.createDataFrame([], "id int, t string"))
+    arrays.write_arrays(df, str(tmp_path / "out"))
+    for file in (tmp_path / "out").glob("part-*"):
+        assert isinstance(json.loads(file.read_text()), list)
+    found = read_typed(spark, str(tmp_path / "out"), "id int, t string", "array")
+    assert sorted(map(tuple, found.collect())) == rows
+
+
 def test_fields_come_from_one_parse(spark, tmp_path):
     write(tmp_path / "in" / "a.json", '{"id":1,"t":"x","n":{"b":[1]}}')
     fields = record_schema(["id", "t"], ["n"])
