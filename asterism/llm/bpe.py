@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from asterism.llm.common import add_columns, packed
 
-MAX_CACHE = 100_000  # slices a Python worker remembers, and as many older ones
+MAX_CACHE = 50_000  # slices a Python worker remembers, and as many older ones
 LONG_SLICE = 48  # bytes from which pairs are kept in a heap
 BLOCK = 128  # characters of one row of the scan
 

@@ -61,13 +61,15 @@ def add_columns(
     compute: Callable[[list], list[pa.Array]],
     *more: str,
     chars: int = CHUNK_CHARS,
+    finish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Add the columns of the DDL string ``outputs``, computed in Arrow batches.
 
     ``compute`` gets the Python values of ``column`` (of several columns: one
     list each) for a bounded piece of a batch and returns one Arrow array for
     each output. The other columns pass through untouched. Columns that have
-    the name of an output are replaced.
+    the name of an output are replaced. ``finish`` is called at the end of each
+    task, to give back what the worker has cached: it goes on to other stages.
     """
     small_batches(df.sparkSession)
     fields = T.StructType.fromDDL(outputs).fields
@@ -88,6 +90,8 @@ def add_columns(
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(i) for i in range(len(kept))] + made, names=names
                 )
+        if finish is not None:
+            finish()
 
     return plain.mapInArrow(run, schema)
 

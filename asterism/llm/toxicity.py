@@ -25,7 +25,7 @@ from asterism.session import scratch_released
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¿¡"
 BEGINNINGS = (4, 5, 6, 7)  # characters
-MAX_CACHE = 100_000
+MAX_CACHE = 50_000  # words a task remembers
 
 
 @dataclass(frozen=True)
@@ -279,8 +279,9 @@ def severity(
             pa.array(any_, pa.bool_()),
         ]
 
-    return add_columns(df, text, f"`{out}` double, `{grade}` int, `{flag}` boolean", compute)
+    outputs = f"`{out}` double, `{grade}` int, `{flag}` boolean"
+    return add_columns(df, text, outputs, compute, finish=lambda: _indexes.clear())
 
 
-# The index of the model in use, kept from task to task of a Python worker.
+# The index of the model in use, while a task of the Python worker runs.
 _indexes: dict[int, tuple[Model, _Index]] = {}
