@@ -217,13 +217,16 @@ def _fit(counted: DataFrame, settings: Settings) -> Model:
     harsh = [best(f"a{h}", f"n{h}", sizes.get((h, 1), 0), sizes.get((h, 0), 0), more) for h in (0, 1)]
     listed = [*words, *sorted({word for some in harsh for word in some} - set(words))]
     number = {word: i for i, word in enumerate(listed)}
-    wanted = F.array(*[F.lit(word) for word in listed]).cast("array<string>")
-    pairs = F.filter(F.arrays_zip("words", "counts"), lambda p: F.array_contains(wanted, p["words"]))
-    rows = sorted(counted.select("id", "grade", "half", pairs.alias("pairs")).collect(), key=lambda r: r["id"])
+    # At most three times ``words`` words, so the broadcast has a fixed bound.
+    wanted = counted.sparkSession.createDataFrame([(word,) for word in listed], "word string")
+    pair = F.explode(F.arrays_zip("words", "counts")).alias("pair")
+    places = counted.select("id", pair).select("id", F.col("pair.words").alias("word"), F.col("pair.counts").alias("n"))
+    places = places.join(F.broadcast(wanted), "word").toArrow().to_pydict()
+    rows = sorted(counted.select("id", "grade", "half").collect(), key=lambda r: r["id"])
+    place = {row["id"]: i for i, row in enumerate(rows)}
     x = np.zeros((len(rows), len(listed)))
-    for i, row in enumerate(rows):
-        for pair in row["pairs"]:
-            x[i, number[pair["words"]]] = pair["counts"]
+    for id_, word, n in zip(places["id"], places["word"], places["n"], strict=True):
+        x[place[id_], number[word]] = n
     grades = np.array([max(row["grade"], 0) for row in rows])
     if grades.max() == 1 and settings.severities > 1:
         halves = np.array([row["half"] for row in rows])
