@@ -302,3 +302,28 @@ def test_insert_ignore_invariants(spark, old, new):
     found = [tuple(row) for row in once.collect()]
     assert len(found) == len({key for key, _ in found}) == len(existing.keys() | dict(new).keys())
     assert all(row in (existing.items() if row[0] in existing else new) for row in found)
+
+
+def test_merge_of_narrow_rows_is_dealt_to_small_tasks(spark, tmp_path):
+    """Compressed rows are a tenth of what they take in a sort, so tasks are cut by few bytes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    n, saved = 3_000_000, {key: spark.conf.get(key, None) for key in settings}
+    spark.range(n).selectExpr("id k", "rand(1) v").write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    target = spark.range(-1_000, 1_000).selectExpr("id k", "0D v")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = merge(target, batch, "k", update=["v"], unique=True, unique_target=True)
+        task = F.spark_partition_id().alias("task")
+        # The sum keeps the values in the shuffle.
+        tasks = found.groupBy(task).agg(F.count("*").alias("n"), F.sum("v")).toPandas()["n"]
+    finally:
+        for key, value in saved.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert tasks.sum() == n + 1_000 and tasks.max() < n * 0.6
