@@ -742,16 +742,17 @@ def star_schema_two_days(spark, sf):
     """A second load over the first: keys and creation times are kept, the rest is updated.
 
     English and French documents land first, all but the English ones again on
-    the second day; the comments of users first, then all.
+    the second day; the comments of users first, then all. Staged posts stay
+    in buckets, so that their texts are shuffled once a day, when they arrive.
     """
-    root = scratch_path(spark, "warehouse")
+    root, buckets = scratch_path(spark, "warehouse"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     posts, comments = _post_records(spark, sf), _comment_records(spark, sf)
     for day, languages, roles in (
         (RUN_TS, ("en", "fr"), F.col("name") == "user"),
         (datetime(2024, 5, 2), ("fr", "de", "es"), F.lit(True)),
     ):
         landing = _land_all(spark, posts.filter(F.col("title").isin(*languages)), comments.filter(roles))
-        run(spark, landing, root, day, refresh=day == RUN_TS)
+        run(spark, landing, root, day, refresh=day == RUN_TS, buckets=buckets)
     return Warehouse(spark, root).read("fact_posts")
 
 

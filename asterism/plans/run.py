@@ -17,7 +17,7 @@ from asterism.operators.audit import counted
 from asterism.operators.checks import enforce, enforce_table, fk_orphans
 from asterism.plans.dimensions import populate_dim_dates, populate_dim_users
 from asterism.plans.facts import populate_fact_posts
-from asterism.plans.staging import COMMENTS, POSTS, USERS, load
+from asterism.plans.staging import COMMENTS, POSTS, USERS, declared, kept, load
 from asterism.schemas import star_schema
 from asterism.session import configure, scratch_released
 from asterism.sources.calendar import CALENDAR_END, CALENDAR_START, calendar_days
@@ -37,8 +37,8 @@ class Run:
     With ``refresh`` off the current tables are the targets.
 
     ``buckets`` keeps the staged posts bucketed by id, so that the texts are
-    not shuffled again for the fact table. It is worth its files for large
-    loads; with as many buckets as shuffle partitions, staging the posts takes
+    not shuffled again for the fact table, nor by the next run with as many
+    buckets. It is worth its files for large loads; with as many buckets as shuffle partitions, staging the posts takes
     no other shuffle than the one that looks for repeated ids.
 
     The loads keep the declared keys, lengths and references by construction
@@ -70,20 +70,45 @@ class Run:
         self.saved[name] = self.warehouse.save(name, df)
         return self.warehouse.open(self.saved[name])
 
+    def _bucketed_target(self, name: str, key: str) -> DataFrame | None:
+        """The current table with its buckets, if it has those of this run."""
+        folder = None if self.refresh else self.warehouse.current().get(name)
+        entry = folder and self.warehouse.open_bucketed(folder, key, self.buckets)
+        if not entry:
+            return self._target(name)
+        self.entries.append(entry)
+        return self.spark.table(entry)
+
     def _stage(self, collection: str) -> DataFrame:
+        """Write the last record of each id, then add the rows of other ids.
+
+        What was written tells which ids those are, so the records are neither
+        stored twice nor joined; of wide rows, only the former ones are, and
+        not even these are shuffled where both versions have the same buckets.
+        """
         known = COLLECTIONS[collection]
         table = known.table
         records = read_records(self.spark, f"{self.landing}/{collection}", self.layout, known.fields, self.variant)
         records, seen = counted(records, collection)
-        contents = load(known, records, self.run_ts, self._target(table), self.id_type)
-        if self.buckets and collection == "posts":
-            self.saved[table], entry = self.warehouse.save_bucketed(
-                table, contents, "id", self.buckets
-            )
+        rules = declared(known, self.id_type, self.variant)
+        key, bucketed = rules.primary_key, bool(self.buckets) and collection == "posts"
+        target = self._bucketed_target(table, key) if bucketed else self._target(table)
+        types = {field.name: field.dataType for field in rules.schema}
+        alike = target is not None and types == {field.name: field.dataType for field in target.schema}
+        # A target of other types is merged as a whole, which widens them.
+        contents = load(known, records, self.run_ts, None if alike else target, self.id_type)
+        if bucketed:
+            self.saved[table], entry = self.warehouse.save_bucketed(table, contents, key, self.buckets)
             self.entries.append(entry)
+            if alike:
+                rest = kept(target, self.spark.table(entry), key)
+                self.warehouse.add_bucketed(entry, rest, key, self.buckets)
             staged = self.spark.table(entry)
         else:
             staged = self._save(table, contents)
+            if alike:
+                self.warehouse.add(self.saved[table], kept(target, staged, key))
+                staged = self.warehouse.open(self.saved[table])
         self.counts[f"{collection}_count"] = seen.get["rows"]
         log.info("loaded %s %s into %s", seen.get["rows"], collection, table)
         return staged

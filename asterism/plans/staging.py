@@ -23,7 +23,7 @@ from asterism.functions.json import (
 from asterism.functions.variant import absent, variant_text, variant_value
 from asterism.operators.checks import required
 from asterism.operators.dml import upsert_sequential
-from asterism.schemas import star_schema
+from asterism.schemas import Table, star_schema
 
 
 def moment(run_ts: datetime) -> Column:
@@ -64,6 +64,11 @@ COMMENTS = Collection(
 )
 
 
+def declared(collection: Collection, id_type: str = "int", variant: bool = False) -> Table:
+    """The table the collection is staged in."""
+    return star_schema(id_type, variant)[collection.table]
+
+
 def load(
     collection: Collection, records: DataFrame, run_ts: datetime,
     target: DataFrame | None = None, id_type: str = "int",
@@ -76,7 +81,7 @@ def load(
     were read as VARIANT give VARIANT columns for JSON.
     """
     variant = isinstance(records.schema["record"].dataType, T.VariantType)
-    table, now = star_schema(id_type, variant)[collection.table], moment(run_ts)
+    table, now = declared(collection, id_type, variant), moment(run_ts)
     fields, keys = F.col("fields"), collection.required
     if variant:
         texts = [variant_text(F.col("record"), key).alias(key) for key in (*keys, *collection.texts)]
@@ -110,6 +115,15 @@ def load(
     )
 
 
+def kept(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
+    """Rows of the former table that were not staged again.
+
+    A record gives every column of its row, so nothing of a former row with the
+    same key is left: staged and kept rows are the whole new table.
+    """
+    return target.join(staged.select(key), key, "left_anti").select(*staged.columns)
+
+
 load_posts = partial(load, POSTS)
 load_users = partial(load, USERS)
 load_comments = partial(load, COMMENTS)

@@ -22,6 +22,8 @@ log = logging.getLogger(__name__)
 
 PUBLICATIONS = "publications"
 SCHEMA = "version bigint, tables map<string, string>"
+# Tables hold texts, the staged posts twice; this takes less room than Spark's default.
+COMPRESSION = "zstd"
 
 
 class Warehouse:
@@ -47,29 +49,51 @@ class Warehouse:
     def current(self) -> dict[str, str]:
         return next(reversed(self.history()), {})
 
-    def _new_folder(self, name: str) -> str:
-        folder = f"{name}/v-{uuid.uuid4().hex}"
+    def _new_folder(self, name: str, layout: str = "") -> str:
+        folder = f"{name}/v-{uuid.uuid4().hex}{layout}"
         self._unpublished.append(folder)
         return folder
 
     def save(self, name: str, df: DataFrame) -> str:
         """Write a new version without publishing it; returns its folder."""
         folder = self._new_folder(name)
-        df.write.parquet(f"{self.root}/{folder}")
+        df.write.option("compression", COMPRESSION).parquet(f"{self.root}/{folder}")
         return folder
 
+    def add(self, folder: str, df: DataFrame) -> None:
+        """Add rows to a version that is not published yet."""
+        df.write.mode("append").option("compression", COMPRESSION).parquet(f"{self.root}/{folder}")
+
     def save_bucketed(self, name: str, df: DataFrame, column: str, buckets: int) -> tuple[str, str]:
         """Write a new version bucketed by ``column``, a file each; returns its folder and catalog entry.
 
         The entry, which tells Spark about the buckets, is external: dropping it keeps the files.
+        The folder's name tells the buckets, for ``open_bucketed``.
         """
-        folder = self._new_folder(name)
+        folder = self._new_folder(name, f"-{column}-{buckets}")
         entry = f"asterism_{uuid.uuid4().hex}"
         location = storage.qualified(self.spark, f"{self.root}/{folder}")
-        dealt = df.repartition(buckets, column)
-        dealt.write.bucketBy(buckets, column).option("path", location).saveAsTable(entry)
+        writer = df.repartition(buckets, column).write.bucketBy(buckets, column)
+        writer.option("path", location).option("compression", COMPRESSION).saveAsTable(entry)
         return folder, entry
 
+    def add_bucketed(self, entry: str, df: DataFrame, column: str, buckets: int) -> None:
+        """Add rows to a version that ``save_bucketed`` wrote and that is not published yet."""
+        writer = df.repartition(buckets, column).write.bucketBy(buckets, column)
+        writer.mode("append").option("compression", COMPRESSION).saveAsTable(entry)
+
+    def open_bucketed(self, folder: str, column: str, buckets: int) -> str | None:
+        """A catalog entry of a stored version, if it has these buckets."""
+        if not folder.endswith(f"-{column}-{buckets}"):
+            return None
+        entry = f"asterism_{uuid.uuid4().hex}"
+        location = storage.qualified(self.spark, f"{self.root}/{folder}").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {entry} ({self.open(folder).schema.toDDL()}) USING parquet"
+            f" CLUSTERED BY ({column}) INTO {buckets} BUCKETS LOCATION '{location}'"
+        )
+        return entry
+
     def open(self, folder: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{folder}")
 

@@ -9,6 +9,7 @@ import pytest
 
 from asterism.__main__ import main
 from asterism.operators.checks import ConstraintViolation, table_violations
+from asterism.operators import dml
 from asterism.plans import facts
 from asterism.plans.facts import fact_source
 from asterism.plans.run import run
@@ -266,6 +267,68 @@ def test_bucketed_texts_are_not_shuffled_again(place, spark):
             spark.conf.unset(limit)
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_staged_rows_are_written_once(place, spark, monkeypatch, buckets):
+    """A second day stores the records of known ids once, and keeps the rows of the others."""
+    place.land()
+    place.run(buckets=buckets)
+    before = place.rows("staging_posts", "id", "user_id", "title", "body", "raw_data", "loaded_at")
+    place.land(
+        posts=[post(3, 1, "early"), post(5, 1, None, "new"), post(3, 2, "late", "x y")],
+        users=[user(2, name="other"), user(3)], comments=[comment(1, 3), comment(9, 5)], day="b",
+    )
+    written, materialize = [], dml.materialize
+    monkeypatch.setattr(dml, "materialize", lambda df: written.append(df.columns) or materialize(df))
+    counts = place.run(DAY_2, day="b", refresh=False, buckets=buckets, verify=True)
+    assert not written
+    assert counts == {"posts_count": 3, "users_count": 2, "comments_count": 2}
+    after = place.rows("staging_posts", "id", "user_id", "title", "body", "raw_data", "loaded_at")
+    assert [row for row in after if row[0] not in (3, 5)] == [row for row in before if row[0] != 3]
+    assert [row[:4] for row in after if row[0] in (3, 5)] == [(3, 2, "late", "x y"), (5, 1, None, "new")]
+    assert {row[5] for row in after if row[0] in (3, 5)} == {DAY_2}
+    assert place.rows("staging_users", "id", "name") == [(1, "n1"), (2, "other"), (3, "n3")]
+    comments = place.rows("staging_comments", "id", "post_id")
+    assert comments == [(1, 3), (2, 1), (3, None), (4, 77), (5, 4), (9, 5)]
+    facts = place.rows("fact_posts", "post_key", "post_id", "title", "comment_count")
+    assert facts == [(1, 1, None, 1), (2, 3, "late", 1), (3, 4, "t", 1), (4, 5, None, 1)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("asterism_")]
+
+
+def test_former_texts_in_the_same_buckets_are_not_shuffled(place, spark, monkeypatch):
+    place.land()
+    place.run(buckets=4)
+    plans, add = [], Warehouse.add_bucketed
+
+    def added(self, entry, df, column, buckets):
+        dealt = df.repartition(buckets, column)
+        plans.append(dealt._jdf.queryExecution().executedPlan().toString())
+        add(self, entry, df, column, buckets)
+
+    monkeypatch.setattr(Warehouse, "add_bucketed", added)
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {key: spark.conf.get(key, None) for key in (*limits, "spark.sql.shuffle.partitions")}
+    for key, value in zip(saved, ("-1", "-1", "4"), strict=True):
+        spark.conf.set(key, value)
+    try:
+        place.run(DAY_2, refresh=False, buckets=4)
+        place.run(DAY_2, refresh=False, buckets=3)
+    finally:
+        for key, value in saved.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "Exchange" not in plans[0] and "Exchange" in plans[1]
+    assert place.rows("staging_posts", "id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_second_day_with_wider_ids(place):
+    place.land()
+    place.run()
+    place.land(posts=[post(3, 2, "late"), post(2**40, 2)], day="b")
+    place.run(DAY_2, day="b", refresh=False, id_type="bigint")
+    assert place.rows("staging_posts", "id", "title") == [
+        (1, None), (2, "orphan"), (3, "late"), (4, "t"), (2**40, "t"),
+    ]
+
+
 def test_scratch_is_released(place, spark):
     place.land()
     place.run()
