@@ -38,8 +38,9 @@ class Run:
 
     ``buckets`` keeps the staged posts bucketed by id, so that the texts are
     not shuffled again for the fact table, nor by the next run with as many
-    buckets. It is worth its files for large loads; with as many buckets as shuffle partitions, staging the posts takes
-    no other shuffle than the one that looks for repeated ids.
+    buckets. It is worth its files for large loads; with as many buckets as
+    shuffle partitions, staging the posts takes no other shuffle than the one
+    that looks for repeated ids.
 
     The loads keep the declared keys, lengths and references by construction
     or fail on the way. ``verify`` looks for breaches once more in the stored
@@ -104,6 +105,10 @@ class Run:
                 rest = kept(target, self.spark.table(entry), key)
                 self.warehouse.add_bucketed(entry, rest, key, self.buckets)
             staged = self.spark.table(entry)
+            if staged.isEmpty():
+                # Without a row no bucket has a file, and none tells the columns.
+                empty, staged = self.saved[table], self._save(table, staged)
+                self.warehouse.drop(empty)
         else:
             staged = self._save(table, contents)
             if alike:

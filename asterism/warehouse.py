@@ -138,6 +138,11 @@ class Warehouse:
         for folder in sorted({f for tables in history for f in tables.values()} - set(kept.values())):
             storage.delete(self.spark, f"{self.root}/{folder}")
 
+    def drop(self, folder: str) -> None:
+        """Delete one version that is not published."""
+        storage.delete(self.spark, f"{self.root}/{folder}")
+        self._unpublished.remove(folder)
+
     def discard(self) -> None:
         """Delete what this object has saved and not published."""
         for folder in self._unpublished:

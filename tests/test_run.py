@@ -319,6 +319,17 @@ def test_former_texts_in_the_same_buckets_are_not_shuffled(place, spark, monkeyp
     assert place.rows("staging_posts", "id") == [(1,), (2,), (3,), (4,)]
 
 
+def test_bucketed_day_without_posts(place):
+    place.land(posts=[])
+    place.run(buckets=4, verify=True)
+    assert place.rows("staging_posts", "id") == place.rows("fact_posts", "post_id") == []
+    place.land(day="b")
+    place.run(DAY_2, day="b", refresh=False, buckets=4)
+    assert place.rows("fact_posts", "post_key", "post_id") == [(1, 1), (2, 3), (3, 4)]
+    folders = [p for p in Path(place.root, "staging_posts").iterdir() if p.is_dir()]
+    assert len(folders) == 2
+
+
 def test_second_day_with_wider_ids(place):
     place.land()
     place.run()
